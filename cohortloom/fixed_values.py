@@ -133,57 +133,63 @@ BRANCH_CODE = "00"
 STANDARD_FLAG = "N"
 REPORTING_LEVEL = "F"
 
-# ---- Fixed values: header fields as (first column, width, name).
-HEADER_LAYOUT = [
-    (1, 2, "record_type"),
-    (3, 6, "school_code"),
-    (9, 2, "branch_code"),
-    (11, 15, "term"),
-    (26, 1, "standard_flag"),
-    (27, 8, "certification_date"),
-    (35, 1, "reporting_level"),
-]
+# ---- Fixed values: header fields by first column; a field reaches to the next one.
+HEADER_LAYOUT = {
+    "record_type": 1,
+    "school_code": 3,
+    "branch_code": 9,
+    "term": 11,
+    "standard_flag": 26,
+    "certification_date": 27,
+    "reporting_level": 35,
+}
+HEADER_LENGTH = 35
 
-# ---- Fixed values: detail fields as (first column, width, name).
-DETAIL_LAYOUT = [
-    (1, 2, "record_type"),
-    (3, 9, "national_id"),
-    (12, 20, "first_name"),
-    (32, 1, "middle_initial"),
-    (33, 20, "last_name"),
-    (53, 5, "name_suffix"),
-    (87, 1, "academic_load_nslc"),
-    (88, 8, "status_dt_nslc"),
-    (96, 30, "address1"),
-    (126, 30, "address2"),
-    (156, 20, "city"),
-    (176, 2, "state"),
-    (178, 9, "zip"),
-    (187, 15, "country"),
-    (202, 8, "agd"),
-    (210, 8, "dob"),
-    (218, 8, "begin_dt"),
-    (226, 8, "end_dt"),
-    (235, 1, "ferpa"),
-    (420, 50, "emplid"),
-    (470, 128, "email_addr"),
-    (599, 35, "middle_name"),
-    (674, 1, "program_indicator"),
-]
+# ---- Fixed values: detail fields by first column; a field reaches to the next one.
+DETAIL_LAYOUT = {
+    "record_type": 1,
+    "national_id": 3,
+    "first_name": 12,
+    "middle_initial": 32,
+    "last_name": 33,
+    "name_suffix": 53,
+    "academic_load_nslc": 87,
+    "status_dt_nslc": 88,
+    "address1": 96,
+    "address2": 126,
+    "city": 156,
+    "state": 176,
+    "zip": 178,
+    "country": 187,
+    "agd": 202,
+    "dob": 210,
+    "begin_dt": 218,
+    "end_dt": 226,
+    "ferpa": 235,
+    "emplid": 420,
+    "email_addr": 470,
+    "middle_name": 599,
+    "program_indicator": 674,
+}
+DETAIL_LENGTH = 932
 
-# ---- Fixed values: one program slot as (offset, width, name), six slots of 43 columns.
+# ---- Fixed values: one program slot by offset; six slots follow the detail fields.
 SLOT_COUNT = 6
 SLOT_FIRST_COLUMN = 675
 SLOT_WIDTH = 43
-SLOT_LAYOUT = [
-    (0, 6, "cipcode"),
-    (6, 4, "cip_yr"),
-    (10, 2, "crd_lvl"),
-    (12, 6, "prog_len"),
-    (18, 7, "prglen_tp"),
-    (25, 8, "prg_start"),
-    (33, 1, "sp_prg_fl"),
-    (34, 1, "prg_stat"),
-    (35, 8, "p_stat_dt"),
-]
-DETAIL_LENGTH = 932
+SLOT_LAYOUT = {
+    "cipcode": 0,
+    "cip_yr": 6,
+    "crd_lvl": 10,
+    "prog_len": 12,
+    "prglen_tp": 18,
+    "prg_start": 25,
+    "sp_prg_fl": 33,
+    "prg_stat": 34,
+    "p_stat_dt": 35,
+}
+
+# ---- Fixed values: trailer positions of the totals; the gap at 45 holds zeros.
+TRAILER_COUNT_WIDTH = 6
+TRAILER_ZEROS = "000000"
+TRAILER_RECORDS_WIDTH = 8

@@ -9,7 +9,7 @@ from cohortloom import fixed_values as fv
 from cohortloom.functions.missing import _col
 from cohortloom.operators.spread import order_struct
 
-SLOT_FIELDS = [name for _, _, name in fv.SLOT_LAYOUT]
+SLOT_FIELDS = list(fv.SLOT_LAYOUT)
 
 
 def slots_pack(df: DataFrame, fields: list[str] | None = None, count: int = fv.SLOT_COUNT, name: str = "slots") -> DataFrame:
