@@ -310,7 +310,8 @@ def nearest_neighbours(
             shift = tx.mean(axis=0)
             tx = tx - shift
             t_norm = (tx**2).sum(axis=1)
-            for part in np.array_split(q, len(q) // 512 + 1):
+            for start in range(0, len(q), 512):
+                part = q.iloc[start : start + 512]
                 qx = np.stack(part["q_x"].to_numpy()) - shift
                 rough = (qx**2).sum(axis=1)[:, None] + t_norm[None, :] - 2.0 * qx @ tx.T
                 rough[part["q_fold"].to_numpy()[:, None] == t_fold[None, :]] = np.inf

@@ -145,8 +145,8 @@ def factor_analysis(df: DataFrame, columns: list[str], factors: int = 2) -> Data
     model = loadings @ loadings.T + np.diag(uniqueness)
     objective = math.log(np.linalg.det(model) / np.linalg.det(matrix)) + np.trace(matrix @ np.linalg.inv(model)) - p
     dof = ((p - factors) ** 2 - p - factors) // 2
-    statistic = (n - 1 - (2 * p + 5) / 6 - 2 * factors / 3) * objective
-    p_value = chi2_upper(statistic, dof) if dof > 0 else None
+    statistic = float(n - 1 - (2 * p + 5) / 6 - 2 * factors / 3) * float(objective)
+    p_value = float(chi2_upper(statistic, dof)) if dof > 0 else None
     rows = [
         (c, float(uniqueness[i]), *[float(x) for x in rotated[i]], float(statistic), dof, p_value)
         for i, c in enumerate(columns)

@@ -62,9 +62,7 @@ def slots_keep_newest(
     def settle(s, i):
         group = F.filter(placed, lambda p: equal(p["slot"], s))
         lowest = -F.array_max(F.transform(group, lambda p: p["at"]))
-        best = F.array_max(group)["slot"]
-        winner = F.struct(*[best[f].alias(f) for f in fields])
-        return F.when(lowest == i, winner).otherwise(blank)
+        return F.when(lowest == i, F.array_max(group)["slot"]).otherwise(blank)
 
     return F.transform(slots, settle)
 
