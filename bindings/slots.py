@@ -36,8 +36,8 @@ def numbered(spark, sf):
     )
 
 
-def wide_records(spark, sf):
-    """One row per record with columns cipcode1..6, crd_lvl1..6 and so on (at most six orders each)."""
+def records(rows):
+    """One row per record with its slot array (a record has at most six orders)."""
     day = F.date_format("o_orderdate", "yyyyMMdd")
     text = {
         "cipcode": F.substring("o_orderpriority", 1, 1),
@@ -47,16 +47,13 @@ def wide_records(spark, sf):
         "prg_stat": F.when(F.col("o_orderstatus") == "F", "W").when(F.col("o_orderstatus") == "O", "F").otherwise("H"),
         "p_stat_dt": F.when(F.col("o_orderpriority") == "5-LOW", day),
     }
-    cells = [
-        F.max(F.when(F.col("slot") == i, text.get(f, F.lit(None).cast("string")))).alias(f"{f}{i}")
-        for f in slots.SLOT_FIELDS
-        for i in range(1, fv.SLOT_COUNT + 1)
-    ]
-    return numbered(spark, sf).groupBy(*KEYS).agg(*cells)
-
-
-def records(spark, sf):
-    return slots.slots_pack(wide_records(spark, sf))
+    blank = F.lit(None).cast("string")
+    filled = F.struct(*[text.get(f, blank).alias(f) for f in slots.SLOT_FIELDS])
+    empty = F.struct(*[blank.alias(f) for f in slots.SLOT_FIELDS])
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("slot", filled.alias("s")))), lambda x: x["s"])
+    packed = rows.groupBy(*KEYS).agg(in_order.alias("filled"))
+    six = F.transform(F.sequence(F.lit(0), F.lit(fv.SLOT_COUNT - 1)), lambda i: F.coalesce(F.get("filled", i), empty))
+    return packed.select(*KEYS, six.alias("slots"))
 
 
 def _slot_rows(df):
@@ -73,7 +70,7 @@ _OUT = "o_custkey, record, slot, cipcode, crd_lvl, prg_start, prg_stat, p_stat_d
         FROM s GROUP BY ALL""",
 )
 def slots_pack(spark, sf):
-    packed = slots.slots_pack(wide_records(spark, sf))
+    packed = slots.slots_pack(slots.slots_flatten(records(numbered(spark, sf))))
     codes = F.transform(
         "slots", lambda s: F.concat(F.coalesce(s["cipcode"], F.lit("-")), F.coalesce(s["crd_lvl"], F.lit("-")))
     )
@@ -83,7 +80,7 @@ def slots_pack(spark, sf):
 
 @query("slots_explode", f"SELECT {_OUT} FROM ({_FILLED}) WHERE prg_stat = 'W'")
 def slots_explode(spark, sf):
-    out = slots.slots_explode(records(spark, sf), lambda s: s["prg_stat"] == fv.WITHDRAWN, keep=KEYS)
+    out = slots.slots_explode(records(numbered(spark, sf)), lambda s: s["prg_stat"] == fv.WITHDRAWN, keep=KEYS)
     return out.select(*KEYS, "slot", "cipcode", "crd_lvl", "prg_start", "prg_stat", "p_stat_dt")
 
 
@@ -97,7 +94,7 @@ _NEWEST = f"""{_GRID}, k AS (
 
 @query("slots_keep_newest", f"WITH {_NEWEST}")
 def slots_keep_newest(spark, sf):
-    df = records(spark, sf)
+    df = records(numbered(spark, sf))
     newest = slots.slots_keep_newest("slots", ["cipcode", "crd_lvl", "prog_len"], "prg_start", slots.SLOT_FIELDS)
     return _slot_rows(df.withColumn("slots", newest))
 
@@ -125,21 +122,21 @@ _RESOLVE = f"""n AS ({_NUMBERED}), {_GRID}, p AS ({_PLANS}),
            LEFT JOIN ended e ON e.o_custkey = s.o_custkey AND e.record = s.record)"""
 
 
-def _resolved(spark, sf):
+def _resolved(orders):
     price, priority = F.col("o_totalprice"), F.col("o_orderpriority")
     program = (
         F.when(price > 440000, "CM").when(price > 330000, "AC").when(price > 280000, "LA").when(price > 60000, "AC")
         .when(price > 50000, "DC").otherwise("XX")
     )
     term = F.concat(F.lit("2"), F.date_format("o_orderdate", "yy"), F.lit("6"))
-    plans = numbered(spark, sf).select(
+    plans = orders.select(
         *KEYS, "o_orderkey", F.substring(priority, 1, 1).alias("cip_code_sis"),
         F.when(price > 200000, "06").otherwise("03").alias("crd_lvl_sis"), program.alias("prog_status"),
         F.when((priority == "1-URGENT") & (price > 150000), "AP").alias("nc_degr_ckout_stat"),
         term.alias("grad_strm"), F.lit(None).cast("string").alias("status_strm"),
         F.when(F.col("o_orderstatus") == "P", "W").otherwise(F.col("o_orderstatus")).alias("load"),
     )
-    rows = plans.join(records(spark, sf), KEYS)
+    rows = plans.join(records(orders), KEYS)
     return slots.slots_resolve(rows, KEYS, ["o_orderkey"], "load", ["2986"], "19980516", "19980731")
 
 
@@ -150,7 +147,7 @@ def _resolved(spark, sf):
             CASE WHEN is_ended THEN '19980731' END AS end_dt, load FROM st""",
 )
 def slots_resolve(spark, sf):
-    resolved = _resolved(spark, sf).select(*KEYS, "end_dt", "load", "slots")
+    resolved = _resolved(numbered(spark, sf)).select(*KEYS, "end_dt", "load", "slots")
     return slots.slots_explode(resolved).select(*KEYS, "slot", "prg_stat", "p_stat_dt", "end_dt", "load")
 
 
@@ -160,7 +157,8 @@ def slots_resolve(spark, sf):
         FROM st GROUP BY ALL""",
 )
 def or_theta_flag(spark, sf):
-    before = slots.slots_explode(records(spark, sf), lambda s: s["prg_stat"] == fv.WITHDRAWN, keep=KEYS).select(*KEYS, "slot")
+    orders = numbered(spark, sf)
+    before = slots.slots_explode(records(orders), lambda s: s["prg_stat"] == fv.WITHDRAWN, keep=KEYS).select(*KEYS, "slot")
 
     def changed(k):
         status = F.get(F.col("slots"), k)["prg_stat"]
@@ -168,7 +166,7 @@ def or_theta_flag(spark, sf):
 
     places = range(fv.SLOT_COUNT)
     flagged = joins.theta_flag(
-        _resolved(spark, sf).select(*KEYS, "slots"), before, KEYS, [F.col("slot") == k + 1 for k in places],
+        _resolved(orders).select(*KEYS, "slots"), before, KEYS, [F.col("slot") == k + 1 for k in places],
         [changed(k) for k in places], "w_comp",
     )
     return flagged.drop("slots")
@@ -180,10 +178,11 @@ def or_theta_flag(spark, sf):
         WHERE prg_stat = 'W' AND status <> 'W' AND status <> 'G'""",
 )
 def comma_join_where(spark, sf):
-    before = slots.slots_explode(records(spark, sf), lambda s: s["prg_stat"] == fv.WITHDRAWN, keep=KEYS).select(
+    orders = numbered(spark, sf)
+    before = slots.slots_explode(records(orders), lambda s: s["prg_stat"] == fv.WITHDRAWN, keep=KEYS).select(
         *KEYS, "slot", "cipcode", "crd_lvl", F.col("prg_stat").alias("prg_stat_before")
     )
-    after = slots.slots_explode(_resolved(spark, sf), keep=KEYS).select(*KEYS, "slot", F.col("prg_stat").alias("prg_stat_combine"))
+    after = slots.slots_explode(_resolved(orders), keep=KEYS).select(*KEYS, "slot", F.col("prg_stat").alias("prg_stat_combine"))
     return joins.conditional_join(
         before, after, [*KEYS, "slot"], checks.overwritten("prg_stat_before", "prg_stat_combine")
     )
@@ -195,9 +194,10 @@ def comma_join_where(spark, sf):
         WHERE prg_stat = 'W' AND status <> 'W' AND status <> 'G'""",
 )
 def check_overwritten_status(spark, sf):
-    before = slots.slots_explode(records(spark, sf), lambda s: s["prg_stat"] == fv.WITHDRAWN, keep=KEYS).select(
+    orders = numbered(spark, sf)
+    before = slots.slots_explode(records(orders), lambda s: s["prg_stat"] == fv.WITHDRAWN, keep=KEYS).select(
         *KEYS, "slot", F.col("prg_stat").alias("before")
     )
-    after = slots.slots_explode(_resolved(spark, sf), keep=KEYS).select(*KEYS, "slot", F.col("prg_stat").alias("after"))
+    after = slots.slots_explode(_resolved(orders), keep=KEYS).select(*KEYS, "slot", F.col("prg_stat").alias("after"))
     found = checks.check_overwritten_status(before, after, [*KEYS, "slot"], [("before", "after")])
     return checks.violations({"overwritten_status": found})

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from cohortloom.functions.missing import blank_to_null
-from cohortloom.operators.spread import null_safe_on, order_struct, rank_within, spread_join
+from cohortloom.operators.spread import join_back, null_safe_on, order_struct, rank_within
 from cohortloom.session import HOT_ROWS
 
 
@@ -66,9 +66,8 @@ def match_merge(
         "_last_b",
         F.coalesce("_n_a", F.lit(0)).alias("_n_a"),
         F.coalesce("_n_b", F.lit(0)).alias("_n_b"),
-        F.greatest(F.coalesce("_n_a", F.lit(0)), F.coalesce("_n_b", F.lit(0))).alias("_rows"),
     )
-    whole = spread_join(paired, ends, keys, "_rows", how="inner", hot_rows=hot_rows)
+    whole = join_back(paired, ends, keys, "inner")
     from_a, from_b = F.coalesce("_a", "_last_a"), F.coalesce("_b", "_last_b")
     whole = whole.withColumn("_from_a", from_a).withColumn("_from_b", from_b)
     b_wins = F.col("_i") <= F.col("_n_b")
@@ -230,8 +229,7 @@ def asof_term_join(
 
 
 def other_row_exists(
-    df: DataFrame, others: DataFrame, keys: list[str], column: str, counts: Column, name: str,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, others: DataFrame, keys: list[str], column: str, counts: Column, name: str
 ) -> DataFrame:
     """'Y' when ``others`` holds a counted row of the same keys with a different value.
 
@@ -244,13 +242,9 @@ def other_row_exists(
     spans = others.filter(counts).groupBy(*keys).agg(
         F.min(as_value(column)).alias("_low"), F.max(as_value(column)).alias("_high")
     )
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    sized = sizes.join(spans, keys, "left")
-    joined = spread_join(df, sized, keys, "_rows", hot_rows=hot_rows)
+    joined = join_back(df, spans, keys)
     differs = (F.col("_low") != as_value(column)) | (F.col("_high") != as_value(column))
-    return joined.withColumn(name, F.when(F.coalesce(differs, F.lit(False)), "Y").otherwise("N")).drop(
-        "_low", "_high", "_rows"
-    )
+    return joined.withColumn(name, F.when(F.coalesce(differs, F.lit(False)), "Y").otherwise("N")).drop("_low", "_high")
 
 
 def theta_flag(

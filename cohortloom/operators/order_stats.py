@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from cohortloom.operators.spread import null_safe_on
-from cohortloom.session import broadcast_if_small, freeze
+from cohortloom.session import BROADCAST_ROWS, broadcast_if_small, freeze
 
 BINS = 4096
 
@@ -37,22 +37,27 @@ def order_statistics(df: DataFrame, groups: list[str], value: str, ranks: dict[s
         *groups, F.col("lowest").alias("lo"), F.col("highest").alias("hi"), F.lit(0).cast("bigint").alias("below"),
         F.explode(wanted).alias("t"),
     ).select(*groups, "t.name", "t.rank", "lo", "hi", "below")
-    targets = freeze(targets)
 
-    while not targets.filter(F.col("lo") < F.col("hi")).isEmpty():
-        targets = freeze(_narrow(data, targets, groups, bins))
+    while True:
+        brackets = targets.filter(F.col("lo") < F.col("hi")).select(*groups, "lo", "hi").distinct()
+        open_brackets = brackets.count()
+        if not open_brackets:
+            break
+        if open_brackets <= BROADCAST_ROWS:
+            brackets = F.broadcast(brackets)
+        targets = freeze(_narrow(data, targets, brackets, groups, bins))
 
     pivoted = targets.groupBy(*groups).agg(*[F.max(F.when(F.col("name") == n, F.col("lo"))).alias(n) for n in ranks])
     side = pivoted.select(*[F.col(g).alias(f"_p_{g}") for g in groups], *ranks)
     return base.join(side, null_safe_on(base, side, groups, "_p_")).drop(*[f"_p_{g}" for g in groups])
 
 
-def _narrow(data: DataFrame, targets: DataFrame, groups: list[str], bins: int) -> DataFrame:
+def _narrow(data: DataFrame, targets: DataFrame, brackets: DataFrame, groups: list[str], bins: int) -> DataFrame:
+    """One round: the open targets with the bin each rank falls in; settled ones as they are."""
     open_targets = targets.filter(F.col("lo") < F.col("hi"))
-    brackets = open_targets.select(*[F.col(g).alias(f"_b_{g}") for g in groups], "lo", "hi").distinct()
+    side = brackets.select(*[F.col(g).alias(f"_b_{g}") for g in groups], "lo", "hi")
     inside = data.join(
-        broadcast_if_small(brackets),
-        null_safe_on(data, brackets, groups, "_b_") & F.col("_x").between(F.col("lo"), F.col("hi")),
+        side, null_safe_on(data, side, groups, "_b_") & F.col("_x").between(F.col("lo"), F.col("hi"))
     )
     width = F.col("hi") - F.col("lo")
     cut = F.least(F.floor((F.col("_x") - F.col("lo")) / width * F.lit(bins)), F.lit(bins - 1))

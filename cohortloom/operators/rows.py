@@ -1,7 +1,8 @@
 """Ordered-row operators: flags, last rows, carried values, positions and numbering.
 
 "Rows so far" questions are answered by per-key aggregates (which combine on the
-map side) and a salted join back, not by a window over the whole key.
+map side) and a join back whose hot keys can be split, not by a window over the
+whole key.
 """
 
 from __future__ import annotations
@@ -9,21 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.operators.spread import hash_order, hash_rank, order_struct, ordered_index, spread_join
-from cohortloom.session import HOT_ROWS
+from cohortloom.operators.spread import hash_order, hash_rank, join_back, order_struct, ordered_index
 
 
-def running_flag(
-    df: DataFrame, keys: list[str], order: list[str], condition: Column, name: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def running_flag(df: DataFrame, keys: list[str], order: list[str], condition: Column, name: str) -> DataFrame:
     """'Y' from the first row of the key where ``condition`` holds onward, else 'N'."""
     position = order_struct(*order)
-    first_hit = df.groupBy(*keys).agg(
-        F.min(F.when(condition, position)).alias("_first_hit"), F.count("*").alias("_rows")
-    )
-    joined = spread_join(df, first_hit, keys, "_rows", hot_rows=hot_rows)
+    first_hit = df.filter(condition).groupBy(*keys).agg(F.min(position).alias("_first_hit"))
     reached = F.coalesce(position >= F.col("_first_hit"), F.lit(False))
-    return joined.withColumn(name, F.when(reached, "Y").otherwise("N")).drop("_first_hit", "_rows")
+    return join_back(df, first_hit, keys).withColumn(name, F.when(reached, "Y").otherwise("N")).drop("_first_hit")
 
 
 def last_row_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -67,7 +62,7 @@ def running_count(df: DataFrame, order: list[str], name: str = "running_count",
     return ordered_index(df, order, name).withColumn(name, F.col(name) + F.lit(start))
 
 
-def duplicate_keys(df: DataFrame, keys: list[str], order: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def duplicate_keys(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """All rows of a key after its first in a total order."""
     position = order_struct(*order)
     first = (
@@ -75,8 +70,7 @@ def duplicate_keys(df: DataFrame, keys: list[str], order: list[str], hot_rows: i
         .agg(F.min(position).alias("_first"), F.count("*").alias("_rows"))
         .filter(F.col("_rows") > 1)
     )
-    joined = spread_join(df, first, keys, "_rows", how="inner", hot_rows=hot_rows)
-    return joined.filter(position > F.col("_first")).drop("_first", "_rows")
+    return join_back(df, first.drop("_rows"), keys, "inner").filter(position > F.col("_first")).drop("_first")
 
 
 def duplicate_counts(df: DataFrame, keys: list[str], name: str = "extra_rows") -> DataFrame:

@@ -2,7 +2,7 @@
 
 Aggregates combine on the map side, so a hot key is no problem for them.  Joins
 back to a hot key, row numbers inside a hot key and global positions are; the
-functions here split such keys over many tasks and still give exact results.
+functions here let such keys be split over many tasks, with exact results.
 """
 
 from __future__ import annotations
@@ -29,34 +29,17 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: list[str], prefix: str
     return condition
 
 
-def spread_join(
-    big: DataFrame, small: DataFrame, keys: list[str], rows: str, how: str = "left", hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Join ``big`` to a table with one row per key, splitting hot keys.
+def join_back(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join ``big`` to a table with few rows per key; missing keys match.
 
-    ``rows`` names the column of ``small`` that says how many rows of ``big``
-    carry the key.  Keys above ``hot_rows`` are salted over
-    ceil(rows / hot_rows) tasks and their single row is repeated once per salt;
-    all other keys keep salt 0.  No more than total / hot_rows keys can be hot,
-    so the broadcast list of hot keys is bounded.  Missing keys match.
+    A small side that fits is broadcast by Spark's own size check.  Beyond that
+    both sides are shuffled on the null-safe keys.  An aggregate on the plain
+    keys does not satisfy that partitioning, so the small side gets a shuffle
+    of its own too, and with it adaptive execution can split the partition of a
+    hot key over many tasks (its skew-join rule needs a shuffle on both sides).
     """
-    splits = F.ceil(F.col(rows) / F.lit(hot_rows)).cast("int")
-    hot = small.filter(F.col(rows) > hot_rows).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys], splits.alias("_splits")
-    )
-    tagged = big.join(F.broadcast(hot), null_safe_on(big, hot, keys, "_hot_"), "left")
-    salt = F.when(F.col("_splits").isNull(), 0).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in big.columns if c not in keys]), F.col("_splits")).cast("int")
-    )
-    tagged = tagged.withColumn("_salt", salt).drop("_splits", *[f"_hot_{k}" for k in keys])
-    values = [c for c in small.columns if c not in keys]
-    repeated = small.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        *values,
-        F.explode(F.sequence(F.lit(0), F.greatest(splits - 1, F.lit(0)))).alias("_copy"),
-    )
-    condition = null_safe_on(tagged, repeated, keys, "_key_") & (tagged["_salt"] == repeated["_copy"])
-    return tagged.join(repeated, condition, how).drop("_salt", "_copy", *[f"_key_{k}" for k in keys])
+    side = small.select(*[F.col(c).alias(f"_key_{c}") if c in keys else F.col(c) for c in small.columns])
+    return big.join(side, null_safe_on(big, side, keys, "_key_"), how).drop(*[f"_key_{k}" for k in keys])
 
 
 def ordered_index(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:

@@ -23,6 +23,7 @@ def build_session(app: str = "cohortloom", master: str | None = None, **settings
         builder = builder.master(master)
     defaults = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -41,13 +41,12 @@ def fixed_width(values: dict[str, Column], starts: dict[str, int], length: int)
     return F.concat(*parts)
 
 
-def enrollment_layout() -> tuple[dict[str, int], int]:
-    """First columns of all detail fields, the six slots included."""
-    starts = dict(fv.DETAIL_LAYOUT)
-    for slot in range(fv.SLOT_COUNT):
-        for field, offset in fv.SLOT_LAYOUT.items():
-            starts[f"{field}{slot + 1}"] = fv.SLOT_FIRST_COLUMN + fv.SLOT_WIDTH * slot + offset
-    return starts, fv.DETAIL_LENGTH
+def slot_text(slots: Column) -> Column:
+    """All slots of a record side by side, each field padded to its place."""
+    starts = {field: offset + 1 for field, offset in fv.SLOT_LAYOUT.items()}
+    return F.array_join(
+        F.transform(slots, lambda slot: fixed_width({f: slot[f] for f in SLOT_FIELDS}, starts, fv.SLOT_WIDTH)), ""
+    )
 
 
 def trailer_line(totals: DataFrame) -> DataFrame:
@@ -63,41 +62,33 @@ def trailer_line(totals: DataFrame) -> DataFrame:
 
 
 def enrollment_lines(records: DataFrame, term: str, certification_date: str, key: str = "emplid") -> DataFrame:
-    """Header, detail and trailer lines as (rec_class, key, line).
+    """Header, detail lines in key order, and trailer: one column ``line``.
 
     ``records`` has the detail columns (absent ones are left blank) and the
-    slot array ``slots``.  Header and trailer come out for empty input too.
+    array ``slots``.  Header and trailer come out for empty input too.  The
+    records are sorted by range before they are turned into lines, and the
+    union keeps header, details and trailer in this order.
     """
     spark = records.sparkSession
-    starts, length = enrollment_layout()
     values: dict[str, Column] = {}
     for name in fv.DETAIL_LAYOUT:
         values[name] = F.col(name) if name in records.columns else F.lit(None).cast("string")
     values["record_type"] = F.lit(fv.DETAIL_RECORD)
-    for slot in range(fv.SLOT_COUNT):
-        for field in SLOT_FIELDS:
-            values[f"{field}{slot + 1}"] = F.get(F.col("slots"), slot)[field]
-    detail = records.select(
-        F.lit(2).alias("rec_class"), F.col(key).cast("string").alias("key"), fixed_width(values, starts, length).alias("line")
-    )
+    person = fixed_width(values, fv.DETAIL_LAYOUT, fv.SLOT_FIRST_COLUMN - 1)
+    programs = F.rpad(slot_text(F.col("slots")), fv.DETAIL_LENGTH - fv.SLOT_FIRST_COLUMN + 1, " ")
+    detail = records.orderBy(key).select(F.concat(person, programs).alias("line"))
     header_values = {
         "record_type": F.lit(fv.HEADER_RECORD), "school_code": F.lit(fv.SCHOOL_CODE), "branch_code": F.lit(fv.BRANCH_CODE),
         "term": F.lit(term), "standard_flag": F.lit(fv.STANDARD_FLAG), "certification_date": F.lit(certification_date),
         "reporting_level": F.lit(fv.REPORTING_LEVEL),
     }
-    header = spark.range(1).select(
-        F.lit(1).alias("rec_class"), F.lit("").alias("key"),
-        fixed_width(header_values, fv.HEADER_LAYOUT, fv.HEADER_LENGTH).alias("line"),
-    )
-    trailer = trailer_line(status_totals(records, "academic_load_nslc")).select(
-        F.lit(3).alias("rec_class"), F.lit("").alias("key"), "line"
+    header = spark.range(1, numPartitions=1).select(
+        fixed_width(header_values, fv.HEADER_LAYOUT, fv.HEADER_LENGTH).alias("line")
     )
+    trailer = trailer_line(status_totals(records, "academic_load_nslc"))
     return header.unionByName(detail).unionByName(trailer)
 
 
 def fixed_width_write(lines: DataFrame, path: str) -> None:
-    """Write the lines as ordered text parts; read in name order they are the file.
-
-    The sort is by range, so parts are balanced and no task holds the file.
-    """
-    lines.orderBy("rec_class", "key").select("line").write.mode("overwrite").text(path)
+    """Write the ordered lines as text parts; read in name order they are the file."""
+    lines.write.mode("overwrite").text(path)
