@@ -29,7 +29,7 @@ _SQL = f"""WITH {_ORDERS},
   need AS (SELECT 'PL' || (p_size % 5 + 1) AS plan, CASE WHEN p_type = 'STANDARD' THEN 'NOSUBPLAN' ELSE 'S1' END AS sub,
                   max_by(CAST(p_size AS DOUBLE), p_partkey) AS units FROM part WHERE p_size > 10 AND p_type <> 'PROMO' GROUP BY ALL),
   held AS (SELECT DISTINCT g.emplid, g.term, (SELECT max(e.term) FROM o e WHERE e.emplid = g.emplid AND e.career = 'UGRD' AND e.term <= g.term) AS strm FROM grads g),
-  totals AS (SELECT emplid, term, round(max(price) / 100000, 4) AS gpa, CAST(count(*) AS DOUBLE) AS n,
+  totals AS (SELECT emplid, term, max(price) / 100000 AS gpa, CAST(count(*) AS DOUBLE) AS n,
                     nullif(count(*) FILTER (priority = '5-LOW'), 0) AS n_low FROM o WHERE career = 'UGRD' GROUP BY ALL),
   credits AS (SELECT emplid, plan, nullif(count(*) FILTER (status = 'F'), 0) AS nondgr, nullif(count(*) FILTER (status = 'O'), 0) AS dgr,
                      CASE WHEN count(*) > 1 THEN count(*) * 2 END AS tot FROM o GROUP BY ALL),
@@ -117,7 +117,7 @@ def graduate_tables(spark, sf) -> GraduateTables:
         ),
         term_enrollment=orders.select("emplid", "acad_career", "strm", "acad_plan"),
         term_totals=orders.groupBy("emplid", "acad_career", "strm").agg(
-            F.round(F.max(price) / 100000, 4).alias("cum_gpa"), F.count("*").cast("double").alias("tot_taken_gpa"),
+            (F.max(price) / 100000).alias("cum_gpa"), F.count("*").cast("double").alias("tot_taken_gpa"),
             count(priority == "5-LOW").alias("tot_taken_nogpa"), (F.count("*") * 3).cast("double").alias("tot_cumulative"),
             (F.count("*") * 4).cast("double").alias("tot_taken_prgrss"),
         ),

@@ -19,12 +19,12 @@ def _rounded(df, columns, places=6):
 
 @query(
     "group_zstat",
-    """SELECT l_suppkey, count(*) AS n, round(avg(l_extendedprice), 4) AS mean,
+    """SELECT l_suppkey, count(*) AS n, round(avg(l_extendedprice), 6) AS mean,
               round((avg(l_extendedprice) - 38000) / (23000 / sqrt(count(*))), 6) AS z FROM lineitem GROUP BY 1""",
 )
 def group_zstat(spark, sf):
     z = moments.group_zstat(table(spark, sf, "lineitem"), "l_suppkey", "l_extendedprice", 38000.0, 23000.0)
-    return _rounded(_rounded(z, ["mean"], 4), ["z"])
+    return _rounded(z, ["mean", "z"])
 
 
 @query(
