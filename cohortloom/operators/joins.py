@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from cohortloom.functions.missing import blank_to_null
-from cohortloom.operators.spread import join_back, null_safe_on, order_struct, rank_within
+from cohortloom.operators.spread import hot_keys, join_back, null_safe_on, order_struct, rank_by_position, split_hot
 from cohortloom.session import HOT_ROWS
 
 
@@ -29,58 +29,86 @@ def match_merge(
     a missing value included; later rows keep a's.  A shared column c is also
     returned untouched as c_a and c_b (missing when the key is not on that
     side).  in_a and in_b say on which sides the key occurs.
+
+    Both sides are stacked and shuffled once by key; hot keys, if any, are
+    paired apart by position.
     """
+    hot = hot_keys(keys, hot_rows, a, b)
+    if hot is None:
+        paired = _pair_in_key(a, b, keys, order_a, order_b)
+    else:
+        (hot_a, cold_a), (hot_b, cold_b) = split_hot(a, hot, keys), split_hot(b, hot, keys)
+        paired = _pair_in_key(cold_a, cold_b, keys, order_a, order_b).unionByName(
+            _pair_by_position(hot_a, hot_b, keys, order_a, order_b)
+        )
     shared = [c for c in a.columns if c in b.columns and c not in keys]
-    only_a = [c for c in a.columns if c not in shared and c not in keys]
-    only_b = [c for c in b.columns if c not in shared and c not in keys]
-
-    def numbered(df, order, side):
-        ranked = rank_within(df, keys, order, "_i", hot_rows)
-        values = [c for c in df.columns if c not in keys]
-        return ranked.select(*keys, "_i", F.struct(*values).alias(f"_{side}"))
-
-    def closing(df, order, side):
-        values = [c for c in df.columns if c not in keys]
-        return df.groupBy(*keys).agg(
-            F.max_by(F.struct(*values), order_struct(*order)).alias(f"_last_{side}"),
-            F.count("*").alias(f"_n_{side}"),
+    return paired.select(
+        *keys,
+        F.col("_i").alias("row_in_key"),
+        F.col("_a").isNotNull().alias("in_a"),
+        F.col("_b").isNotNull().alias("in_b"),
+        *[F.col(f"_a.{c}").alias(c) for c in a.columns if c not in [*keys, *shared]],
+        *[F.when(F.col("_b_wins"), F.col(f"_b.{c}")).otherwise(F.col(f"_a.{c}")).alias(c) for c in shared],
+        *[F.col(f"_b.{c}").alias(c) for c in b.columns if c not in [*keys, *shared]],
+        *[F.col(f"_a.{c}").alias(c + suffixes[0]) for c in shared],
+        *[F.col(f"_b.{c}").alias(c + suffixes[1]) for c in shared],
+    )
+
+
+def _values(df: DataFrame, keys: list[str]) -> Column:
+    return F.struct(*[c for c in df.columns if c not in keys])
+
+
+def _pair_in_key(a: DataFrame, b: DataFrame, keys: list[str], order_a: list[str], order_b: list[str]) -> DataFrame:
+    """Paired rows (keys, _i, _a, _b, _b_wins) by windows over one hash partitioning."""
+    stacked = a.select(*keys, order_struct(*order_a).alias("_order_a"), _values(a, keys).alias("_a")).unionByName(
+        b.select(*keys, order_struct(*order_b).alias("_order_b"), _values(b, keys).alias("_b")), allowMissingColumns=True
+    ).repartition(*keys)
+    in_side = Window.partitionBy(*keys, F.col("_a").isNull()).orderBy("_order_a", "_order_b")
+    so_far = Window.partitionBy(*keys).orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    pairs = (
+        stacked.withColumn("_i", F.row_number().over(in_side).cast("bigint"))
+        .groupBy(*keys, "_i")
+        .agg(F.first("_a", ignorenulls=True).alias("_a"), F.first("_b", ignorenulls=True).alias("_b"))
+    )
+    return pairs.select(
+        *keys,
+        "_i",
+        F.last("_a", ignorenulls=True).over(so_far).alias("_a"),
+        F.last("_b", ignorenulls=True).over(so_far).alias("_b"),
+        F.col("_b").isNotNull().alias("_b_wins"),
+    )
+
+
+def _pair_by_position(a: DataFrame, b: DataFrame, keys: list[str], order_a: list[str], order_b: list[str]) -> DataFrame:
+    """The same pairs for a few keys of any size: joined on key and row number."""
+
+    def side(df, order, name, prefix):
+        ranked = rank_by_position(df, keys, order, "_i")
+        return ranked.select(
+            *[F.col(k).alias(prefix + k) for k in keys], F.col("_i").alias(f"{prefix}_i"), _values(df, keys).alias(name)
         )
 
-    def renamed(df, prefix):
-        return df.select(*[F.col(c).alias(prefix + c) if c in [*keys, "_i"] else F.col(c) for c in df.columns])
+    def last_row(df, order, name, prefix):
+        last = F.max_by(_values(df, keys), order_struct(*order)).alias(name)
+        return F.broadcast(df.groupBy(*keys).agg(last).select(*[F.col(k).alias(prefix + k) for k in keys], name))
 
-    left, right = numbered(a, order_a, "a"), renamed(numbered(b, order_b, "b"), "_r_")
-    paired = left.join(right, null_safe_on(left, right, [*keys, "_i"], "_r_"), "full")
-    paired = paired.select(
+    left, right = side(a, order_a, "_a", ""), side(b, order_b, "_b", "_r_")
+    pairs = left.join(right, null_safe_on(left, right, [*keys, "_i"], "_r_"), "full").select(
         *[F.when(F.col("_a").isNotNull(), F.col(k)).otherwise(F.col(f"_r_{k}")).alias(k) for k in keys],
         F.coalesce("_i", "_r__i").alias("_i"),
-        "_a",
-        "_b",
-    )
-
-    # One row per key with the last row and the row count of both sides.
-    ends_a, ends_b = closing(a, order_a, "a"), renamed(closing(b, order_b, "b"), "_r_")
-    ends = ends_a.join(ends_b, null_safe_on(ends_a, ends_b, keys, "_r_"), "full").select(
-        *[F.when(F.col("_n_a").isNotNull(), F.col(k)).otherwise(F.col(f"_r_{k}")).alias(k) for k in keys],
-        "_last_a",
-        "_last_b",
-        F.coalesce("_n_a", F.lit(0)).alias("_n_a"),
-        F.coalesce("_n_b", F.lit(0)).alias("_n_b"),
+        F.col("_a").alias("_own_a"),
+        F.col("_b").alias("_own_b"),
     )
-    whole = join_back(paired, ends, keys, "inner")
-    from_a, from_b = F.coalesce("_a", "_last_a"), F.coalesce("_b", "_last_b")
-    whole = whole.withColumn("_from_a", from_a).withColumn("_from_b", from_b)
-    b_wins = F.col("_i") <= F.col("_n_b")
-    return whole.select(
+    for df, order, name, prefix in ((a, order_a, "_last_a", "_la_"), (b, order_b, "_last_b", "_lb_")):
+        closing = last_row(df, order, name, prefix)
+        pairs = pairs.join(closing, null_safe_on(pairs, closing, keys, prefix), "left")
+    return pairs.select(
         *keys,
-        F.col("_i").alias("row_in_key"),
-        (F.col("_n_a") > 0).alias("in_a"),
-        (F.col("_n_b") > 0).alias("in_b"),
-        *[F.col(f"_from_a.{c}").alias(c) for c in only_a],
-        *[F.when(b_wins, F.col(f"_from_b.{c}")).otherwise(F.col(f"_from_a.{c}")).alias(c) for c in shared],
-        *[F.col(f"_from_b.{c}").alias(c) for c in only_b],
-        *[F.col(f"_from_a.{c}").alias(c + suffixes[0]) for c in shared],
-        *[F.col(f"_from_b.{c}").alias(c + suffixes[1]) for c in shared],
+        "_i",
+        F.coalesce("_own_a", "_last_a").alias("_a"),
+        F.coalesce("_own_b", "_last_b").alias("_b"),
+        F.col("_own_b").isNotNull().alias("_b_wins"),
     )
 
 
@@ -257,7 +285,7 @@ def theta_flag(
     seen = right.groupBy(*keys).agg(
         *[F.bool_or(F.coalesce(m, F.lit(False))).alias(f"_seen{k}") for k, m in enumerate(marks)]
     )
-    joined = left.join(seen, keys, "left")
+    joined = join_back(left, seen, keys)
     hit = reduce(
         lambda x, y: x | y,
         [F.coalesce(F.col(f"_seen{k}"), F.lit(False)) & F.coalesce(t, F.lit(False)) for k, t in enumerate(tests)],
@@ -286,4 +314,4 @@ def media_allow_list(
     """Posts of an allowed type; an account with none gets its fallback posts instead."""
     kept = posts.filter(F.col(media_type).isin(allowed))
     served = kept.select(account).distinct()
-    return kept.unionByName(fallback.join(served, account, "left_anti"), allowMissingColumns=True)
+    return kept.unionByName(join_back(fallback, served, [account], "left_anti"), allowMissingColumns=True)

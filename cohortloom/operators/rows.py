@@ -51,7 +51,7 @@ def carry_last_assignment(
     )
 
 
-def random_surrogate_id(df: DataFrame, key: str, seed: int | str, name: str = "obs", digits: int = 4) -> DataFrame:
+def random_surrogate_id(df: DataFrame, key: str, seed: int | str, name: str = "obs", digits: int | None = None) -> DataFrame:
     """Distinct keys numbered 1..n in a repeatable random order."""
     keys = df.select(key).distinct().withColumn("_digest", hash_order(seed, key))
     return hash_rank(keys, [], "_digest", [key], name, digits).drop("_digest")

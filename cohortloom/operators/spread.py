@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from cohortloom.session import HOT_ROWS, freeze
+from cohortloom.session import HOT_ROWS, PIECE_ROWS, broadcast_if_small, freeze
 
 _IN_PARTITION = (1 << 33) - 1
 
@@ -64,34 +64,54 @@ def ordered_index(df: DataFrame, order: list[str], name: str = "position") -> Da
     )
 
 
-def rank_within(
-    df: DataFrame, keys: list[str], order: list[str], name: str = "row_in_key", hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Row number inside each key, in a total order.
+def hot_keys(keys: list[str], hot_rows: int, *tables: DataFrame) -> DataFrame | None:
+    """The keys with more than ``hot_rows`` rows in any of the tables; None if there are none.
 
-    Keys are counted first (one column, map-side combined).  Without hot keys
-    this is a plain window.  Hot keys are taken out and numbered by
-    :func:`ordered_index` instead, so that no task receives a whole hot key.
+    Counts one column set per table, map-side combined.  The result is frozen
+    and no longer than total rows / hot_rows, so it may be broadcast.
     """
-    numbered = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
-    hot = freeze(df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows))
-    if hot.isEmpty():
-        return df.withColumn(name, numbered)
-    marks = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_is_hot"))
-    tagged = df.join(F.broadcast(marks), null_safe_on(df, marks, keys, "_hot_"), "left").drop(
-        *[f"_hot_{k}" for k in keys]
-    )
-    cold = tagged.filter(F.col("_is_hot").isNull()).drop("_is_hot").withColumn(name, numbered)
-    placed = ordered_index(tagged.filter(F.col("_is_hot")).drop("_is_hot"), [*keys, *order], "_pos")
+    found = None
+    for df in tables:
+        counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+        found = counted if found is None else found.unionByName(counted)
+    found = freeze(found.distinct() if len(tables) > 1 else found)
+    return None if found.isEmpty() else found
+
+
+def split_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of the hot keys, all other rows), by a broadcast of the bounded key list."""
+    marks = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    condition = null_safe_on(df, marks, keys, "_hot_")
+    return df.join(F.broadcast(marks), condition, "left_semi"), df.join(F.broadcast(marks), condition, "left_anti")
+
+
+def rank_by_position(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """Row number inside each of a few keys of any size, from global positions."""
+    placed = ordered_index(df, [*keys, *order], "_pos")
     starts = placed.groupBy(*keys).agg(F.min("_pos").alias("_first")).select(
         *[F.col(k).alias(f"_hot_{k}") for k in keys], "_first"
     )
-    ranked = (
+    return (
         placed.join(F.broadcast(starts), null_safe_on(placed, starts, keys, "_hot_"))
         .withColumn(name, F.col("_pos") - F.col("_first") + 1)
         .select(*df.columns, name)
     )
-    return cold.unionByName(ranked)
+
+
+def rank_within(
+    df: DataFrame, keys: list[str], order: list[str], name: str = "row_in_key", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Row number inside each key, in a total order.
+
+    Without hot keys this is a plain window.  Hot keys are taken out and
+    numbered by position instead, so that no task receives a whole hot key.
+    """
+    numbered = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
+    hot = hot_keys(keys, hot_rows, df)
+    if hot is None:
+        return df.withColumn(name, numbered)
+    large, small = split_hot(df, hot, keys)
+    return small.withColumn(name, numbered).unionByName(rank_by_position(large, keys, order, name))
 
 
 def hash_order(seed: int | str, *keys: str) -> Column:
@@ -100,14 +120,21 @@ def hash_order(seed: int | str, *keys: str) -> Column:
 
 
 def hash_rank(
-    df: DataFrame, groups: list[str], digest: str, ties: list[str], name: str, digits: int = 4, total: str | None = None
+    df: DataFrame, groups: list[str], digest: str, ties: list[str], name: str, digits: int | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """Row number inside each group by an evenly spread hex digest.
 
     The first digits cut every group, however large, into 16**digits even
-    pieces.  Rows are numbered inside their piece and shifted by the rows of
-    the pieces before it, so neither a window nor a join sees a whole group.
+    pieces of about PIECE_ROWS rows or less.  Rows are numbered inside their
+    piece and shifted by the rows of the pieces before it.  The shifts are one
+    row per group and piece and are broadcast when they are few, so the data is
+    shuffled once.  ``total`` also returns the size of the group.
     """
+    if digits is None:
+        rows, digits = df.count(), 1
+        while rows > PIECE_ROWS * 16**digits:
+            digits += 1
     cut = df.withColumn("_piece", F.substring(digest, 1, digits))
     sizes = cut.groupBy(*groups, "_piece").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy(*groups).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -117,6 +144,7 @@ def hash_rank(
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
         *([F.sum("_n").over(Window.partitionBy(*groups)).alias(total)] if total else []),
     )
+    shift = broadcast_if_small(freeze(shift))
     local = F.row_number().over(Window.partitionBy(*groups, "_piece").orderBy(digest, *ties))
     numbered = cut.withColumn("_local", local)
     return (

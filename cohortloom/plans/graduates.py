@@ -26,6 +26,7 @@ from cohortloom.operators.joins import (
 )
 from cohortloom.operators.rows import keep_or_last, running_flag
 from cohortloom.operators.setops import typed_union
+from cohortloom.operators.spread import join_back
 
 
 @dataclass
@@ -112,7 +113,7 @@ def graduate_fact(t: GraduateTables) -> DataFrame:
     ).distinct()
     df = null_matching_join(df, met, ["emplid", "college_id"])
     aid = t.aid.select("emplid", "aid_year", "pell_eligibility").distinct()
-    df = df.withColumn("aid_year", year_from_term("completion_term")).join(aid, ["emplid", "aid_year"], "left")
+    df = join_back(df.withColumn("aid_year", year_from_term("completion_term")), aid, ["emplid", "aid_year"])
     remedial = t.transfer_courses.filter(F.col("course_level") == fv.REMEDIAL_LEVEL).select(
         "emplid", F.col("trnsfr_src_id").alias("college_id"), F.lit(True).alias("remedial")
     ).distinct()
@@ -127,12 +128,12 @@ def graduate_fact(t: GraduateTables) -> DataFrame:
         & F.col("admit_type").isin(fv.FRESHMAN_ADMITS)
         & (F.col("nc_enrolled") == "Y")
     ).select("emplid", F.lit(True).alias("freshman")).distinct()
-    df = df.join(freshmen, "emplid", "left")
+    df = join_back(df, freshmen, ["emplid"])
 
     sub_plans = programs.withColumn("sub_plan", placeholder_key("acad_sub_plan", fv.NO_SUB_PLAN)).select(
         "emplid", "strm", "acad_plan", "sub_plan"
     ).distinct()
-    df = df.join(sub_plans, ["emplid", "strm", "acad_plan"], "left")
+    df = join_back(df, sub_plans, ["emplid", "strm", "acad_plan"])
     required = t.requirements.filter(F.col("rqrmnt_list_seq") == fv.REQUIREMENT_SEQUENCE).select(
         "acad_plan", F.col("acad_sub_plan").alias("sub_plan"), "eff_status", "effdt", "min_units_reqd"
     )
@@ -159,7 +160,10 @@ def graduate_fact(t: GraduateTables) -> DataFrame:
 
 
 def overview(fact: DataFrame) -> DataFrame:
-    """Running community-college flag per student; rows with a school, or the plan's last row."""
+    """Running community-college flag per student; rows with a school, or the plan's last row.
+
+    Reads ``fact`` several times: pass the saved table, not the join itself.
+    """
     rows = fact.withColumn("_last_first", F.when(F.col("ncccs") == "Y", 0).otherwise(1))
     ties = [c for c in FACT_COLUMNS if c not in ("emplid", "acad_plan", "ncccs")]
     order = ["acad_plan", "_last_first", *ties]

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 # total_rows / HOT_ROWS keys can be hot, which bounds every broadcast of hot keys.
 HOT_ROWS = 1_000_000
 
+# Rows that one task may number in a window.
+PIECE_ROWS = 1_000_000
+
 # Tables with no more rows than this may be broadcast after they were counted.
 BROADCAST_ROWS = 200_000
 
