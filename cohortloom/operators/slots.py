@@ -34,7 +34,8 @@ def slots_explode(
 ) -> DataFrame:
     """One row per slot that meets the condition; a row may come out several times."""
     columns = keep or [c for c in df.columns if c != name]
-    out = df.select(*columns, F.posexplode(name).alias("_at", "_slot"))
+    # The outer form keeps the optimiser from evaluating the array a second time in an inferred filter.
+    out = df.select(*columns, F.posexplode_outer(name).alias("_at", "_slot")).filter(F.col("_at").isNotNull())
     if condition is not None:
         out = out.filter(condition(F.col("_slot")))
     return out.select(*columns, (F.col("_at") + 1).alias(position), F.col("_slot.*"))
@@ -96,53 +97,51 @@ def slots_resolve(
         F.col("status_strm").isin(session_terms), F.lit(False)
     )
 
-    def hit(i):
-        slot = F.get(F.col("slots"), i)
+    def touched(slot):
         return (
             slot["cipcode"].eqNullSafe(F.col("cip_code_sis"))
             & slot["crd_lvl"].eqNullSafe(F.col("crd_lvl_sis"))
             & slot["prg_stat"].eqNullSafe(fv.WITHDRAWN)
         )
 
-    carried = []
-    ended = F.lit(False)
-    for i in range(count):
-        assigned = F.when(hit(i) & graduated, fv.GRADUATED).when(
-            hit(i) & F.col("prog_status").isin(fv.PROGRAM_STOPPED), fv.WITHDRAWN
-        )
-        carried.append(F.max_by(assigned, F.when(assigned.isNotNull(), position)).alias(f"_carried{i}"))
-        ended = ended | (hit(i) & graduated & in_session)
-    active = [
-        (hit(i) & ~graduated & F.col("prog_status").eqNullSafe(fv.PROGRAM_ACTIVE)).alias(f"a{i}")
-        for i in range(count)
-    ]
+    def assigned(hit):
+        stopped = F.col("prog_status").isin(fv.PROGRAM_STOPPED)
+        return F.when(hit & F.col("_graduated"), fv.GRADUATED).when(hit & stopped, fv.WITHDRAWN)
+
+    def active(hit):
+        return hit & ~F.col("_graduated") & F.col("prog_status").eqNullSafe(fv.PROGRAM_ACTIVE)
+
     others = [c for c in rows.columns if c not in keys]
-    students = rows.groupBy(*keys).agg(
-        F.max_by(F.struct(*others, F.struct(*active).alias("_active")), position).alias("_last"),
-        F.bool_or(ended).alias("_ended"),
-        *carried,
+    marked = (
+        rows.withColumns({"_graduated": graduated, "_hits": F.transform("slots", touched)})
+        .withColumns({"_assigned": F.transform("_hits", assigned), "_active": F.transform("_hits", active)})
+        .withColumn("_ended", F.exists("_hits", lambda hit: hit) & F.col("_graduated") & in_session)
+    )
+    letters = [F.get("_assigned", i) for i in range(count)]
+    students = marked.groupBy(*keys).agg(
+        F.max_by(F.struct(*others, "_active"), position).alias("_last"),
+        F.bool_or("_ended").alias("_ended"),
+        *[F.max_by(x, F.when(x.isNotNull(), position)).alias(f"_carried{i}") for i, x in enumerate(letters)],
+    )
+    students = students.select(
+        *keys, "_ended", "_last.*", F.array(*[F.col(f"_carried{i}") for i in range(count)]).alias("_carried")
     )
 
-    def settle(i):
-        slot = F.get(F.col("_last.slots"), i)
-        own = slot["prg_stat"]
-        enrolled = F.col(f"_last._active.a{i}") | (own.isNotNull() & ~own.eqNullSafe(fv.WITHDRAWN))
+    def settle(slot, i):
+        own, load_now = slot["prg_stat"], F.col(load)
+        carried, handed = F.get(F.col("_carried"), i), F.get(F.col("_active"), i)
+        enrolled = handed | (own.isNotNull() & ~own.eqNullSafe(fv.WITHDRAWN))
         # An active last row hands over the load; a load of W then still yields to a carried status.
-        given = F.when(enrolled, F.col(f"_last.{load}")).otherwise(own)
-        handed_withdrawn = F.col(f"_last._active.a{i}") & F.col(f"_last.{load}").eqNullSafe(fv.WITHDRAWN)
-        status = F.when(
-            (~enrolled | handed_withdrawn) & F.col(f"_carried{i}").isNotNull(), F.col(f"_carried{i}")
-        ).otherwise(given)
+        yields = ~enrolled | (handed & load_now.eqNullSafe(fv.WITHDRAWN))
+        status = F.when(yields & carried.isNotNull(), carried).when(enrolled, load_now).otherwise(own)
         date = F.when(
             slot["p_stat_dt"].isNull() & status.isNotNull(), F.greatest(F.lit(term_start), slot["prg_start"])
         ).otherwise(slot["p_stat_dt"])
         changed = {"prg_stat": status, "p_stat_dt": date}
         return F.struct(*[changed.get(f, slot[f]).alias(f) for f in SLOT_FIELDS])
 
-    kept = [F.col(f"_last.{c}").alias(c) for c in others if c not in ("slots", "end_dt")]
     end_date = F.when(F.col("_ended"), F.lit(grad_date))
     if "end_dt" in others:
-        end_date = F.coalesce(end_date, F.col("_last.end_dt"))
-    return students.select(
-        *keys, *kept, end_date.alias("end_dt"), F.array(*[settle(i) for i in range(count)]).alias("slots")
-    )
+        end_date = F.coalesce(end_date, F.col("end_dt"))
+    kept = [c for c in others if c not in ("slots", "end_dt")]
+    return students.select(*keys, *kept, end_date.alias("end_dt"), F.transform("slots", settle).alias("slots"))
