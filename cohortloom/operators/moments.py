@@ -61,20 +61,21 @@ def density_histogram(df: DataFrame, value: str, start: float | None = None, ste
     """
     if start is None or step is None:
         breaks = histogram_breaks(df, value)
-        first, width = breaks.select("start").scalar(), breaks.select("step").scalar()
     else:
-        first, width = F.lit(float(start)), F.lit(float(step))
-    rows = df.filter(F.col(value).isNotNull())
-    n = rows.agg(F.count("*")).scalar()
-    at = (F.col(value) - first) / width
-    cell = F.greatest(F.ceil(at) - 1, F.lit(0)).cast("bigint")
-    binned = rows.groupBy(cell.alias("bin")).agg(F.count("*").alias("count"))
-    return binned.select(
+        breaks = df.agg(F.count(value).alias("n")).select(
+            F.lit(float(start)).alias("start"), F.lit(float(step)).alias("step"), "n"
+        )
+    rows = df.filter(F.col(value).isNotNull()).select(
+        F.col(value).alias("_x"), breaks.select(F.struct("start", "step", "n")).scalar().alias("_b")
+    )
+    first, width = F.col("_b.start"), F.col("_b.step")
+    cell = F.greatest(F.ceil((F.col("_x") - first) / width) - 1, F.lit(0)).cast("bigint")
+    return rows.groupBy("_b", cell.alias("bin")).agg(F.count("*").alias("count")).select(
         "bin",
         (first + F.col("bin") * width).alias("bin_left"),
         (first + (F.col("bin") + 1) * width).alias("bin_right"),
         "count",
-        (F.col("count") / (n * width)).alias("density"),
+        (F.col("count") / (F.col("_b.n") * width)).alias("density"),
     )
 
 
