@@ -171,7 +171,7 @@ def asof_term_join(spark, sf):
     )
     joined = joins.asof_term_join(
         events.select("event_id", "user_id", "ts", "event_type"), signups, ["user_id"], "ts", "signup_ts",
-        bucket=lambda t: F.to_date(t),
+        bucket=lambda t: F.date_trunc("HOUR", t),
     )
     return joined.drop("ts")
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.tails import f_pvalue, t_pvalue, t_quantile95, tukey_pvalue, tukey_quantile95
+from cohortloom.session import freeze
 
 
 def standardise(df: DataFrame, columns: list[str], suffix: str = "_z") -> DataFrame:
@@ -147,7 +148,7 @@ def _finish_t(row: DataFrame, keep: list[str], shift: float = 0.0) -> DataFrame:
 
 
 def _anova_parts(moments: DataFrame) -> DataFrame:
-    """Sums of squares and degrees of freedom from the group table: one row."""
+    """Sums of squares and degrees of freedom from the frozen group table: one row."""
     grand = moments.agg(F.sum(F.col("n") * F.col("mean")) / F.sum("n")).scalar()
     between = F.sum(F.col("n") * F.pow(F.col("mean") - grand, 2))
     within = F.sum(F.when(F.col("n") > 1, (F.col("n") - 1) * F.col("variance")).otherwise(0.0))
@@ -159,7 +160,7 @@ def _anova_parts(moments: DataFrame) -> DataFrame:
 
 def anova_one_way(df: DataFrame, group: str, value: str) -> DataFrame:
     """One-way analysis of variance; the group is always treated as categorical."""
-    row = _anova_parts(group_moments(df, group, value))
+    row = _anova_parts(freeze(group_moments(df, group, value)))
     row = row.withColumn("ms_between", F.try_divide("ss_between", F.col("df_between").cast("double"))).withColumn(
         "ms_within", F.try_divide("ss_within", F.col("df_within").cast("double"))
     )
@@ -175,7 +176,7 @@ def tukey_pairs(df: DataFrame, group: str, value: str) -> DataFrame:
     Pairs are formed over the levels of the group, the statistic's own result
     rows, never over data rows.
     """
-    m = group_moments(df, group, value)
+    m = freeze(group_moments(df, group, value))
     parts = _anova_parts(m)
     mse = parts.select(F.col("ss_within") / F.col("df_within")).scalar()
     dof = parts.select(F.col("df_within").cast("double")).scalar()

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from cohortloom import fixed_values as fv
+from cohortloom.session import freeze
 
 
 def ratio_of_sums(part: Column, whole: Column) -> Column:
@@ -61,23 +63,17 @@ def crosstab_counts(df: DataFrame, row: str, column: str) -> DataFrame:
 def crosstab_full(df: DataFrame, row: str, column: str) -> DataFrame:
     """Two-way counts with percent of the total, the row and the column.
 
-    Margins are sums of the cells; the grand total is a scalar subquery.
+    The cells are counted once and frozen; margins are sums of cells.
     """
-    cells = crosstab_counts(df, row, column)
-    rows = cells.groupBy(F.col(row).alias("_row")).agg(F.sum("n").alias("_row_n"))
-    columns = cells.groupBy(F.col(column).alias("_col")).agg(F.sum("n").alias("_col_n"))
-    total = cells.agg(F.sum("n")).scalar()
-    return (
-        cells.join(rows, F.col(row) == F.col("_row"))
-        .join(columns, F.col(column) == F.col("_col"))
-        .select(
-            row,
-            column,
-            "n",
-            ratio_of_sums(F.col("n"), total).alias("pct_total"),
-            ratio_of_sums(F.col("n"), F.col("_row_n")).alias("pct_row"),
-            ratio_of_sums(F.col("n"), F.col("_col_n")).alias("pct_col"),
-        )
+    cells = freeze(crosstab_counts(df, row, column))
+    n, total = F.col("n"), cells.agg(F.sum("n")).scalar()
+    return cells.select(
+        row,
+        column,
+        "n",
+        ratio_of_sums(n, total).alias("pct_total"),
+        ratio_of_sums(n, F.sum("n").over(Window.partitionBy(row))).alias("pct_row"),
+        ratio_of_sums(n, F.sum("n").over(Window.partitionBy(column))).alias("pct_col"),
     )
 
 

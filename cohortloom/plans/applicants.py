@@ -14,6 +14,10 @@ NUMERIC = ["hs_gpa", "hs_gpa_uwh", "satm", "satv", "sat_total", "actc", "hspct",
 CATEGORICAL = ["college", "gender", "first_gen", "tier_designation", "underrepresented_minority"]
 OUTCOME = "grad_years"
 
+# The ten neighbour counts tried, and the share of every class used for training.
+NEIGHBOUR_COUNTS = [5, 7, 9, 11, 13, 15, 17, 19, 21, 23]
+TRAINING_SHARE = 0.8
+
 
 def study_table(numeric: DataFrame, categorical: DataFrame, key: str, columns: list[str], factors: list[str], outcome: str) -> DataFrame:
     """Categoricals as dummies, three component scores, and the array of all features."""
@@ -49,3 +53,71 @@ def compare_models(
     for part in parts[1:]:
         whole = whole.unionByName(part)
     return whole
+
+
+def tune_neighbours(
+    folded: DataFrame, key: str, outcome: str, features: str = "features", ks: list[int] | None = None, repeats: int = 30
+) -> DataFrame:
+    """Cross-validated accuracy and kappa per neighbour count; one neighbour search per repeat serves all counts."""
+    ks = ks or NEIGHBOUR_COUNTS
+    scored = []
+    for repeat in range(1, repeats + 1):
+        rows = folded.filter(F.col("repeat") == repeat)
+        found = classify.nearest_neighbours(rows, rows, features, key, outcome, max(ks), fold="fold")
+        voted = rows.join(classify.knn_vote(found, key, ks), key)
+        scored.append(metrics.accuracy_kappa(voted, "predicted", outcome, ["k", "repeat", "fold"]))
+    return _per_value(scored, "k")
+
+
+def tune_tree(
+    folded: DataFrame, outcome: str, depths: list[int], features: str = "features", folds: int = 10, repeats: int = 30
+) -> DataFrame:
+    """Cross-validated accuracy and kappa per tree depth."""
+    scored = []
+    for depth in depths:
+        grown = classify.tree_cv(folded, features, outcome, folds, repeats, max_depth=depth)
+        scores = metrics.accuracy_kappa(grown, "predicted", outcome, ["repeat", "fold"])
+        scored.append(scores.withColumn("depth", F.lit(depth)))
+    return _per_value(scored, "depth")
+
+
+def _per_value(scored: list[DataFrame], value: str) -> DataFrame:
+    whole = scored[0]
+    for part in scored[1:]:
+        whole = whole.unionByName(part)
+    return whole.groupBy(value).agg(
+        F.count("*").alias("fits"), F.avg("accuracy").alias("accuracy"), F.stddev_samp("accuracy").alias("accuracy_sd"),
+        F.avg("kappa").alias("kappa"),
+    )
+
+
+def best_value(tuning: DataFrame, value: str, simpler_is_larger: bool) -> int:
+    """The tuning value of the highest accuracy; ties go to the simpler model."""
+    tie = F.col(value).desc() if simpler_is_larger else F.col(value).asc()
+    return tuning.orderBy(F.col("accuracy").desc(), tie).first()[value]
+
+
+def held_out_predictions(
+    table: DataFrame, key: str, outcome: str, numeric: list[str], features: str = "features", k: int = 5,
+    tree_depth: int = 5, seed: int = 1,
+) -> dict[str, DataFrame]:
+    """Predictions of every model for the held-out fifth of each class."""
+    parts = freeze(classify.stratified_split(table, outcome, key, TRAINING_SHARE, seed))
+    train, test = parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "test")
+    return {
+        "lda": classify.discriminant_predict(train, test, numeric, outcome),
+        "qda": classify.discriminant_predict(train, test, numeric, outcome, quadratic=True),
+        "knn": classify.knn_classify(train, test, features, key, outcome, k),
+        "tree": classify.tree_predict(train, test, features, outcome, max_depth=tree_depth),
+    }
+
+
+def held_out_scores(predictions: dict[str, DataFrame], outcome: str) -> DataFrame:
+    """Accuracy, kappa and no-information rate of every model on the held-out rows."""
+    parts = [
+        metrics.accuracy_kappa(df, "predicted", outcome).withColumn("model", F.lit(model)) for model, df in predictions.items()
+    ]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom import fixed_values as fv
+from cohortloom.operators import classify
 from cohortloom.operators.rows import random_surrogate_id
 from cohortloom.operators.slots import SLOT_FIELDS
 from cohortloom.plans import admissions, applicants, graduates, sessions
@@ -317,3 +318,19 @@ def test_applicant_study(spark):
     got = {(r.model, r.metric): r.value for r in scores.groupBy("model", "metric").agg(F.avg("value").alias("value")).collect()}
     assert {m for m, _ in got} == {"lda", "qda", "knn", "tree"}
     assert got["lda", "accuracy"] > 0.5
+
+    folded = freeze(classify.repeated_folds(study, "grad_years", "id", 2, 1))
+    tuning = freeze(applicants.tune_neighbours(folded, "id", "grad_years", ks=[1, 5, 9], repeats=1))
+    assert {r.k for r in tuning.collect()} == {1, 5, 9} and {r.fits for r in tuning.collect()} == {2}
+    assert applicants.best_value(tuning, "k", True) in (1, 5, 9)
+    depths = applicants.tune_tree(folded, "grad_years", [1, 3], folds=2, repeats=1)
+    assert {r.depth for r in depths.collect()} == {1, 3}
+    predicted = applicants.held_out_predictions(study, "id", "grad_years", ["pc1", "pc2", "pc3"])
+    scored = {r.model: r for r in applicants.held_out_scores(predicted, "grad_years").collect()}
+    assert {r.n for r in scored.values()} == {48} and scored["lda"].accuracy > scored["lda"].no_information_rate
+
+
+def test_best_value_prefers_the_simpler_model(spark):
+    tuning = table(spark, "k int, accuracy double", (5, 0.7), (9, 0.7), (11, 0.6))
+    assert applicants.best_value(tuning, "k", True) == 9
+    assert applicants.best_value(tuning, "k", False) == 5
