@@ -129,3 +129,18 @@ def media_label(media_type: Column, ts: Column, caption: Column, limit: int = fv
     whole = F.concat(kind, F.lit(" shared on "), F.date_format(ts, "EEE MMM dd yyyy"), F.lit(" | "), caption)
     cut = F.substring(whole, 1, limit)
     return F.when((F.length(cut) == limit) & cut.rlike("[A-Za-z0-9]$"), F.concat(cut, F.lit("..."))).otherwise(cut)
+
+
+def media_source(media_type: Column, media_url: Column, thumbnail_url: Column) -> Column:
+    """Address of the picture shown for a post: videos show their thumbnail."""
+    return F.when(media_type.eqNullSafe(fv.MEDIA_VIDEO), thumbnail_url).otherwise(media_url)
+
+
+def media_alt(caption: Column, label: Column, title: Column) -> Column:
+    """The label of a post with a caption, else its title."""
+    return F.when(F.coalesce(caption, F.lit("")) != "", label).otherwise(title)
+
+
+def media_title(title: Column, caption: Column) -> Column:
+    """The title, or the caption of a post without one."""
+    return F.when(F.coalesce(title, F.lit("")) != "", title).otherwise(caption)

@@ -6,13 +6,17 @@ done with the tables, is the caller's business.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom import fixed_values as fv
 from cohortloom.functions.scalars import label_concat
+from cohortloom.functions.terms import term_calendar
 from cohortloom.operators.joins import left_lookup_chain
-from cohortloom.operators.reports import report_filter, snapshot_compare, totals_report
+from cohortloom.operators.reports import nearest_history_date, report_filter, snapshot_compare, totals_report
 from cohortloom.operators.setops import override_union, snapshot_concat
 
 RATES = {"acceptance_pct": ("admit", "apply"), "yield_pct": ("will_enter", "admit")}
@@ -78,3 +82,55 @@ def spring_connect(rows: DataFrame, today: DataFrame, spring_term: str) -> DataF
             (deferred, {"applicant_type": label, "admit": F.lit(1), "will_enter": F.col("spring_def_we")}),
         ]
     )
+
+
+def daily_reports(
+    run_date: date,
+    read_snapshot: Callable[[str, date], DataFrame],
+    dates: DataFrame,
+    res_codes: DataFrame,
+    tiers: DataFrame,
+    history_override: date | None = None,
+) -> dict[tuple[str, str, str], tuple[DataFrame, DataFrame]]:
+    """All reports due on a day: (season, report, applicant type) to (totals, comparison).
+
+    ``read_snapshot`` gives the snapshot of a semester and day, ``dates`` the
+    days that have one (day, semester).  Only the one or two cycles and their
+    history dates are looked up here; every report is a lazy plan.  The unit
+    report is due on Mondays, the spring report in July and August.
+    """
+    spark = dates.sparkSession
+    today_lit = F.lit(run_date.isoformat()).cast("date")
+    override = F.lit(history_override.isoformat()).cast("date") if history_override else None
+    cycles = spark.range(1).select(F.explode(term_calendar(today_lit)).alias("c")).select("c.*").collect()
+    due: dict[tuple[str, str, str], tuple[DataFrame, DataFrame]] = {}
+    for cycle in cycles:
+        found = nearest_history_date(
+            dates, "day", today_lit, F.col("semester") == cycle.history_semester, override
+        ).first()
+        if found.history_date is None:
+            raise ValueError(f"no snapshot of semester {cycle.history_semester} to compare with")
+        today_day, history_day = run_date.isoformat(), found.history_date.isoformat()
+        today = read_snapshot(cycle.semester, run_date)
+        history = read_snapshot(cycle.history_semester, found.history_date)
+        rows = with_tiers(
+            combined_snapshots(today, history, today_day, history_day, list(cycle.terms), list(cycle.history_terms)),
+            res_codes,
+            tiers,
+        )
+        for applicant_type in fv.ADMISSION_TYPES:
+            kinds: list[tuple[str, list[str], Column | None]] = [
+                ("students", fv.ADMISSION_CLASSES, None), ("countries", ["country"], None)
+            ]
+            if run_date.weekday() == 0:
+                kinds.append(("unit", fv.UNIT_CLASSES, unit_condition()))
+            for kind, class_vars, extra in kinds:
+                due[cycle.season, kind, applicant_type] = admission_report(
+                    rows, applicant_type, today_day, history_day, class_vars, extra
+                )
+        if run_date.month in (7, 8):
+            spring_term = f"2{(run_date.year + 1) % 100:02d}1"
+            due[cycle.season, "spring", fv.SPRING_CONNECT] = admission_report(
+                spring_connect(rows, today, spring_term), fv.SPRING_CONNECT, today_day, history_day
+            )
+    return due

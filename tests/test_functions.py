@@ -110,6 +110,15 @@ def test_media_label(spark):
     assert label("x" * (121 - len(head)) + " tail") == head + "x" * (121 - len(head)) + " "
 
 
+def test_media_fields(spark):
+    c = F.col
+    rows = [("VIDEO", "m", "t", "cap", "ttl"), ("IMAGE", "m", "t", "", None), ("IMAGE", "m", "t", None, "ttl")]
+    ddl = "kind string, url string, thumb string, cap string, ttl string"
+    assert values(spark, scalars.media_source(c("kind"), c("url"), c("thumb")), rows, ddl) == ["t", "m", "m"]
+    assert values(spark, scalars.media_alt(c("cap"), F.lit("label"), c("ttl")), rows, ddl) == ["label", None, "ttl"]
+    assert values(spark, scalars.media_title(c("ttl"), c("cap")), rows, ddl) == ["ttl", "", "ttl"]
+
+
 def test_tails_against_published_tables():
     assert tails.t_critical(10) == pytest.approx(2.2281, abs=1e-4)
     assert tails.t_two_sided(2.0, 60) == pytest.approx(0.0500, abs=1e-4)

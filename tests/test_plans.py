@@ -88,6 +88,31 @@ def test_spring_connect_takes_both_branches(snapshots):
     assert as_set(admissions.spring_connect(rows, later, "2191"), "emplid", "will_enter") == {("2", 0), ("2", 1)}
 
 
+def test_daily_reports(spark, snapshots):
+    today, rows = snapshots
+    today = today.withColumn("country", F.lit("USA"))
+    read = {("2188", datetime.date(2018, 7, 2)): today, ("2178", datetime.date(2017, 7, 3)): today.withColumn("admit_term", F.lit("2178"))}
+    dates = table(
+        spark, "day date, semester string", (datetime.date(2017, 7, 1), "2178"), (datetime.date(2017, 7, 3), "2178"),
+        (datetime.date(2017, 7, 2), "2171"), (datetime.date(2017, 9, 1), "2178"),
+    )
+    res = table(spark, "nc_tui_res_code string, nc_tui_res_cd_dcr string", ("r1", "Wake"))
+    tiers = table(spark, "county string, tier_designation int", ("Wake", 3))
+    due = admissions.daily_reports(datetime.date(2018, 7, 2), lambda semester, day: read[semester, day], dates, res, tiers)
+    kinds = {(kind, of) for _, kind, of in due}
+    assert {season for season, _, _ in due} == {"Fall"}
+    assert kinds == {(k, t) for k in ("students", "countries", "unit") for t in fv.ADMISSION_TYPES} | {("spring", "Spring Connect")}
+    totals, compared = due["Fall", "countries", "Freshmen"]
+    assert {(r.dim, r.level, r.apply) for r in totals.collect()} == {("all", "Total", 3), ("country", "USA", 3)}
+    assert {r.apply_history for r in compared.collect()} == {4}
+    january = admissions.daily_reports(
+        datetime.date(2018, 1, 2), lambda semester, day: today, table(spark, "day date, semester string", (datetime.date(2017, 1, 5), "2178"), (datetime.date(2017, 1, 9), "2171")), res, tiers
+    )
+    assert {season for season, _, _ in january} == {"Fall", "Spring"}
+    with pytest.raises(ValueError):
+        admissions.daily_reports(datetime.date(2018, 7, 2), lambda s, d: today, dates.limit(0), res, tiers)
+
+
 # ---- session merge ---------------------------------------------------------
 
 RUN = sessions.SessionRun("2186", "2187", "20180516", "20180731", "20180801", "Summer 2018")
