@@ -8,7 +8,7 @@ from bindings import query, table
 from cohortloom.operators import classify, metrics, moments, order_stats
 from cohortloom.operators.components import PrincipalComponents, factor_analysis, pca_scores
 from cohortloom.plans.applicants import compare_models
-from cohortloom.session import freeze
+from cohortloom.session import freeze, saved
 
 _FOUR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -250,7 +250,7 @@ def _split_vectors(spark, sf):
     vectors = table(spark, sf, "embeddings").select(
         "vec_id", "label", "embedding", F.get("embedding", 0).cast("double").alias("x1"), F.get("embedding", 1).cast("double").alias("x2")
     )
-    parts = freeze(classify.stratified_split(vectors, "label", "vec_id"))
+    parts = saved(classify.stratified_split(vectors, "label", "vec_id"))
     return parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "test")
 
 

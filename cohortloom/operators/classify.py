@@ -183,13 +183,17 @@ def discriminant_cv(df: DataFrame, features: list[str], label: str, quadratic: b
 # ---- tree ------------------------------------------------------------------
 
 
+def _label_indexer(df: DataFrame, label: str):
+    return StringIndexer(inputCol=label, outputCol="_index", stringOrderType="alphabetAsc").fit(df)
+
+
 def tree_predict(
     train: DataFrame, test: DataFrame, features: str, label: str, name: str = "predicted", max_depth: int = 5,
-    min_info_gain: float = 0.01, seed: int = 1,
+    min_info_gain: float = 0.01, seed: int = 1, indexer=None,
 ) -> DataFrame:
     """Classification tree on an array column of features, depth and gain as tuning values."""
     as_vector = array_to_vector(F.col(features).cast("array<double>"))
-    indexer = StringIndexer(inputCol=label, outputCol="_index", stringOrderType="alphabetAsc").fit(train)
+    indexer = indexer or _label_indexer(train, label)
     tree = DecisionTreeClassifier(
         featuresCol="_vector", labelCol="_index", predictionCol="_predicted", rawPredictionCol="_raw",
         probabilityCol="_probability", maxDepth=max_depth, minInfoGain=min_info_gain, seed=seed,
@@ -203,12 +207,12 @@ def tree_predict(
 
 def tree_cv(df: DataFrame, features: str, label: str, folds: int, repeats: int, name: str = "predicted", **tuning) -> DataFrame:
     """Predict every row of (repeat, fold) by a tree grown on the other folds; one fit per fold."""
-    parts = []
+    parts, indexer = [], _label_indexer(df, label)
     for repeat in range(1, repeats + 1):
         rows = df.filter(F.col("repeat") == repeat)
         for fold in range(folds):
             train, test = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
-            parts.append(tree_predict(train, test, features, label, name, **tuning))
+            parts.append(tree_predict(train, test, features, label, name, indexer=indexer, **tuning))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from cohortloom.session import HOT_ROWS, PIECE_ROWS, broadcast_if_small, freeze
+from cohortloom.session import HOT_ROWS, PIECE_ROWS, broadcast_if_small, freeze, saved
 
 _IN_PARTITION = (1 << 33) - 1
 
@@ -46,14 +46,14 @@ def ordered_index(df: DataFrame, order: list[str], name: str = "position") -> Da
     """Number all rows 1..n in ``order`` without moving them through one task.
 
     A range sort splits the rows (also the rows of one key, as the order is
-    total), the sorted rows are frozen so that positions cannot change, and each
+    total), the sorted rows are saved so that positions cannot change, and each
     partition is shifted by the rows before it.  The table of offsets has one
     row per partition.
     """
     ranged = (
         df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
     )
-    frozen = freeze(ranged).withColumn("_part", F.shiftright("_at", 33))
+    frozen = saved(ranged).withColumn("_part", F.shiftright("_at", 33))
     sizes = frozen.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.operators import classify, metrics
 from cohortloom.operators.components import PrincipalComponents, pca_scores
-from cohortloom.session import freeze
+from cohortloom.session import saved
 
 # The numeric and the categorical columns of the study.
 NUMERIC = ["hs_gpa", "hs_gpa_uwh", "satm", "satv", "sat_total", "actc", "hspct", "trf_credits"]
@@ -37,7 +37,7 @@ def compare_models(
     The discriminants use the numeric columns and fit all folds in one pass;
     neighbours run once per repeat; the tree is grown once per fold.
     """
-    folded = freeze(classify.repeated_folds(table, outcome, key, folds, repeats))
+    folded = saved(classify.repeated_folds(table, outcome, key, folds, repeats))
     parts = [
         metrics.cv_metrics(classify.discriminant_cv(folded, numeric, outcome, quadratic), name, "predicted", outcome)
         for name, quadratic in (("lda", False), ("qda", True))
@@ -102,7 +102,7 @@ def held_out_predictions(
     tree_depth: int = 5, seed: int = 1,
 ) -> dict[str, DataFrame]:
     """Predictions of every model for the held-out fifth of each class."""
-    parts = freeze(classify.stratified_split(table, outcome, key, TRAINING_SHARE, seed))
+    parts = saved(classify.stratified_split(table, outcome, key, TRAINING_SHARE, seed))
     train, test = parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "test")
     return {
         "lda": classify.discriminant_predict(train, test, numeric, outcome),

@@ -60,11 +60,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}/{name}"
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """Write data-sized rows as parquet below the shared folder and read them from there.
+
+    Used where several parts of a plan must see the very same rows (row
+    positions, splits, folds).  Later reads prune columns.
+    """
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def freeze(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there.
+    """Checkpoint a small table (counts, brackets, group moments) to the shared folder.
 
-    Used where two parts of a plan must see the very same rows (row positions)
-    and for the small tables of iterative fits.  Survives executor loss.
+    It is computed once, its lineage is cut, and it survives executor loss.
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
