@@ -24,9 +24,11 @@ from cohortloom.operators.joins import (
     null_matching_join,
     other_row_exists,
 )
-from cohortloom.operators.rows import keep_or_last, running_flag
+from cohortloom.operators.rows import keep_or_last, random_surrogate_id, running_flag
 from cohortloom.operators.setops import typed_union
 from cohortloom.operators.spread import join_back
+from cohortloom.session import saved
+from cohortloom.sources.sinks import csv_write, sheet_write, table_persist
 
 
 @dataclass
@@ -225,3 +227,20 @@ def graduate_checks(students: DataFrame, courses: DataFrame) -> DataFrame:
             "unmatched_courses": checks.check_unmatched_courses(courses, accepted, "ncsu_subject"),
         }
     )
+
+
+def graduate_job(t: GraduateTables, folder: str, seed: int | str, crosswalk: DataFrame | None = None) -> DataFrame:
+    """The whole job: tables, crosswalk, internal exports with the id, public ones without; returns the checks.
+
+    A saved ``crosswalk`` (emplid, obs) is used as it is; without one a new
+    random numbering is drawn and saved below ``folder``.
+    """
+    view = saved(overview(saved(graduate_fact(t))))
+    courses = saved(course_detail(view, t))
+    if crosswalk is None:
+        crosswalk = table_persist(random_surrogate_id(view, "emplid", seed), f"{folder}/crosswalk")
+    tables = {"overview": pseudonymised(view, crosswalk), "courses": pseudonymised(courses, crosswalk)}
+    sheet_write(tables, f"{folder}/internal")
+    for name, df in tables.items():
+        csv_write(df, f"{folder}/public/{name}", drop=["emplid"])
+    return graduate_checks(view, courses)

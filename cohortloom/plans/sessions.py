@@ -16,8 +16,10 @@ from cohortloom.functions.missing import first_nonblank, null_sum, present
 from cohortloom.functions.scalars import band_ladder, char_from_end, code_normalise, decode, resolve_standing
 from cohortloom.operators import checks
 from cohortloom.operators.joins import effective_dated_join, match_merge, theta_flag
+from cohortloom.operators.reports import crosstab_counts, crosstab_full
 from cohortloom.operators.rows import duplicate_counts
 from cohortloom.operators.slots import SLOT_FIELDS, slots_explode, slots_keep_newest, slots_pack, slots_resolve
+from cohortloom.sources.sinks import enrollment_lines, fixed_width_write, table_persist
 
 
 @dataclass
@@ -157,3 +159,19 @@ def session_checks(combined: DataFrame, review: DataFrame, first: DataFrame, reg
             "duplicate_students": duplicate_counts(combined, ["emplid"]),
         }
     )
+
+
+def session_job(
+    first: DataFrame, second: DataFrame, loads: DataFrame, plans: DataFrame, checkouts: DataFrame,
+    plan_table: DataFrame, registration: DataFrame, run: SessionRun, folder: str,
+) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
+    """The whole job: saves the combined records, writes the file; returns records, checks and cross tabulations."""
+    combined, review = combine_sessions(first, second, loads, plans, checkouts, plan_table, run)
+    kept = table_persist(combined, f"{folder}/combined")
+    fixed_width_write(enrollment_lines(kept, run.label, run.run_date), f"{folder}/enrollment")
+    tables = {
+        "standing_by_career": crosstab_full(kept, "acad_summer_standing", "acad_career"),
+        "date_by_standing": crosstab_counts(kept, "status_dt_nslc", "acad_summer_standing"),
+        "indicator_by_date": crosstab_counts(kept, "program_indicator", "status_dt_nslc"),
+    }
+    return kept, session_checks(kept, review, first, registration, run), tables

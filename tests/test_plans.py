@@ -137,7 +137,7 @@ def slot(code, level, status, start="20170816", length="4"):
 
 
 @pytest.fixture(scope="module")
-def combined(spark):
+def session_inputs(spark):
     first = session_frame(
         spark,
         session_row("1", "W", slots=[slot("140901", "03", "W")]),
@@ -169,8 +169,13 @@ def combined(spark):
         ("NC", "17BIOBS", datetime.date(2000, 1, 1), "26.0101"), ("NC", "14CHEBS", datetime.date(2000, 1, 1), "14.0901"),
         ("NC", "14CHEBS", datetime.date(2030, 1, 1), "99.9999"), ("NC", "14CHEMS", datetime.date(2001, 1, 1), "14.0901"),
     )
-    done, review = sessions.combine_sessions(first, second, loads, plans, checkouts, plan_table, RUN)
-    return first, freeze(done), review
+    return first, second, loads, plans, checkouts, plan_table
+
+
+@pytest.fixture(scope="module")
+def combined(session_inputs):
+    done, review = sessions.combine_sessions(*session_inputs, RUN)
+    return session_inputs[0], freeze(done), review
 
 
 def test_combined_records(combined):
@@ -197,6 +202,16 @@ def test_session_checks(spark, combined):
     assert found == {"review_not_withdrawn": 2, "status_conflict": 1, "overwritten_status": 1, "duplicate_students": 0}
 
 
+def test_session_job(spark, session_inputs, tmp_path):
+    registration = table(spark, "emplid string, strm string, nc_reg_status string", ("9", "2187", "1"))
+    kept, found, tables = sessions.session_job(*session_inputs, registration, RUN, str(tmp_path))
+    assert kept.count() == 5
+    assert {r["check"]: r.violations for r in found.collect()}["status_conflict"] == 0
+    # Two students have no career and are left out of the two-way table.
+    assert sum(r.n for r in tables["standing_by_career"].collect()) == kept.dropna(subset=["acad_career"]).count()
+    assert spark.read.text(str(tmp_path / "enrollment")).count() == 7
+
+
 def test_session_file(spark, combined, tmp_path):
     _, done, _ = combined
     path = str(tmp_path / "file")
@@ -316,6 +331,16 @@ def test_overview_and_courses(spark, fact, grad_tables):
     assert found == {"missing_credit_total": 1, "unmatched_courses": 2}
 
 
+def test_graduate_job(spark, grad_tables, tmp_path):
+    found = graduates.graduate_job(grad_tables, str(tmp_path), 7)
+    assert {r["check"] for r in found.collect()} == {"missing_credit_total", "unmatched_courses"}
+    crosswalk = spark.read.parquet(str(tmp_path / "crosswalk"))
+    assert as_set(crosswalk, "obs") == {(1,), (2,)}
+    public = spark.read.csv(str(tmp_path / "public" / "courses"), header=True)
+    assert public.count() == 5 and "emplid" not in public.columns and "obs" in public.columns
+    assert spark.read.csv(str(tmp_path / "internal" / "overview"), header=True).count() == 3
+
+
 def test_pseudonymised_export(spark, fact, tmp_path):
     crosswalk = random_surrogate_id(fact, "emplid", 1)
     assert as_set(crosswalk, "obs") == {(1,), (2,)}
