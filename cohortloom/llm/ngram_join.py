@@ -307,6 +307,24 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     )
 
 
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the row with the smallest doc_id stays.
+
+    Rows that repeat a doc_id are one document, of which one row stays.  Rows
+    without doc_id or without words have no copies and stay.  All columns stay.
+    """
+    found = similar_sets(docs.select("doc_id", "text"), width, percent)
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(broadcast_if_small(freeze(gone)), "doc_id", "left_anti").select(*docs.columns)
+    repeated = freeze(found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return kept
+    repeated = broadcast_if_small(repeated)
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(
+        kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    )
+
+
 @query("op8_ngram_jaccard_join")
 def op8_ngram_jaccard_join(spark, sf):
     return similar_sets(table(spark, sf, "documents").select("doc_id", "text"), width=3, percent=90)

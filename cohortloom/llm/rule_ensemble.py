@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.registry import held_out, query, table
-from cohortloom.session import saved
 
 MAX_ROWS = 20_000  # labelled rows the rules are learned from
 TREES = 40
@@ -174,17 +173,18 @@ def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = TREES, penalty: float =
     return RuleModel(float(b), [(r, float(v)) for r, v in zip(kept, w) if v != 0])
 
 
-def fit(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleModel:
-    """Learn from (doc_id, stats) rows and (doc_id, quality) labels, at most about ``max_rows`` of them.
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleModel:
+    """Learn from (doc_id, text) rows and (doc_id, quality) labels, at most about ``max_rows`` of them.
 
-    The sample is chosen by a hash of the id.  Null labels teach nothing; of
-    several labels of one document the lowest counts.
+    The sample is chosen by a hash of the id, before any text is looked at.
+    Null labels teach nothing; of several labels of one document the lowest counts.
     """
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    joined = known.join(stats.select("doc_id", "stats"), "doc_id")
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("rules")), F.lit(1_000_000))
     share = int(1_000_000 * max_rows / max(1, known.count())) + 1
-    rows = joined.filter(place < share).orderBy("doc_id", *[F.col("stats")[s] for s in STATS]).select("stats.*", "quality").toPandas()
+    chosen = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("rules")), F.lit(1_000_000)) < share
+    stats = with_statistics(docs.select("doc_id", "text").filter(chosen)).select("doc_id", "stats")
+    joined = known.filter(chosen).join(stats, "doc_id").select("doc_id", "stats.*", "quality")
+    rows = joined.toPandas().sort_values(["doc_id", *STATS], kind="stable")
     return fit_rules(rows[STATS].to_numpy(dtype=float), rows["quality"].to_numpy(dtype=float))
 
 
@@ -192,22 +192,20 @@ def with_statistics(docs: DataFrame, name: str = "stats") -> DataFrame:
     return docs.withColumn(name, text_statistics(F.col("text").cast("string")))
 
 
-def classify(docs: DataFrame, labelled: DataFrame, labels: DataFrame, name: str = "score") -> DataFrame:
+def classify(docs: DataFrame, model: RuleModel, name: str = "score") -> DataFrame:
     """Add ``name``, the probability of quality 1, to every row of ``docs``.
 
-    ``labelled`` are the documents to learn from (doc_id, text).  Null, empty
-    and very long texts are scored from their statistics like any other; equal
-    texts get equal scores; an existing column of this name is replaced.
+    Null, empty and very long texts are scored from their statistics like any
+    other; equal texts get equal scores; an empty table stays empty; an existing
+    column of this name is replaced.
     """
-    chosen = labelled.select("doc_id", "text").join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    model = fit(with_statistics(chosen), labels)
-    return with_statistics(docs, "_rule_stats").withColumn(name, model.column(F.col("_rule_stats"))).drop("_rule_stats")
+    scored = with_statistics(docs, "_rule_stats").withColumn(name, model.column(F.col("_rule_stats")))
+    return scored.drop("_rule_stats")
 
 
-@query("op4_quality_rules_ensemble")
-def op4_quality_rules_ensemble(spark, sf):
+@query("op4_quality_rule_ensemble")
+def op4_quality_rule_ensemble(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    stats = saved(with_statistics(docs).select("doc_id", "stats"))  # one pass over the texts serves fit and score
-    model = fit(stats.filter(F.col("doc_id").isNotNull() & ~held_out()), table(spark, sf, "labels"))
-    score = stats.select("doc_id", held_out().alias("held_out"), model.column(F.col("stats")).alias("score"))
-    return score.withColumn("predicted", (F.col("score") >= ACCEPT).cast("int"))
+    model = fit(docs.filter(F.col("doc_id").isNotNull() & ~held_out()), table(spark, sf, "labels"))
+    scored = classify(docs, model).select("doc_id", held_out().alias("held_out"), "score")
+    return scored.withColumn("predicted", (F.col("score") >= ACCEPT).cast("int"))
