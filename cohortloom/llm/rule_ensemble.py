@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cohortloom.llm.registry import held_out, query, table
 
@@ -65,7 +66,7 @@ def statistics_of(text: str | None) -> list[float]:
     ]
 
 
-@F.pandas_udf("struct<" + ",".join(f"{s}:double" for s in STATS) + ">")
+@F.pandas_udf(StructType([StructField(s, DoubleType()) for s in STATS]))
 def text_statistics(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([statistics_of(t) for t in texts], columns=STATS, dtype=float)
 
