@@ -24,7 +24,8 @@ from cohortloom.session import broadcast_if_small, freeze, saved
 
 COUNTERS = 1 << 18  # of the sketch of document counts that orders tokens rare first
 CHUNK = 1 << 21  # bytes of text hashed at a time (a longer text is one chunk)
-SPARSE = 20  # open pairs per bucket row at which all of them are verified
+SPARSE = 4  # open pairs per bucket row at which all of them are verified
+SLOW = 0.9  # share of the open pairs a round of pivots must get below, or all of them are verified
 
 _U = np.uint64
 
@@ -118,12 +119,21 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def prefixes(sets: np.ndarray, levels: np.ndarray, percent: int, order: int) -> np.ndarray:
-    """The first tokens of a set in the order (document-count level, scramble of the token)."""
-    mixed = _mix(sets, _SALTS[order])
-    key = (levels[(sets & _U(COUNTERS - 1)).astype(np.int64)].astype(_U) << _U(58)) | (mixed >> _U(6))
-    size = prefix_size(len(sets), percent)
-    return mixed if size >= len(sets) else mixed[np.argpartition(key, size - 1)[:size]]
+def order_keys(tokens: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray:
+    """The place of tokens in an order: by document-count level, then by a scramble that differs between the orders."""
+    return (levels[(tokens & _U(COUNTERS - 1)).astype(np.int64)].astype(_U) << _U(57)) | (_mix(tokens, _SALTS[order]) >> _U(7))
+
+
+def prefixes(tokens: np.ndarray, levels: np.ndarray, percent: int, order: int) -> np.ndarray:
+    """The order keys of the first tokens of a set, unsorted."""
+    keys = order_keys(tokens, levels, order)
+    size = prefix_size(len(tokens), percent) if len(tokens) else 0
+    return keys if size >= len(keys) else np.partition(keys, size - 1)[:size]
+
+
+def least_overlap(n_a, n_b, percent: int):
+    """Tokens that two sets of these sizes share at least when they are similar enough (columns)."""
+    return F.ceil((n_a + n_b) * percent / (100 + percent) - 1e-9)
 
 
 def _profiles(docs: DataFrame, width: int) -> DataFrame:
@@ -169,7 +179,7 @@ def _signatures(docs: DataFrame, width: int, percent: int, levels) -> DataFrame:
         for batch in batches:
             ids = batch.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False)
             sets = shingle_sets(_texts(batch), width)
-            tokens = [prefixes(s, levels.value, percent, 0) if len(s) else s for s in sets]
+            tokens = [prefixes(s, levels.value, percent, 0) for s in sets]
             sizes = [len(t) for t in tokens]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -183,15 +193,31 @@ def _signatures(docs: DataFrame, width: int, percent: int, levels) -> DataFrame:
 
 
 def _with_orders(docs: DataFrame, width: int, percent: int, levels) -> DataFrame:
-    """(doc_id, text, second, third): the prefixes in the two other orders, cut to 32 bits, as they only filter."""
+    """(doc_id, text, second, third): the prefixes in the two other orders."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(_texts(batch), width)
-            orders = [pa.array([(prefixes(s, levels.value, percent, k) >> _U(32)).astype(np.uint32).view(np.int32) if len(s) else [] for s in sets], pa.list_(pa.int32())) for k in (1, 2)]
+            orders = [pa.array([prefixes(s, levels.value, percent, k).view(np.int64) for s in sets], pa.list_(pa.int64())) for k in (1, 2)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("text"), *orders], names=["doc_id", "text", "second", "third"])
 
-    return docs.mapInArrow(sign, "doc_id bigint, text string, second array<int>, third array<int>")
+    return docs.mapInArrow(sign, "doc_id bigint, text string, second array<bigint>, third array<bigint>")
+
+
+def _passes(order: str, percent: int):
+    """Whether the prefixes of a pair in one order allow for enough shared tokens.
+
+    A token of one prefix that comes no later than the end of the other prefix is
+    in the other set only if it is in that prefix; no more such tokens may be
+    missing than the sizes allow.
+    """
+    a, b = F.col(f"{order}_a"), F.col(f"{order}_b")
+    shared = least_overlap(F.col("n_a"), F.col("n_b"), percent)
+
+    def missing(x, y):
+        return F.size(F.filter(F.array_except(x, y), lambda k: k <= F.array_max(y)))
+
+    return F.arrays_overlap(a, b) & (missing(a, b) <= F.col("n_a") - shared) & (missing(b, a) <= F.col("n_b") - shared)
 
 
 def _verified(pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -215,24 +241,20 @@ def _verified(pairs: DataFrame, width: int, percent: int) -> DataFrame:
     return pairs.mapInArrow(verify, "a bigint, b bigint")
 
 
-class _Texts:
-    """Texts and filter prefixes of the classes that share a bucket with others."""
-
-    def __init__(self, rows: DataFrame):
-        self.rows = saved(rows)
+def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int, levels) -> DataFrame:
+    """(a, b) of the pairs (a, b, n_a, n_b) that pass the other orders and are similar enough.
 
-    def linked(self, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-        """The pairs (a, b) that pass all orders and are similar enough."""
-        ids = freeze(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
-        some = self.rows.join(broadcast_if_small(ids), "doc_id", "left_semi")
-        orders = some.select("doc_id", "second", "third")
-        left = orders.toDF("a", "second_a", "third_a")
-        right = orders.toDF("b", "second_b", "third_b")
-        both = pairs.join(left, "a").join(right, "b").filter(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
-        kept = freeze(both.select("a", "b"))
-        texts = self.rows.select("doc_id", "text")
-        with_a = kept.join(texts.toDF("a", "text_a"), "a")
-        return _verified(with_a.join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b"), width, percent)
+    Only the texts of documents in pairs are moved, and only the pairs that pass
+    all orders are joined with both texts.
+    """
+    ids = freeze(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    some = saved(_with_orders(docs.join(broadcast_if_small(ids), "doc_id", "left_semi"), width, percent, levels))
+    orders = some.select("doc_id", "second", "third")
+    both = pairs.join(orders.toDF("a", "second_a", "third_a"), "a").join(orders.toDF("b", "second_b", "third_b"), "b")
+    kept = freeze(both.filter(_passes("second", percent) & _passes("third", percent)).select("a", "b").distinct())
+    texts = some.select("doc_id", "text")
+    with_a = kept.join(texts.toDF("a", "text_a"), "a")
+    return _verified(with_a.join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b"), width, percent)
 
 
 def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -260,35 +282,43 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     shared = saved(shared.join(reps, "doc_id", "left_semi").distinct())
 
     edges, label = None, None
-    bucketed, texts, number, grew = shared.withColumn("component", F.col("doc_id")), None, 0, True
+    bucketed, number, before = shared.withColumn("component", F.col("doc_id")), 0, None
+    close = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
     while True:
         number += 1
+        # the first pivots are the same in all buckets they are in, which joins copies of one text at once
+        draw = F.xxhash64("doc_id", F.lit(number)) if number == 1 else F.xxhash64("doc_id", "token", F.lit(number))
         many = bucketed.groupBy("token").agg(
             F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("_m"),
-            F.min(F.struct(F.xxhash64("doc_id", F.lit(number)).alias("h"), "doc_id", "n", "component")).alias("pivot"),
+            F.min(F.struct(draw.alias("h"), "doc_id", "n", "component")).alias("pivot"),
         ).filter("_lo <> _hi")
         open_rows = saved(bucketed.join(many.select("token", "pivot", "_m"), "token"))
         sizes = open_rows.groupBy("token", "component").agg(F.count("*").alias("c"), F.max("_m").alias("m"))
         work = sizes.agg(F.sum(F.col("c") * (F.col("m") - F.col("c")) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
         if not work["rows"]:
             break
-        if texts is None:
-            ids = broadcast_if_small(freeze(open_rows.select("doc_id").distinct()))
-            texts = _Texts(_with_orders(docs.join(ids, "doc_id", "left_semi"), width, percent, levels))
-        last = work["pairs"] <= SPARSE * work["rows"] or not grew
-        close = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-        if last:  # all pairs of different components that share a bucket
-            one = open_rows.select("token", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-            two = open_rows.select("token", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-            pairs = one.join(two, "token").filter((F.col("c_a") < F.col("c_b")) & close)
+        last = work["pairs"] <= SPARSE * work["rows"] or (before is not None and work["pairs"] > SLOW * before)
+        before = work["pairs"]
+        if last:  # all pairs of different components that share a bucket, and how many they share
+            side = [F.col("doc_id"), F.col("n"), F.col("component")]
+            one = open_rows.select("token", *[c.alias(x) for c, x in zip(side, ("a", "n_a", "c_a"))])
+            two = open_rows.select("token", *[c.alias(x) for c, x in zip(side, ("b", "n_b", "c_b"))])
+            met = one.join(two, "token").filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & close)
+            shared_tokens = least_overlap(F.col("n_a"), F.col("n_b"), percent)
+
+            def spare(n):  # prefix tokens less those that may be missing
+                return F.col(n) - F.ceil(F.col(n) * percent / 100 - 1e-9) + 1 - (F.col(n) - shared_tokens)
+
+            pairs = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("_met")).filter(F.col("_met") >= F.least(spare("n_a"), spare("n_b"))).drop("_met")
         else:  # a pivot per bucket against the other components
-            pairs = open_rows.select(
-                F.col("pivot.doc_id").alias("a"), F.col("pivot.n").alias("n_a"), F.col("pivot.component").alias("c_a"),
-                F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"),
-            ).filter((F.col("c_a") != F.col("c_b")) & close)
-        linked = freeze(texts.linked(freeze(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()), width, percent))
-        grew = not linked.isEmpty()
-        if grew:
+            pivot = [F.col("pivot.doc_id"), F.col("pivot.n")]
+            first = pivot[0] < F.col("doc_id")
+            pairs = open_rows.filter(F.col("pivot.component") != F.col("component")).select(
+                F.least(pivot[0], "doc_id").alias("a"), F.greatest(pivot[0], "doc_id").alias("b"),
+                F.when(first, pivot[1]).otherwise(F.col("n")).alias("n_a"), F.when(first, F.col("n")).otherwise(pivot[1]).alias("n_b"),
+            ).filter(close & (F.col("a") < F.col("b"))).distinct()
+        linked = freeze(_linked(freeze(pairs), docs, width, percent, levels))
+        if not linked.isEmpty():
             edges = linked if edges is None else freeze(edges.unionByName(linked))
             label = freeze(components(edges))
             bucketed = (
