@@ -24,7 +24,8 @@ from cohortloom.session import broadcast_if_small, freeze, saved
 
 COUNTERS = 1 << 18  # of the sketch of document counts that orders tokens rare first
 CHUNK = 1 << 21  # bytes of text hashed at a time (a longer text is one chunk)
-SPARSE = 4  # open pairs per bucket row at which all of them are verified
+SPARSE = 16  # open pairs per bucket row at which all of them are verified
+PIVOTS = 4  # classes of a bucket that the others are compared with in a later round
 SLOW = 0.9  # share of the open pairs a round of pivots must get below, or all of them are verified
 
 _U = np.uint64
@@ -192,16 +193,30 @@ def _signatures(docs: DataFrame, width: int, percent: int, levels) -> DataFrame:
     return docs.filter("doc_id IS NOT NULL").mapInArrow(sign, "doc_id bigint, n int, token bigint")
 
 
+def _least_met(percent: int):
+    """Prefix tokens that a pair of sizes n_a and n_b shares at least.
+
+    The prefix that ends first in the order holds all its tokens the pair shares
+    so far, and no more of them may be missing than the sizes allow.
+    """
+    shared = least_overlap(F.col("n_a"), F.col("n_b"), percent)
+
+    def spare(n):
+        return F.col(n) - F.ceil(F.col(n) * percent / 100 - 1e-9) + 1 - (F.col(n) - shared)
+
+    return F.greatest(F.least(spare("n_a"), spare("n_b")), F.lit(1))
+
+
 def _with_orders(docs: DataFrame, width: int, percent: int, levels) -> DataFrame:
-    """(doc_id, text, second, third): the prefixes in the two other orders."""
+    """(doc_id, text, first, second, third): the prefixes in the three orders."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(_texts(batch), width)
-            orders = [pa.array([prefixes(s, levels.value, percent, k).view(np.int64) for s in sets], pa.list_(pa.int64())) for k in (1, 2)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("text"), *orders], names=["doc_id", "text", "second", "third"])
+            orders = [pa.array([prefixes(s, levels.value, percent, k).view(np.int64) for s in sets], pa.list_(pa.int64())) for k in (0, 1, 2)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("text"), *orders], names=["doc_id", "text", "first", "second", "third"])
 
-    return docs.mapInArrow(sign, "doc_id bigint, text string, second array<bigint>, third array<bigint>")
+    return docs.mapInArrow(sign, "doc_id bigint, text string, first array<bigint>, second array<bigint>, third array<bigint>")
 
 
 def _passes(order: str, percent: int):
@@ -249,9 +264,9 @@ def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int, levels)
     """
     ids = freeze(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     some = saved(_with_orders(docs.join(broadcast_if_small(ids), "doc_id", "left_semi"), width, percent, levels))
-    orders = some.select("doc_id", "second", "third")
-    both = pairs.join(orders.toDF("a", "second_a", "third_a"), "a").join(orders.toDF("b", "second_b", "third_b"), "b")
-    kept = freeze(both.filter(_passes("second", percent) & _passes("third", percent)).select("a", "b").distinct())
+    orders = some.select("doc_id", "first", "second", "third")
+    both = pairs.join(orders.toDF("a", "first_a", "second_a", "third_a"), "a").join(orders.toDF("b", "first_b", "second_b", "third_b"), "b")
+    kept = freeze(both.filter(_passes("first", percent) & _passes("second", percent) & _passes("third", percent)).select("a", "b").distinct())
     texts = some.select("doc_id", "text")
     with_a = kept.join(texts.toDF("a", "text_a"), "a")
     return _verified(with_a.join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b"), width, percent)
@@ -276,23 +291,25 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     classes = saved(own.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep")))
 
     # Buckets of the first order that hold more than one row, then one row per class.
+    # Tokens are ranked once more inside each prefix, now by the size of their bucket.
     tokens = _signatures(docs, width, percent, levels)
-    shared = tokens.withColumn("_rows", F.count("*").over(Window.partitionBy("token"))).filter("_rows > 1").drop("_rows")
+    counted = tokens.withColumn("rows", F.count("*").over(Window.partitionBy("token"))).filter("rows > 1")
     reps = broadcast_if_small(classes.select(F.col("rep").alias("doc_id")).distinct())
-    shared = saved(shared.join(reps, "doc_id", "left_semi").distinct())
+    inner = Window.partitionBy("doc_id").orderBy(F.desc("rows"), F.desc("token"))
+    shared = saved(counted.join(reps, "doc_id", "left_semi").distinct().withColumn("later", F.row_number().over(inner)).drop("rows"))
 
     edges, label = None, None
     bucketed, number, before = shared.withColumn("component", F.col("doc_id")), 0, None
     close = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
     while True:
         number += 1
-        # the first pivots are the same in all buckets they are in, which joins copies of one text at once
-        draw = F.xxhash64("doc_id", F.lit(number)) if number == 1 else F.xxhash64("doc_id", "token", F.lit(number))
+        # the first pivot is the same in all buckets it is in, which joins copies of one text at once
+        draws = [F.xxhash64("doc_id")] if number == 1 else [F.xxhash64("doc_id", "token", F.lit(number), F.lit(k)) for k in range(PIVOTS)]
+        pivots = F.array(*[F.min(F.struct(h.alias("h"), "doc_id", "n", "component")) for h in draws])
         many = bucketed.groupBy("token").agg(
-            F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("_m"),
-            F.min(F.struct(draw.alias("h"), "doc_id", "n", "component")).alias("pivot"),
+            F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("_m"), pivots.alias("pivots"),
         ).filter("_lo <> _hi")
-        open_rows = saved(bucketed.join(many.select("token", "pivot", "_m"), "token"))
+        open_rows = saved(bucketed.join(many.select("token", "pivots", "_m"), "token"))
         sizes = open_rows.groupBy("token", "component").agg(F.count("*").alias("c"), F.max("_m").alias("m"))
         work = sizes.agg(F.sum(F.col("c") * (F.col("m") - F.col("c")) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
         if not work["rows"]:
@@ -300,20 +317,18 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
         last = work["pairs"] <= SPARSE * work["rows"] or (before is not None and work["pairs"] > SLOW * before)
         before = work["pairs"]
         if last:  # all pairs of different components that share a bucket, and how many they share
-            side = [F.col("doc_id"), F.col("n"), F.col("component")]
-            one = open_rows.select("token", *[c.alias(x) for c, x in zip(side, ("a", "n_a", "c_a"))])
-            two = open_rows.select("token", *[c.alias(x) for c, x in zip(side, ("b", "n_b", "c_b"))])
-            met = one.join(two, "token").filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & close)
-            shared_tokens = least_overlap(F.col("n_a"), F.col("n_b"), percent)
-
-            def spare(n):  # prefix tokens less those that may be missing
-                return F.col(n) - F.ceil(F.col(n) * percent / 100 - 1e-9) + 1 - (F.col(n) - shared_tokens)
-
-            pairs = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("_met")).filter(F.col("_met") >= F.least(spare("n_a"), spare("n_b"))).drop("_met")
+            side = [F.col("doc_id"), F.col("n"), F.col("component"), F.col("later")]
+            one = open_rows.select("token", *[c.alias(x) for c, x in zip(side, ("a", "n_a", "c_a", "later_a"))])
+            two = open_rows.select("token", *[c.alias(x) for c, x in zip(side, ("b", "n_b", "c_b", "later_b"))])
+            enough = _least_met(percent)
+            # the first token they share, by bucket size, has the others they must share after it
+            near = close & (F.col("later_a") >= enough) & (F.col("later_b") >= enough)
+            met = one.join(two, "token").filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & near)
+            pairs = met.select("a", "b", "n_a", "n_b").distinct()
         else:  # a pivot per bucket against the other components
             pivot = [F.col("pivot.doc_id"), F.col("pivot.n")]
             first = pivot[0] < F.col("doc_id")
-            pairs = open_rows.filter(F.col("pivot.component") != F.col("component")).select(
+            pairs = open_rows.withColumn("pivot", F.explode("pivots")).filter(F.col("pivot.component") != F.col("component")).select(
                 F.least(pivot[0], "doc_id").alias("a"), F.greatest(pivot[0], "doc_id").alias("b"),
                 F.when(first, pivot[1]).otherwise(F.col("n")).alias("n_a"), F.when(first, F.col("n")).otherwise(pivot[1]).alias("n_b"),
             ).filter(close & (F.col("a") < F.col("b"))).distinct()
@@ -323,7 +338,7 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
             label = freeze(components(edges))
             bucketed = (
                 shared.join(label, shared["doc_id"] == label["node"], "left")
-                .select("doc_id", "n", "token", F.coalesce("component", "doc_id").alias("component"))
+                .select("doc_id", "n", "token", "later", F.coalesce("component", "doc_id").alias("component"))
             )
         if last:
             break
