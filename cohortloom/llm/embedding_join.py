@@ -142,6 +142,7 @@ def _near_box(at: np.ndarray, lo: np.ndarray, hi: np.ndarray, epsilon: float) ->
 
 def link_matrix(x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
     """Which rows of x and y have at least that cosine, in double precision."""
+    x, y = (np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]) for v in (x, y))  # by powers of two, against overflow
     nx, ny = np.sqrt((x * x).sum(axis=1)), np.sqrt((y * y).sum(axis=1))
     return (x @ y.T) / np.outer(nx, ny) >= cosine
 

@@ -214,8 +214,8 @@ def main_text(source: str | None, low: frozenset[int] = frozenset()) -> str:
     for node in range(1, count):
         up = page.parent[node]
         menu = links[node] >= 3 and linked[node] > LINK_SHARE * chars[node] and page.tag[node] in ("ul", "ol", "div", "section", "table", "dl", "center")
-        template = bool(low) and keys[node] in low and page.tag[node] not in _PLAIN and not held[node]
-        template = template or (bool(low) and keys[node] in low and not inside[node] and not held[node] and page.tag[node] not in _FRAME)
+        spared = _PLAIN if inside[node] else _FRAME  # a paragraph of an article is never template
+        template = bool(low) and keys[node] in low and page.tag[node] in BLOCK and page.tag[node] not in spared and not held[node]
         out[node] = out[node] or out[up] or menu or template
     return " ".join(_blocks(page, out) or plain)
 
