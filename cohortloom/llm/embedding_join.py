@@ -9,16 +9,16 @@ epsilon is skipped with all that is below it.
 
 from __future__ import annotations
 
-import contextlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from cohortloom.llm.batches import small_batches
 from cohortloom.llm.components import components
 from cohortloom.llm.registry import query, table
 from cohortloom.session import freeze, saved
@@ -32,18 +32,6 @@ PAIRS_AT_ONCE = 64  # block pairs a task holds at a time
 SLACK = 1e-5  # rounding of projections and boxes
 
 
-@contextlib.contextmanager
-def _small_batches(spark: SparkSession, rows: int):
-    """Send at most so many rows at a time to Python while the body runs."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def principal_directions(vectors: np.ndarray, most: int = DIRECTIONS) -> np.ndarray:
     """Orthonormal columns, the direction of largest variance first."""
     centred = vectors - vectors.mean(axis=0)
@@ -220,7 +208,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) ->
         pairs = _block_pairs(blocks, basis.shape[1], epsilon, FANOUT)
         data = blocks.select("seq", "reps", "copies", "vectors", "at")
         both = pairs.join(data.toDF("a", "reps_a", "copies_a", "vectors_a", "at_a"), "a").join(data.toDF("b", "reps_b", "copies_b", "vectors_b", "at_b"), "b")
-        with _small_batches(spark, PAIRS_AT_ONCE):
+        with small_batches(spark, PAIRS_AT_ONCE):
             found = saved(_linked(both, cosine, epsilon))
         links = found if links is None else links.unionByName(found)
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from cohortloom.llm.batches import small_batches
 from cohortloom.llm.components import components
 from cohortloom.llm.registry import query, table
 from cohortloom.session import broadcast_if_small, freeze, saved
@@ -25,6 +26,7 @@ from cohortloom.session import broadcast_if_small, freeze, saved
 COUNTERS = 1 << 18  # of the sketch of document counts that orders tokens rare first
 CHUNK = 1 << 21  # bytes of text hashed at a time (a longer text is one chunk)
 SPARSE = 16  # open pairs per bucket row at which all of them are verified
+TEXTS_AT_ONCE = 500  # texts, or pairs of them, that a task hands to Python at a time
 PIVOTS = 4  # classes of a bucket that the others are compared with in a later round
 SLOW = 0.9  # share of the open pairs a round of pivots must get below, or all of them are verified
 
