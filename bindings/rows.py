@@ -70,7 +70,7 @@ _LINE = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
 @query(
     "duplicate_keys",
     f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
-        QUALIFY rank() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(_LINE)}) > 1""",
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(_LINE)}) > 1""",
 )
 def duplicate_keys(spark, sf):
     lines = table(spark, sf, "lineitem")

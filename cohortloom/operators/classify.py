@@ -116,7 +116,8 @@ def discriminant_predict(
 ) -> DataFrame:
     """Linear or quadratic discriminant: fit on class moments, score as Column expressions.
 
-    Priors are class shares.  Equal scores go to the larger label.
+    Priors are class shares.  Equal scores go to the larger label.  A row with a
+    missing feature (NULL or NaN) has no prediction.
     """
     centre, moments = _class_moments(train, features, label, [])
     scores = _discriminants({c: m for (_, c), m in moments.items()}, quadratic)
@@ -132,7 +133,8 @@ def discriminant_predict(
                 for j in range(i, len(x))
             ]
         options.append(F.struct(reduce(lambda a, b: a + b, terms).alias("score"), F.lit(level).alias("label")))
-    return test.withColumn(name, F.array_max(F.array(*options))["label"])
+    whole = reduce(lambda a, b: a & b, [F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")) for f in features])
+    return test.withColumn(name, F.when(whole, F.array_max(F.array(*options))["label"]))
 
 
 def discriminant_cv(df: DataFrame, features: list[str], label: str, quadratic: bool = False, name: str = "predicted") -> DataFrame:
@@ -243,6 +245,9 @@ def nearest_neighbours(
     asked = queries.select(
         F.col(key).alias("q_key"), (fold_col if fold else F.lit(-2)).alias("q_fold"), as_double.alias("q_x")
     )
+    # A row without vector, or with a missing component, has no neighbours and is none.
+    base = base.filter(F.col("t_x").isNotNull() & F.forall("t_x", lambda v: v.isNotNull() & ~F.isnan(v)))
+    asked = asked.filter(F.col("q_x").isNotNull() & F.forall("q_x", lambda v: v.isNotNull() & ~F.isnan(v)))
     # A fixed number of pivots, whatever the data size.
     chosen = base.orderBy(F.md5(F.col("t_key").cast("string")), "t_key").limit(pivots).select("t_x").collect()
     centre = np.array([r.t_x for r in chosen], dtype=float)

@@ -15,14 +15,11 @@ from cohortloom.session import freeze
 def standardise(df: DataFrame, columns: list[str], suffix: str = "_z") -> DataFrame:
     """(x - mean) / sample standard deviation; missing for a constant column.
 
-    Mean and deviation are scalar subqueries over one pass each, no join.
+    All means and deviations are one struct from one pass, read as a scalar subquery.
     """
-    scaled = {}
-    for c in columns:
-        mean = df.agg(F.avg(c)).scalar()
-        deviation = df.agg(F.stddev_samp(c)).scalar()
-        scaled[c + suffix] = F.try_divide(F.col(c) - mean, deviation)
-    return df.withColumns(scaled)
+    both = [x for i, c in enumerate(columns) for x in (F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"d{i}"))]
+    found = df.agg(F.struct(*both).alias("s")).scalar()
+    return df.withColumns({c + suffix: F.try_divide(F.col(c) - found[f"m{i}"], found[f"d{i}"]) for i, c in enumerate(columns)})
 
 
 def group_zstat(df: DataFrame, sample: str, value: str, mu: float | Column, sigma: float | Column) -> DataFrame:

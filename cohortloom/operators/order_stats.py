@@ -5,6 +5,12 @@ the brackets into equal bins, counts them in one map-side combined aggregate,
 and keeps the bin the rank falls in, tightened to the values really seen there.
 Rounds end when every bracket is a single value.  Rows are only scanned and
 counted; nothing but the brackets (groups x ranks rows) is ever moved.
+
+A bracket whose ends differ by more than a factor of two is cut by the signed
+logarithm, any other by value, so its width never overflows.  With 4096 bins two
+rounds reach a factor of two, whatever the range, and five more a single double
+(52 bits, 12 a round).  Infinities are the largest and smallest values; NaN
+counts as missing.
 """
 
 from __future__ import annotations
@@ -17,16 +23,17 @@ from cohortloom.operators.spread import null_safe_on
 from cohortloom.session import BROADCAST_ROWS, broadcast_if_small, freeze
 
 BINS = 4096
+MAX_ROUNDS = 64  # seven suffice with 4096 bins, 64 with two
 
 
 def order_statistics(df: DataFrame, groups: list[str], value: str, ranks: dict[str, Column], bins: int = BINS) -> DataFrame:
     """The values at the wanted ranks, one row per group.
 
     ``ranks`` maps a name to a 1-based rank as an expression over ``n``, the
-    group's number of values.  Missing values are not counted.  The result has
+    group's number of values.  Missing values and NaN are not counted.  The result has
     the groups, n, lowest, highest, mean and one column per name.
     """
-    data = df.select(*groups, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    data = df.select(*groups, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     base = freeze(
         data.groupBy(*groups).agg(
             F.count("*").alias("n"), F.min("_x").alias("lowest"), F.max("_x").alias("highest"), F.avg("_x").alias("mean")
@@ -38,11 +45,13 @@ def order_statistics(df: DataFrame, groups: list[str], value: str, ranks: dict[s
         F.explode(wanted).alias("t"),
     ).select(*groups, "t.name", "t.rank", "lo", "hi", "below")
 
-    while True:
+    for number in range(MAX_ROUNDS + 1):
         brackets = targets.filter(F.col("lo") < F.col("hi")).select(*groups, "lo", "hi").distinct()
         open_brackets = brackets.count()
         if not open_brackets:
             break
+        if number == MAX_ROUNDS:
+            raise RuntimeError(f"{open_brackets} brackets are still open after {MAX_ROUNDS} rounds")
         if open_brackets <= BROADCAST_ROWS:
             brackets = F.broadcast(brackets)
         targets = freeze(_narrow(data, targets, brackets, groups, bins))
@@ -52,6 +61,12 @@ def order_statistics(df: DataFrame, groups: list[str], value: str, ranks: dict[s
     return base.join(side, null_safe_on(base, side, groups, "_p_")).drop(*[f"_p_{g}" for g in groups])
 
 
+def _signed_log(x: Column) -> Column:
+    """A non-decreasing image of all doubles in about -1457 to 1457: 0 at 0, the logarithm from the smallest double on."""
+    size = F.when(F.abs(x) == F.lit(float("inf")), F.lit(1457.0)).otherwise(F.ln(F.abs(x)) + 746.0)
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * size)
+
+
 def _narrow(data: DataFrame, targets: DataFrame, brackets: DataFrame, groups: list[str], bins: int) -> DataFrame:
     """One round: the open targets with the bin each rank falls in; settled ones as they are."""
     open_targets = targets.filter(F.col("lo") < F.col("hi"))
@@ -59,8 +74,12 @@ def _narrow(data: DataFrame, targets: DataFrame, brackets: DataFrame, groups: li
     inside = data.join(
         side, null_safe_on(data, side, groups, "_b_") & F.col("_x").between(F.col("lo"), F.col("hi"))
     )
-    width = F.col("hi") - F.col("lo")
-    cut = F.least(F.floor((F.col("_x") - F.col("lo")) / width * F.lit(bins)), F.lit(bins - 1))
+    x, lo, hi = F.col("_x"), F.col("lo"), F.col("hi")
+    close = ((lo > 0) & (hi <= 2 * lo)) | ((hi < 0) & (lo >= 2 * hi))
+    share = F.when(close & (F.abs(hi) != F.lit(float("inf"))) & (F.abs(lo) != F.lit(float("inf"))), (x - lo) / (hi - lo)).otherwise(
+        (_signed_log(x) - _signed_log(lo)) / (_signed_log(hi) - _signed_log(lo))
+    )
+    cut = F.greatest(F.least(F.floor(share * F.lit(bins)), F.lit(bins - 1)), F.lit(0))
     counted = inside.groupBy(*groups, "lo", "hi", cut.alias("_bin")).agg(
         F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
     )
@@ -92,14 +111,14 @@ def quantiles(df: DataFrame, groups: list[str], value: str, points: dict[str, fl
     for name, p in points.items():
         at = F.lit(1.0) + (F.col("n") - 1) * F.lit(p)
         low, high = F.col(f"{name}_below"), F.col(f"{name}_above")
-        found = found.withColumn(name, low + (at - F.floor(at)) * (high - low))
+        found = found.withColumn(name, F.when(low == high, low).otherwise(low + (at - F.floor(at)) * (high - low)))
     return found.drop(*ranks)
 
 
 def column_summary(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Minimum, quartiles, mean, maximum and missing count, one row per column."""
+    """Minimum, quartiles, mean, maximum and missing count (NaN is missing), one row per column."""
     long = df.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns])).alias("v")
+        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias("x")) for c in columns])).alias("v")
     ).select("v.column", "v.x")
     summary = quantiles(long, ["column"], "x", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     missing = long.groupBy(F.col("column").alias("_column")).agg(F.count_if(F.col("x").isNull()).alias("missing"))
@@ -146,7 +165,7 @@ def box_summary(df: DataFrame, group: str, value: str) -> DataFrame:
     )
     x = F.col(value)
     reach = (
-        df.filter(x.isNotNull())
+        df.filter(x.isNotNull() & ~F.isnan(x.cast("double")))
         .select(group, value)
         .join(broadcast_if_small(fences), F.col(group).eqNullSafe(F.col("_g")))
         .groupBy(group)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.operators.spread import hash_order, hash_rank, join_back, order_struct, ordered_index
+from cohortloom.operators.spread import hash_order, hash_rank, join_back, order_struct, ordered_index, rank_within
 
 
 def running_flag(df: DataFrame, keys: list[str], order: list[str], condition: Column, name: str) -> DataFrame:
@@ -63,14 +63,8 @@ def running_count(df: DataFrame, order: list[str], name: str = "running_count",
 
 
 def duplicate_keys(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """All rows of a key after its first in a total order."""
-    position = order_struct(*order)
-    first = (
-        df.groupBy(*keys)
-        .agg(F.min(position).alias("_first"), F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > 1)
-    )
-    return join_back(df, first.drop("_rows"), keys, "inner").filter(position > F.col("_first")).drop("_first")
+    """All rows of a key after its first in a total order; of identical rows all but one."""
+    return rank_within(df, keys, order, "_row").filter(F.col("_row") > 1).drop("_row")
 
 
 def duplicate_counts(df: DataFrame, keys: list[str], name: str = "extra_rows") -> DataFrame:

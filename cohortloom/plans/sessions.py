@@ -19,6 +19,7 @@ from cohortloom.operators.joins import effective_dated_join, match_merge, theta_
 from cohortloom.operators.reports import crosstab_counts, crosstab_full
 from cohortloom.operators.rows import duplicate_counts
 from cohortloom.operators.slots import SLOT_FIELDS, slots_explode, slots_keep_newest, slots_pack, slots_resolve
+from cohortloom.session import saved
 from cohortloom.sources.sinks import enrollment_lines, fixed_width_write, table_persist
 
 
@@ -133,7 +134,7 @@ def combine_sessions(
     plan_table: DataFrame, run: SessionRun,
 ) -> tuple[DataFrame, DataFrame]:
     """(combined records, rows for review)."""
-    rows = derived(enriched(merged(first, second), loads, plans, checkouts, plan_table, run), run)
+    rows = saved(derived(enriched(merged(first, second), loads, plans, checkouts, plan_table, run), run))
     review = checks.check_review_rows(rows, "raw_standing", "total_audit").drop("slots")
     return settled(resolved(rows, run), first), review
 

@@ -113,6 +113,9 @@ def test_duplicates(spark):
     assert {r.id for r in extra.collect()} == {r.id for r in df.collect()} - set(firsts.values())
     assert {r.id for r in rows.dedupe_keys(df, ["k"], ["t", "id"]).collect()} == set(firsts.values())
     assert rows.duplicate_counts(df, ["k"]).agg(F.sum("extra_rows")).first()[0] == df.count() - len(firsts)
+    same = spark.createDataFrame([(1, "x")] * 3 + [(2, "y"), (None, "z"), (None, "z")], "k int, t string")
+    assert sorted((r.k, r.t) for r in rows.duplicate_keys(same, ["k"], ["t"]).collect() if r.k) == [(1, "x")] * 2
+    assert rows.duplicate_keys(same, ["k"], ["t"]).count() == rows.duplicate_counts(same, ["k"]).agg(F.sum("extra_rows")).first()[0] == 3
 
 
 @pytest.mark.parametrize("bucket", [None, lambda t: F.floor(t / 7)])

@@ -285,3 +285,43 @@ def test_factor_encode(spark):
     df = spark.createDataFrame([(1, "b"), (2, "a"), (3, "c")], "id int, g string")
     got = {r.id: (r.g_index, list(r.g_dummies)) for r in classify.factor_encode(df, ["g"]).collect()}
     assert got == {1: (1, [0.0, 1.0]), 2: (0, [1.0, 0.0]), 3: (2, [0.0, 0.0])}
+
+
+EXTREMES = [
+    [1.0, 2.0, 3.0, math.inf], [1.0, 2.0, 3.0, math.nan], [-1.7e308, 1.0, 2.0, 1.7e308], [-math.inf, -5e-324, 0.0, 5e-324, math.inf],
+    [s * 10.0**e for e in range(-300, 301, 7) for s in (1, -1)], [math.nan, None], [math.inf, math.inf, -math.inf], [1.0 + i * 2**-52 for i in range(9)],
+]
+
+
+def test_order_statistics_end_on_every_double(spark, monkeypatch):
+    passes = []
+    narrow = order_stats._narrow
+    monkeypatch.setattr(order_stats, "_narrow", lambda *a: passes.append(1) or narrow(*a))
+    rows = [(i, x) for i, values in enumerate(EXTREMES) for x in values]
+    ranks = {"first": F.lit(1), "second": F.least(F.lit(2), F.col("n")), "middle": F.floor((F.col("n") + 1) / 2), "last": F.col("n")}
+    found = order_stats.order_statistics(spark.createDataFrame(rows, "g int, x double"), ["g"], "x", ranks)
+    got = {r.g: (r.first, r.second, r.middle, r.last) for r in found.collect()}
+    for i, values in enumerate(EXTREMES):
+        v = sorted(x for x in values if x is not None and not math.isnan(x))
+        if v:
+            assert got.pop(i) == (v[0], v[min(1, len(v) - 1)], v[(len(v) + 1) // 2 - 1], v[-1])
+    assert not got and len(passes) <= 8
+
+
+def test_summary_with_nan_and_infinity(spark):
+    df = spark.createDataFrame([(1.0, math.nan), (2.0, math.inf), (math.inf, None), (4.0, 3.0)], "a double, b double")
+    got = {r["column"]: r for r in order_stats.column_summary(df, ["a", "b"]).collect()}
+    assert (got["a"]["min"], got["a"]["max"], got["a"].missing, got["b"].missing) == (1.0, math.inf, 0, 2)
+
+
+def test_missing_features_have_no_prediction(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, float(rng.normal(i % 2 * 4)), float(rng.normal()), "ab"[i % 2]) for i in range(60)]
+    train = spark.createDataFrame(rows, "id long, x1 double, x2 double, y string")
+    asked = spark.createDataFrame([(100, None, 1.0), (101, math.nan, 1.0), (102, 0.0, 0.0)], "id long, x1 double, x2 double")
+    for quadratic in (False, True):
+        got = {r.id: r.predicted for r in classify.discriminant_predict(train, asked, ["x1", "x2"], "y", quadratic).collect()}
+        assert got == {100: None, 101: None, 102: "a"}
+    vector = F.when(F.col("id") != 100, F.array("x1", "x2"))
+    found = classify.knn_classify(train.withColumn("v", F.when(F.col("id") > 3, F.array("x1", "x2"))), asked.withColumn("v", vector).withColumn("y", F.lit(None).cast("string")), "v", "id", "y", k=3)
+    assert {r.id: r.predicted for r in found.collect()} == {100: None, 101: None, 102: "a"}
