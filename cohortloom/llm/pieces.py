@@ -25,7 +25,7 @@ from cohortloom.llm.registry import query, table
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # below the worst score, for a character no piece covers (scored models)
-GROUPS_IN_MEMORY = 1_000_000  # words whose edges an aggregation keeps before it sorts
+GROUPS_IN_MEMORY = 20_000  # words whose edges an aggregation keeps before it sorts
 
 
 @dataclass(frozen=True)
@@ -279,16 +279,19 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def assemble(pairs: Iterator[tuple[list, list]]) -> Iterator[tuple]:
         pattern = re.compile(source)
         for rows, blobs in pairs:
-            listed = [words_of(text, pattern) for _, text in rows]
-            own = sorted(set().union(*listed)) if listed else []
+            distinct_words: set = set()
+            for _, text in rows:  # twice over the texts, as all their words at once would be many times larger
+                distinct_words.update(words_of(text, pattern))
+            own = sorted(distinct_words)
+            del distinct_words
             known: list = [None] * len(own)
             for places, sizes, ids in blobs:
                 ends = np.cumsum(np.frombuffer(sizes, "<i4"))
                 for place, end, n in zip(np.frombuffer(places, "<i4").tolist(), ends.tolist(), np.frombuffer(sizes, "<i4").tolist()):
                     known[place] = ids[4 * (end - n) : 4 * end]
             ids_of = dict(zip(own, known))
-            for (doc_id, text), words in zip(rows, listed):
-                yield doc_id, text, np.frombuffer(b"".join(map(ids_of.__getitem__, words)), "<i4").tolist()
+            for doc_id, text in rows:
+                yield doc_id, text, np.frombuffer(b"".join(map(ids_of.__getitem__, words_of(text, pattern))), "<i4").tolist()
 
     joined = texts.glom().zip(returned.glom()).mapPartitions(assemble)
     return spark.createDataFrame(joined, shape, verifySchema=False)
