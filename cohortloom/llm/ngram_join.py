@@ -285,8 +285,13 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     so groups of copies cost about their size; every link between different
     components is found.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    with small_batches(docs.sparkSession, TEXTS_AT_ONCE):  # all jobs that hand texts to Python run in here
+        return _similar_sets(docs, width, percent)
+
+
+def _similar_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    spark = docs.sparkSession
     profiles = _profiles(docs, width)
     levels = spark.sparkContext.broadcast(_levels(profiles))  # a fixed number of bytes
     own = profiles.filter("counter IS NULL").select("doc_id", "n", "digest")
