@@ -144,6 +144,29 @@ def factor_analysis_query(spark, sf):
     return factor_analysis(lines, lines.columns, 2)
 
 
+@query(
+    "factor_analysis_one",
+    """
+    WITH m AS (SELECT l_quantity + 300 * l_discount AS a, l_quantity + 5 * l_linenumber AS b, l_quantity + 400 * l_tax AS c FROM lineitem),
+    r AS (SELECT corr(a, b) AS ab, corr(a, c) AS ac, corr(b, c) AS bc FROM m),
+    shared AS (
+        SELECT 'a' AS variable, ab * ac / bc AS h FROM r
+        UNION ALL SELECT 'b', ab * bc / ac FROM r
+        UNION ALL SELECT 'c', ac * bc / ab FROM r)
+    SELECT variable, round(1 - h, 5) AS uniqueness, round(sqrt(h), 5) AS factor1, 0 AS df FROM shared
+    """,
+)
+def factor_analysis_one(spark, sf):
+    """One factor of three measures that share the quantity; three variables have a closed form."""
+    line = {k: F.col(k).cast("double") for k in ("l_quantity", "l_discount", "l_linenumber", "l_tax")}
+    measures = table(spark, sf, "lineitem").select(
+        (line["l_quantity"] + 300 * line["l_discount"]).alias("a"),
+        (line["l_quantity"] + 5 * line["l_linenumber"]).alias("b"),
+        (line["l_quantity"] + 400 * line["l_tax"]).alias("c"),
+    )
+    return _rounded(factor_analysis(measures, ["a", "b", "c"], 1), ["uniqueness", "factor1"], 5).select("variable", "uniqueness", "factor1", "df")
+
+
 # ---- tests of means --------------------------------------------------------
 
 

@@ -90,22 +90,62 @@ def _loadings(scaled: np.ndarray, uniqueness: np.ndarray, factors: int) -> np.nd
     return np.sqrt(uniqueness)[:, None] * vectors[:, top] * np.sqrt(np.clip(values[top] - 1.0, 0.0, None))[None, :]
 
 
-def _maximum_likelihood(matrix: np.ndarray, factors: int, rounds: int = 20000) -> tuple[np.ndarray, np.ndarray]:
-    """Uniquenesses and loadings by the EM steps of the factor model."""
-    p = matrix.shape[0]
-    uniqueness = np.clip((1.0 - 0.5 * factors / p) / np.diag(np.linalg.pinv(matrix)), 0.005, 1.0)
+def _misfit(matrix: np.ndarray, factors: int, logs: np.ndarray) -> tuple[float, np.ndarray]:
+    """The likelihood's discrepancy with the best loadings for these log uniquenesses, and its gradient."""
+    uniqueness = np.exp(logs)
     root = np.sqrt(uniqueness)
-    loadings = _loadings(matrix / np.outer(root, root), uniqueness, factors)
+    scaled = matrix / np.outer(root, root)
+    values = np.linalg.eigvalsh(scaled)[::-1]
+    left = np.concatenate([np.minimum(values[:factors], 1.0), values[factors:]])
+    loadings = _loadings(scaled, uniqueness, factors)
+    gradient = ((loadings**2).sum(axis=1) + uniqueness - np.diag(matrix)) / uniqueness
+    return float(np.sum(left - np.log(np.maximum(left, 1e-300)) - 1.0)), gradient
+
+
+def _free_gradient(logs: np.ndarray, gradient: np.ndarray, low: float) -> np.ndarray:
+    """The gradient without the parts that push a uniqueness out of its bounds."""
+    stuck = ((logs <= low) & (gradient > 0)) | ((logs >= 0.0) & (gradient < 0))
+    return np.where(stuck, 0.0, gradient)
+
+
+def _maximum_likelihood(matrix: np.ndarray, factors: int, tolerance: float = 1e-8, rounds: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+    """Uniquenesses between 0.005 and 1 that minimise the misfit, and the loadings.
+
+    Damped Newton steps on the log uniquenesses off their bounds, until the
+    gradient is zero within the tolerance.  Raises if that is not reached.
+    """
+    p, low = matrix.shape[0], math.log(0.005)
+    logs = np.clip(np.log((1.0 - 0.5 * factors / p) / np.diag(np.linalg.pinv(matrix))), low, 0.0)
+    value, gradient = _misfit(matrix, factors, logs)
     for _ in range(rounds):
-        model = loadings @ loadings.T + np.diag(uniqueness)
-        beta = loadings.T @ np.linalg.inv(model)
-        second = np.eye(factors) - beta @ loadings + beta @ matrix @ beta.T
-        loadings = matrix @ beta.T @ np.linalg.inv(second)
-        moved = np.clip(np.diag(matrix - loadings @ beta @ matrix), 0.005, 1.0)
-        done = np.max(np.abs(moved - uniqueness)) < 1e-10
-        uniqueness = moved
-        if done:
+        free = _free_gradient(logs, gradient, low)
+        at = np.flatnonzero(free)
+        if np.max(np.abs(free)) < tolerance:
             break
+        steps = np.eye(p)[at] * 1e-5
+        hessian = np.array([(_misfit(matrix, factors, logs + d)[1] - _misfit(matrix, factors, logs - d)[1])[at] / 2e-5 for d in steps])
+        sizes, axes = np.linalg.eigh((hessian + hessian.T) / 2)
+        newton = -axes @ ((axes.T @ free[at]) / np.maximum(np.abs(sizes), 1e-6))
+        for way in (newton, -free[at]):
+            scale = 1.0 / max(1.0, float(np.max(np.abs(way))) / 2.0)
+            while scale > 1e-12:
+                tried = logs.copy()
+                tried[at] = np.clip(logs[at] + scale * way, low, 0.0)
+                new_value, new_gradient = _misfit(matrix, factors, tried)
+                lower = new_value < value + 1e-4 * float(gradient @ (tried - logs))
+                # near the minimum the value no longer tells steps apart, the gradient does
+                flat = abs(new_value - value) < 1e-12 and np.max(np.abs(_free_gradient(tried, new_gradient, low))) < np.max(np.abs(free))
+                if lower or flat:
+                    break
+                scale /= 2.0
+            if scale > 1e-12:
+                break
+        else:
+            raise ValueError(f"the factor fit stopped at a gradient of {np.max(np.abs(free)):.2g}")
+        logs, value, gradient = tried, new_value, new_gradient
+    else:
+        raise ValueError(f"the factor fit did not converge in {rounds} rounds")
+    uniqueness = np.exp(logs)
     root = np.sqrt(uniqueness)
     return uniqueness, _loadings(matrix / np.outer(root, root), uniqueness, factors)
 
@@ -120,9 +160,11 @@ def _varimax(loadings: np.ndarray, rounds: int = 1000) -> np.ndarray:
         z = x @ turn
         u, s, v = np.linalg.svd(x.T @ (z**3 - z * (z**2).mean(axis=0)[None, :]))
         turn = u @ v
-        if s.sum() < last * (1 + 1e-5):
+        if s.sum() <= last * (1 + 1e-5):
             break
         last = s.sum()
+    else:
+        raise ValueError(f"the rotation did not converge in {rounds} rounds")
     return (x @ turn) * size[:, None]
 
 

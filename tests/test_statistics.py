@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.operators import classify, metrics, moments, order_stats
+from cohortloom.operators import classify, components, metrics, moments, order_stats
 from cohortloom.operators.components import PrincipalComponents, factor_analysis, pca_scores
 
 
@@ -148,6 +148,25 @@ def test_factor_analysis_recovers_the_factors(spark, numeric):
         factor_analysis(df.select("x0", "x1", "x2"), ["x0", "x1", "x2"], 2)
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_factor_fit_reaches_a_zero_gradient(seed):
+    rng = np.random.default_rng(seed)
+    rows = rng.normal(size=(300, 2)) @ rng.normal(size=(2, 5)) + rng.normal(size=(300, 5))
+    matrix = np.corrcoef((rows if seed % 3 else rng.normal(size=(300, 5))).T)
+    uniqueness, loadings = components._maximum_likelihood(matrix, 2)
+    residual = ((loadings**2).sum(axis=1) + uniqueness - 1) / uniqueness
+    for u, g in zip(uniqueness, residual):  # on a bound the gradient may push outwards
+        assert abs(g) < 1e-6 or (u < 0.005 + 1e-9 and g > 0) or (u > 1 - 1e-9 and g < 0)
+
+
+def test_factor_fit_says_when_it_did_not_converge():
+    matrix = np.array([[1.0, 0.5, 0.4], [0.5, 1.0, 0.3], [0.4, 0.3, 1.0]])
+    with pytest.raises(ValueError, match="did not converge"):
+        components._maximum_likelihood(matrix, 1, rounds=1)
+    uniqueness, _ = components._maximum_likelihood(matrix, 1)
+    assert uniqueness == pytest.approx([1 - 0.5 * 0.4 / 0.3, 1 - 0.5 * 0.3 / 0.4, 1 - 0.4 * 0.3 / 0.5], abs=1e-7)
+
+
 # ---- classifiers -----------------------------------------------------------
 
 
