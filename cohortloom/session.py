@@ -60,17 +60,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}/{name}"
 
 
-def saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write data-sized rows as parquet below the shared folder and read them from there.
 
     Used where several parts of a plan must see the very same rows (row
-    positions, splits, folds).  Later reads prune columns.
+    positions, splits, folds).  Later reads prune columns.  A caller that gives
+    the path can ``discard`` it once nothing reads the rows any more.
     """
-    path = scratch_path(df.sparkSession, "rows")
+    path = path or scratch_path(df.sparkSession, "rows")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete rows ``saved`` at a path of ``scratch_path``; nothing may read them any more."""
+    if not path.startswith(f"{shared_dir(spark).rstrip('/')}/scratch-"):
+        raise ValueError(f"not a scratch path: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Checkpoint a small table (counts, brackets, group moments) to the shared folder.
 

@@ -1,8 +1,10 @@
 """Readers, and the options of the warehouse read."""
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
-from cohortloom.session import scratch_path, shared_dir
+from cohortloom.session import discard, saved, scratch_path, shared_dir
 from cohortloom.sources import readers, sinks
 
 
@@ -46,3 +48,13 @@ def test_fields_are_cut_to_their_place(spark):
 
     line = sinks.fixed_width({"a": F.lit("abcdef"), "b": F.lit(None)}, {"a": 2, "b": 5}, 7)
     assert spark.range(1).select(line.alias("l")).first().l == " abc   "
+
+
+def test_discard_deletes_scratch_only(spark):
+    path = scratch_path(spark, "rows")
+    assert saved(spark.range(5), path).count() == 5
+    discard(spark, path)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        discard(spark, "/somewhere/else")
