@@ -1,4 +1,4 @@
-"""How many rows go to Python at a time."""
+"""Session settings for the jobs of one operator."""
 
 from __future__ import annotations
 
@@ -6,14 +6,25 @@ import contextlib
 
 from pyspark.sql import SparkSession
 
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}  # as soon as a job has ended
+
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession, rows: int):
-    """Send at most so many rows at a time to Python in the jobs that start while the body runs."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Set the session's values for the jobs that start while the body runs."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def small_batches(spark: SparkSession, rows: int):
+    """Send at most so many rows at a time to Python."""
+    return settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)})

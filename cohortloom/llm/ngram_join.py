@@ -10,6 +10,7 @@ classes only links between different components are looked for.
 from __future__ import annotations
 
 import hashlib
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,10 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from cohortloom.llm.batches import small_batches
+from cohortloom.llm.batches import FREE_SHUFFLES, settings, small_batches
 from cohortloom.llm.components import components
 from cohortloom.llm.registry import query, table
-from cohortloom.session import broadcast_if_small, freeze, saved
+from cohortloom.session import broadcast_if_small, discard, freeze, saved, scratch_path
 
 COUNTERS = 1 << 18  # of the sketch of document counts that orders tokens rare first
 CHUNK = 1 << 21  # bytes of text hashed at a time (a longer text is one chunk)
@@ -30,6 +31,7 @@ TEXTS_AT_ONCE = 500  # texts, or pairs of them, that a task hands to Python at a
 PIVOTS = 4  # classes of a bucket that the others are compared with in a later round
 SLOW = 0.9  # share of the open pairs a round of pivots must get below, or all of them are verified
 
+log = logging.getLogger(__name__)
 _U = np.uint64
 
 
@@ -140,7 +142,10 @@ def least_overlap(n_a, n_b, percent: int):
 
 
 def _profiles(docs: DataFrame, width: int) -> DataFrame:
-    """Rows (doc_id, n, digest) of the documents, and rows (counter, seen) of the sketch of document counts."""
+    """Rows (doc_id, n, digest) of the documents, and rows (counter, seen) of the sketch of document counts.
+
+    A task tells only the counters that stand out in it; all others are rare.
+    """
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(COUNTERS, dtype=np.int64)
@@ -157,7 +162,7 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
                 ],
                 names=["doc_id", "n", "digest", "counter", "seen"],
             )
-        at = np.flatnonzero(seen)
+        at = np.flatnonzero(seen > 2 * seen.mean() + 1)  # the rest tells nothing rare from frequent
         n = len(at)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(at.astype(np.int32)), pa.array(seen[at])],
@@ -209,16 +214,21 @@ def _least_met(percent: int):
     return F.greatest(F.least(spare("n_a"), spare("n_b")), F.lit(1))
 
 
+def _upper_half(keys: np.ndarray) -> np.ndarray:
+    """Order keys in 32 bits.  They sort alike; where two become one, ``_passes`` counts fewer missing tokens, never more."""
+    return (keys >> _U(32)).astype(np.int32)
+
+
 def _with_orders(docs: DataFrame, width: int, percent: int, levels) -> DataFrame:
     """(doc_id, text, first, second, third): the prefixes in the three orders."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(_texts(batch), width)
-            orders = [pa.array([prefixes(s, levels.value, percent, k).view(np.int64) for s in sets], pa.list_(pa.int64())) for k in (0, 1, 2)]
+            orders = [pa.array([_upper_half(prefixes(s, levels.value, percent, k)) for s in sets], pa.list_(pa.int32())) for k in (0, 1, 2)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("text"), *orders], names=["doc_id", "text", "first", "second", "third"])
 
-    return docs.mapInArrow(sign, "doc_id bigint, text string, first array<bigint>, second array<bigint>, third array<bigint>")
+    return docs.mapInArrow(sign, "doc_id bigint, text string, first array<int>, second array<int>, third array<int>")
 
 
 def _passes(order: str, percent: int):
@@ -259,19 +269,25 @@ def _verified(pairs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int, levels) -> DataFrame:
-    """(a, b) of the pairs (a, b, n_a, n_b) that pass the other orders and are similar enough.
+    """(a, b) of the pairs (a, b, n_a, n_b) that pass the other orders and are similar enough, checkpointed.
 
-    Only the texts of documents in pairs are moved, and only the pairs that pass
-    all orders are joined with both texts.
+    Only the texts of documents in pairs are moved, and only those in pairs that
+    pass all orders are joined to pairs.
     """
+    spark = docs.sparkSession
     ids = freeze(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    some = saved(_with_orders(docs.join(broadcast_if_small(ids), "doc_id", "left_semi"), width, percent, levels))
+    path = scratch_path(spark, "texts")
+    some = saved(_with_orders(docs.join(broadcast_if_small(ids), "doc_id", "left_semi"), width, percent, levels), path)
     orders = some.select("doc_id", "first", "second", "third")
-    both = pairs.join(orders.toDF("a", "first_a", "second_a", "third_a"), "a").join(orders.toDF("b", "first_b", "second_b", "third_b"), "b")
+    both = orders.toDF("a", "first_a", "second_a", "third_a").join(broadcast_if_small(pairs), "a")
+    both = both.join(orders.toDF("b", "first_b", "second_b", "third_b"), "b")
     kept = freeze(both.filter(_passes("first", percent) & _passes("second", percent) & _passes("third", percent)).select("a", "b").distinct())
-    texts = some.select("doc_id", "text")
-    with_a = kept.join(texts.toDF("a", "text_a"), "a")
-    return _verified(with_a.join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b"), width, percent)
+    few, texts = broadcast_if_small(kept), some.select("doc_id", "text")
+    with_a = texts.toDF("a", "text_a").join(few, "a")
+    of_b = texts.toDF("b", "text_b").join(few.select("b"), "b", "left_semi")
+    linked = freeze(_verified(with_a.join(of_b, "b").select("a", "b", "text_a", "text_b"), width, percent))
+    discard(spark, path)
+    return linked
 
 
 def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -286,7 +302,8 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     components is found.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    with small_batches(docs.sparkSession, TEXTS_AT_ONCE):  # all jobs that hand texts to Python run in here
+    spark = docs.sparkSession
+    with small_batches(spark, TEXTS_AT_ONCE), settings(spark, FREE_SHUFFLES):  # all jobs that hand texts to Python run in here
         return _similar_sets(docs, width, percent)
 
 
@@ -316,11 +333,13 @@ def _similar_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
         many = bucketed.groupBy("token").agg(
             F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("_m"), pivots.alias("pivots"),
         ).filter("_lo <> _hi")
-        open_rows = saved(bucketed.join(many.select("token", "pivots", "_m"), "token"))
+        path = scratch_path(spark, "open")
+        open_rows = saved(bucketed.join(many.select("token", "pivots", "_m"), "token"), path)
         sizes = open_rows.groupBy("token", "component").agg(F.count("*").alias("c"), F.max("_m").alias("m"))
         work = sizes.agg(F.sum(F.col("c") * (F.col("m") - F.col("c")) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
         if not work["rows"]:
             break
+        log.info("round %d: %d rows in open buckets, %d pairs", number, work["rows"], work["pairs"])
         last = work["pairs"] <= SPARSE * work["rows"] or (before is not None and work["pairs"] > SLOW * before)
         before = work["pairs"]
         if last:  # all pairs of different components that share a bucket, and how many they share
@@ -339,7 +358,8 @@ def _similar_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 F.least(pivot[0], "doc_id").alias("a"), F.greatest(pivot[0], "doc_id").alias("b"),
                 F.when(first, pivot[1]).otherwise(F.col("n")).alias("n_a"), F.when(first, F.col("n")).otherwise(pivot[1]).alias("n_b"),
             ).filter(close & (F.col("a") < F.col("b"))).distinct()
-        linked = freeze(_linked(freeze(pairs), docs, width, percent, levels))
+        linked = _linked(freeze(pairs), docs, width, percent, levels)
+        discard(spark, path)
         if not linked.isEmpty():
             edges = linked if edges is None else freeze(edges.unionByName(linked))
             label = freeze(components(edges))
