@@ -26,7 +26,7 @@ from cohortloom.session import broadcast_if_small, discard, freeze, saved, scrat
 
 COUNTERS = 1 << 18  # of the sketch of document counts that orders tokens rare first
 CHUNK = 1 << 21  # bytes of text hashed at a time (a longer text is one chunk)
-SPARSE = 16  # open pairs per bucket row at which all of them are verified
+SPARSE = 64  # open pairs per bucket row, up to which all of them are compared after the first round
 TEXTS_AT_ONCE = 500  # texts, or pairs of them, that a task hands to Python at a time
 PIVOTS = 4  # classes of a bucket that the others are compared with in a later round
 SLOW = 0.9  # share of the open pairs a round of pivots must get below, or all of them are verified
@@ -327,20 +327,18 @@ def _similar_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     close = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
     while True:
         number += 1
-        # the first pivot is the same in all buckets it is in, which joins copies of one text at once
-        draws = [F.xxhash64("doc_id")] if number == 1 else [F.xxhash64("doc_id", "token", F.lit(number), F.lit(k)) for k in range(PIVOTS)]
-        pivots = F.array(*[F.min(F.struct(h.alias("h"), "doc_id", "n", "component")) for h in draws])
         many = bucketed.groupBy("token").agg(
-            F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("_m"), pivots.alias("pivots"),
+            F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("_m"),
         ).filter("_lo <> _hi")
         path = scratch_path(spark, "open")
-        open_rows = saved(bucketed.join(many.select("token", "pivots", "_m"), "token"), path)
+        open_rows = saved(bucketed.join(many.select("token", "_m"), "token"), path)
         sizes = open_rows.groupBy("token", "component").agg(F.count("*").alias("c"), F.max("_m").alias("m"))
         work = sizes.agg(F.sum(F.col("c") * (F.col("m") - F.col("c")) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
         if not work["rows"]:
             break
         log.info("round %d: %d rows in open buckets, %d pairs", number, work["rows"], work["pairs"])
-        last = work["pairs"] <= SPARSE * work["rows"] or (before is not None and work["pairs"] > SLOW * before)
+        # the first round joins near copies, whose pairs would grow with the square of their number
+        last = work["pairs"] <= work["rows"] * (1 if number == 1 else SPARSE) or (before is not None and work["pairs"] > SLOW * before)
         before = work["pairs"]
         if last:  # all pairs of different components that share a bucket, and how many they share
             side = [F.col("doc_id"), F.col("n"), F.col("component"), F.col("later")]
@@ -352,12 +350,17 @@ def _similar_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
             met = one.join(two, "token").filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & near)
             pairs = met.select("a", "b", "n_a", "n_b").distinct()
         else:  # a pivot per bucket against the other components
+            # the first pivot is the same in all buckets it is in, which joins copies of one text at once
+            draws = [F.xxhash64("doc_id")] if number == 1 else [F.xxhash64("doc_id", "token", F.lit(number), F.lit(k)) for k in range(PIVOTS)]
+            pivots = F.array(*[F.min(F.struct(h.alias("h"), "doc_id", "n", "component", "later")) for h in draws])
             pivot = [F.col("pivot.doc_id"), F.col("pivot.n")]
             first = pivot[0] < F.col("doc_id")
-            pairs = open_rows.withColumn("pivot", F.explode("pivots")).filter(F.col("pivot.component") != F.col("component")).select(
+            drawn = open_rows.join(open_rows.groupBy("token").agg(pivots.alias("pivots")), "token")
+            pairs = drawn.withColumn("pivot", F.explode("pivots")).filter(F.col("pivot.component") != F.col("component")).select(
                 F.least(pivot[0], "doc_id").alias("a"), F.greatest(pivot[0], "doc_id").alias("b"),
                 F.when(first, pivot[1]).otherwise(F.col("n")).alias("n_a"), F.when(first, F.col("n")).otherwise(pivot[1]).alias("n_b"),
-            ).filter(close & (F.col("a") < F.col("b"))).distinct()
+                F.least("pivot.later", "later").alias("later"),
+            ).filter(close & (F.col("a") < F.col("b")) & (F.col("later") >= _least_met(percent))).drop("later").distinct()
         linked = _linked(freeze(pairs), docs, width, percent, levels)
         discard(spark, path)
         if not linked.isEmpty():
