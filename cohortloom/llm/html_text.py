@@ -2,9 +2,10 @@
 
 The pages of a host are merged into one tree: elements at the same place with
 the same tag and class are one node.  A node whose content and presentation
-hardly vary over the distinct pages of its host has a low entropy and so a low
-importance; such branches are template, not text.  Names of tags and classes and
-the share of links tell the rest.
+hardly vary beside the different main texts of its host has a low entropy and so
+a low importance; the contents it repeats are template, not text.  Near copies
+of a page are one main text, so they say nothing about each other.  Names of
+tags and classes and the share of links tell the rest.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 from cohortloom.llm.registry import query, table
 from cohortloom.session import BROADCAST_ROWS, saved
 
-MIN_PAGES = 5  # distinct pages that must show a node before its importance counts
+MIN_PAGES = 5  # different main texts that must stand beside a node before its importance counts
+REPEATED = 0.01  # of the main texts beside a node, and two at least, that show a content which is template
 LOW = 0.3  # importance under which a branch is template
 CONTENT_WEIGHT = 0.9  # of the content's entropy against the presentation's
 LINK_SHARE = 0.6  # of a list's or container's text, over which it is a menu
@@ -55,9 +58,8 @@ TEMPLATE_WORDS = frozenset(
     "searchbox pagination pager paging widget widgets toolbar tagcloud skip copyright disclaimer legal privacy form banners "
     "complementary contentinfo alertdialog tablist outbrain taboola paywall".split()
 )
-#: Elements that are never judged by their names, and those importance never removes.
+#: Elements that are never judged by their names, nor by importance.
 _FRAME = frozenset("html body article main".split())
-_PLAIN = _FRAME | frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
 _CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _LISTS = frozenset("ul ol dl table tbody thead tfoot div section article select menu main body".split())
 
@@ -136,12 +138,13 @@ class Page:
             if name not in BLOCK and tag in BLOCK:
                 return  # an end tag inside a block does not end what is around it
 
-    def texts(self) -> list[str]:
-        """The text below every element."""
+    def texts(self, gone: list[bool]) -> list[str]:
+        """The text below every element, without that of the elements that are gone."""
         out = [""] * len(self.tag)
         for node in range(len(self.tag) - 1, -1, -1):  # children come after their parent
-            parts = [x if isinstance(x, str) else out[x] for x in self.children[node]]
-            out[node] = " ".join(" ".join(parts).split())
+            if not gone[node]:
+                parts = [x if isinstance(x, str) else out[x] for x in self.children[node]]
+                out[node] = " ".join(" ".join(parts).split())
         return out
 
     def keys(self) -> list[int]:
@@ -161,25 +164,96 @@ def _template_name(names: str) -> bool:
     return any(w.lower() in TEMPLATE_WORDS for w in _NAME.findall(names))
 
 
-def style_features(source: str) -> list[tuple[int, int, int]]:
-    """(node, content, presentation) digests of a page, one per style-tree node."""
+class Branch(NamedTuple):
+    """The elements of a page at one style-tree node that importance may judge."""
+
+    elements: list[int]
+    content: int
+    shape: int
+    chars: int
+
+
+def _branches(page: Page, out: list[bool], spared: list[bool]) -> tuple[dict[int, Branch], int]:
+    """The branches of a page by style-tree node, and the length of its text, without the elements that are out."""
+    judged = [
+        n for n in range(1, len(page.tag)) if not out[n] and not spared[n] and page.tag[n] in BLOCK and page.tag[n] not in _FRAME
+    ]
+    if not judged:
+        return {}, 0
+    texts, keys = page.texts(out), page.keys()
+    elements: dict[int, list[int]] = {}
+    for node in judged:
+        elements.setdefault(keys[node], []).append(node)
+
+    def tags(node: int) -> str:
+        return ",".join(page.tag[c] for c in page.children[node] if isinstance(c, int) and not out[c])
+
+    found = {
+        k: Branch(own, _digest("\n".join(texts[n] for n in own)), _digest(";".join(map(tags, own))), sum(len(texts[n]) for n in own))
+        for k, own in elements.items()
+    }
+    return {k: b for k, b in found.items() if b.chars}, len(texts[0])
+
+
+def _beside(page: Page, out: list[bool], branches: dict[int, Branch]) -> dict[int, int]:
+    """The digest of the longest block outside each branch, for those that have text beside them."""
+    key_of = {n: k for k, b in branches.items() for n in b.elements}
+    main: dict[int, int] = {}
+    open_keys = set(branches)
+    for text, node in sorted(_runs(page, out), key=lambda r: (-len(r[0]), r[0])):
+        around = set()
+        while node > 0:
+            around.add(key_of.get(node))
+            node = page.parent[node]
+        own = _digest(text)
+        for key in open_keys - around:
+            main[key] = own
+        open_keys &= around
+        if not open_keys:
+            break
+    return main
+
+
+def style_features(source: str) -> list[tuple[int, int, int, int]]:
+    """(node, main, content, presentation) digests of a page, one per style-tree node that importance may judge.
+
+    ``main`` is the longest block beside the node: it is the same on near copies
+    of a page, whatever their menus, adverts and scripts are.
+    """
     page = Page(source)
-    texts, keys = page.texts(), page.keys()
-    content: dict[int, list[str]] = {}
-    shape: dict[int, list[str]] = {}
-    for node in range(1, len(keys)):
-        content.setdefault(keys[node], []).append(texts[node])
-        shape.setdefault(keys[node], []).append(",".join(page.tag[c] for c in page.children[node] if isinstance(c, int)))
-    return [(k, _digest("\n".join(content[k])), _digest(";".join(shape[k]))) for k in content]
+    out, spared = _by_rules(page)
+    branches, _ = _branches(page, out, spared)
+    return [(k, m, branches[k].content, branches[k].shape) for k, m in _beside(page, out, branches).items()]
+
+
+def _pair(node: int, content: int) -> int:
+    """One number for a style-tree node and its content."""
+    return (node * 0x9E3779B97F4A7C15 + content + (1 << 63)) % (1 << 64) - (1 << 63)
 
 
 def main_text(source: str | None, low: frozenset[int] = frozenset()) -> str:
-    """The blocks of the main text in page order, joined by a space; ``low`` are the host's template nodes."""
+    """The blocks of the main text in page order, joined by a space.
+
+    ``low`` are the host's template contents, as ``_pair`` of node and content.
+    What is inside an article, or holds most of the page's text, is never one.
+    """
     if not source:
         return ""
     page = Page(source)
+    out, spared = _by_rules(page)
+    if low:
+        branches, total = _branches(page, out, spared)
+        for key, branch in branches.items():
+            if 2 * branch.chars <= total and _pair(key, branch.content) in low:
+                for node in branch.elements:
+                    out[node] = True
+    blocks = _blocks(page, out)
+    return " ".join(blocks or _blocks(page, _by_names(page)[0]))
+
+
+def _by_names(page: Page) -> tuple[list[bool], list[bool]]:
+    """Which elements tags, names and articles tell to be no main text, and which importance never removes."""
     count = len(page.tag)
-    keys = page.keys() if low else []
     out, inside = [False] * count, [False] * count  # removed; inside an article
     root = [""] * count
     for node in range(1, count):
@@ -199,9 +273,13 @@ def main_text(source: str | None, low: frozenset[int] = frozenset()) -> str:
     for node in range(1, count):
         if scope and not held[node] and not (root[node] == "article" or scope == "main" and root[node] == "main"):
             out[node] = True
-    plain = _blocks(page, out)
-    if not plain:
-        return ""
+    return out, [i or h for i, h in zip(inside, held)]
+
+
+def _by_rules(page: Page) -> tuple[list[bool], list[bool]]:
+    """As ``_by_names``, with menus, which the share of links tells."""
+    out, spared = _by_names(page)
+    count = len(page.tag)
     links, chars, linked = [0] * count, [0] * count, [0] * count
     for node in range(count - 1, 0, -1):
         if out[node]:
@@ -214,21 +292,24 @@ def main_text(source: str | None, low: frozenset[int] = frozenset()) -> str:
     for node in range(1, count):
         up = page.parent[node]
         menu = links[node] >= 3 and linked[node] > LINK_SHARE * chars[node] and page.tag[node] in ("ul", "ol", "div", "section", "table", "dl", "center")
-        spared = _PLAIN if inside[node] else _FRAME  # a paragraph of an article is never template
-        template = bool(low) and keys[node] in low and page.tag[node] in BLOCK and page.tag[node] not in spared and not held[node]
-        out[node] = out[node] or out[up] or menu or template
-    return " ".join(_blocks(page, out) or plain)
+        out[node] = out[node] or out[up] or menu
+    return out, spared
 
 
 def _blocks(page: Page, out: list[bool]) -> list[str]:
     """The text of every block that is left, its white space made single spaces."""
-    blocks, run = [], []
+    return [text for text, _ in _runs(page, out)]
+
+
+def _runs(page: Page, out: list[bool]) -> list[tuple[str, int]]:
+    """(text, element) of every block that is left; the element is one that holds text of the block."""
+    blocks, run, held_by = [], [], 0
 
     def flush() -> None:
         text = " ".join("".join(run).split())
         run.clear()
         if text:
-            blocks.append(text)
+            blocks.append((text, held_by))
 
     stack: list = [(0, 0)]
     while stack:
@@ -242,6 +323,7 @@ def _blocks(page: Page, out: list[bool]) -> list[str]:
         child = children[at]
         if isinstance(child, str):
             run.append(child)
+            held_by = node
         elif page.tag[child] == "br":
             run.append(" ")
         elif not out[child]:
@@ -259,48 +341,63 @@ def host_of(url: str = "url") -> Column:
     return F.nullif(F.lower(F.regexp_extract(F.col(url).cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1)), F.lit(""))
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, node, pages, importance) of every node of the hosts' style trees.
-
-    Importance is the entropy of a node's contents, and to a smaller part of its
-    presentations, over the distinct pages of the host, as a share of the
-    highest possible.  A node on one page has importance 1.
-    """
+def _sightings(pages: DataFrame) -> DataFrame:
+    """(host, node, main, content, shape): what the nodes of the hosts' style trees hold beside which main text, each once."""
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for host, source in zip(batch["host"], batch["html"]):
-                own = _digest(source)
-                rows += [(host, own, *f) for f in style_features(source)]
-            yield pd.DataFrame(rows, columns=["host", "page", "node", "content", "shape"])
+                rows += [(host, *f) for f in style_features(source)]
+            yield pd.DataFrame(rows, columns=["host", "node", "main", "content", "shape"])
 
     sited = pages.select(host_of().alias("host"), F.col("html").cast("string").alias("html")).filter("host IS NOT NULL AND html IS NOT NULL")
-    seen = sited.mapInPandas(features, "host string, page bigint, node bigint, content bigint, shape bigint").distinct()
+    return sited.mapInPandas(features, "host string, node bigint, main bigint, content bigint, shape bigint").distinct()
+
+
+def _importance(seen: DataFrame) -> DataFrame:
     both = seen.select("host", "node", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("content").alias("f")), F.struct(F.lit(1).alias("kind"), F.col("shape").alias("f")))).alias("x"))
     counted = both.groupBy("host", "node", F.col("x.kind").alias("kind"), F.col("x.f").alias("f")).agg(F.count("*").alias("c"))
     spread = F.col("c") * F.log("c")
     sums = counted.groupBy("host", "node").agg(
-        F.sum(F.when(F.col("kind") == 0, F.col("c"))).alias("pages"),
+        F.sum(F.when(F.col("kind") == 0, F.col("c"))).alias("seen"),
         F.sum(F.when(F.col("kind") == 0, spread)).alias("content"), F.sum(F.when(F.col("kind") == 1, spread)).alias("shape"),
     )
 
     def entropy(total: str) -> Column:
-        return (F.log("pages") - F.col(total) / F.col("pages")) / F.log("pages")
+        return (F.log("seen") - F.col(total) / F.col("seen")) / F.log("seen")
 
     weighed = CONTENT_WEIGHT * entropy("content") + (1 - CONTENT_WEIGHT) * entropy("shape")
-    return sums.select("host", "node", "pages", F.when(F.col("pages") > 1, weighed).otherwise(F.lit(1.0)).alias("importance"))
+    mains = seen.select("host", "node", "main").distinct().groupBy("host", "node").agg(F.count("*").alias("pages"))
+    return mains.join(sums, ["host", "node"]).select("host", "node", "pages", F.when(F.col("seen") > 1, weighed).otherwise(F.lit(1.0)).alias("importance"))
+
+
+def style_tree(pages: DataFrame) -> DataFrame:
+    """(host, node, pages, importance) of the nodes of the hosts' style trees that may be template.
+
+    ``pages`` counts the different main texts beside the node.  Importance is the
+    entropy of a node's contents, and to a smaller part of its presentations,
+    beside them, as a share of the highest possible.  A node seen once has
+    importance 1.
+    """
+    return _importance(_sightings(pages))
 
 
 def extract(pages: DataFrame, name: str = "main_text", min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
     """Add the main text of ``html`` to every page (page_id, url, html and any more columns).
 
     Null or empty html gives an empty text, pages without a host are judged by
-    themselves, whole pages of any length are read, repeated pages count once in
-    their host's tree.  An existing column ``name`` is replaced.
+    themselves, whole pages of any length are read, copies and near copies of a
+    page count once in their host's tree.  Only a node's contents that repeat
+    beside different main texts are removed.  An existing column ``name`` is
+    replaced.
     """
-    template = style_tree(pages).filter((F.col("pages") >= min_pages) & (F.col("importance") < low))
-    by_host = saved(template.groupBy("host").agg(F.collect_set("node").alias("_template")).withColumnRenamed("host", "_host"))
+    seen = saved(_sightings(pages))
+    template = _importance(seen).filter((F.col("pages") >= min_pages) & (F.col("importance") < low)).select("host", "node", "pages")
+    shown = seen.select("host", "node", "content", "main").distinct().groupBy("host", "node", "content").agg(F.count("*").alias("_beside"))
+    repeated = shown.join(template, ["host", "node"]).filter((F.col("_beside") >= 2) & (F.col("_beside") >= REPEATED * F.col("pages")))
+    pair = F.udf(_pair, "bigint")("node", "content")
+    by_host = saved(repeated.groupBy("host").agg(F.collect_set(pair).alias("_template")).withColumnRenamed("host", "_host"))
     nodes = by_host.agg(F.coalesce(F.sum(F.size("_template")), F.lit(0)).alias("n")).first()["n"]
     side = F.broadcast(by_host) if nodes <= BROADCAST_ROWS else by_host
 

@@ -220,6 +220,24 @@ def test_style_tree_removes_template(spark):
     assert tree == {1.0} and html_text.extract(df.limit(0)).count() == 0
 
 
+def test_near_copies_keep_their_article(spark):
+    def near(i, body):
+        return f"<html><body><ul><li><a>Menu {i}</a></ul><div class='x'>Buy {i} now</div><script>t={i}</script>{body}</body></html>"
+
+    inside = "<article><h1>Head</h1><div class='entry-content'><p>One long first paragraph.</p><ul><li>Item</ul><table><tr><td>Cell</table></div></article>"
+    outside = "<div id='w'><h1>Head</h1><div class='lead'><p>The lead of it all.</p></div><div class='rest'><p>One long paragraph of many words.</p><p>End.</p></div></div>"
+    rows = [(i, "http://a.example/1", near(i, inside)) for i in range(6)] + [(10 + i, "http://b.example/1", near(i, outside)) for i in range(6)]
+    for i in range(8):  # one content of a node that is template elsewhere is this page's own
+        box = "<b>Its own remark</b>" if i == 7 else "Read our notice"
+        rows.append((20 + i, "http://c.example/", f"<body><p>Story {i} has words of its own here.</p><p>And more {i}.</p><div class='box'>{box}</div></body>"))
+    got = {r.page_id: r.main_text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(6):
+        assert got[i] == "Head One long first paragraph. Item Cell"
+        assert got[10 + i].endswith("Head The lead of it all. One long paragraph of many words. End.")
+        assert got[20 + i] == f"Story {i} has words of its own here. And more {i}."
+    assert got[27].endswith("Its own remark")
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return pieces.load_vocabulary()
