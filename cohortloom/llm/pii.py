@@ -17,7 +17,25 @@ from cohortloom.llm.registry import query, table
 ROUNDS = 8
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
+#: Countries by the length of their accounts; an account ends there whatever follows.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban(length: int, countries: str) -> str:
+    fours, rest = divmod(length - 4, 4)
+    spaced = f"(?: [A-Z0-9]{{4}}){{{fours}}}" + (f" [A-Z0-9]{{{rest}}}" if rest else "")
+    return f"(?:{'|'.join(countries.split())})[0-9]{{2}}(?:[A-Z0-9]{{{length - 4}}}|{spaced})(?![A-Za-z0-9])"
+
+
+IBAN = (
+    rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(_iban(n, c) for n, c in _IBAN_LENGTHS.items())}"
+    r"|[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9]))"
+)
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 DATE = (
@@ -25,14 +43,25 @@ DATE = (
     r"|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}(?![A-Za-z0-9])|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}(?![A-Za-z0-9]))"
 )
 SSN = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
+_AMEX = r"[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}(?![A-Za-z0-9])"
+_DASHED = r"[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}(?![A-Za-z0-9])"
+ONE_CARD = rf"(?<![A-Za-z0-9])(?:(?:[0-9]{{13,19}}|[0-9]{{4}} [0-9]{{4}} [0-9]{{4}} [0-9]{{4}})(?![A-Za-z0-9])|{_DASHED}|{_AMEX})"
+#: One more group of four digits that begins nothing else.
+_FOUR = rf"(?! {_AMEX}) [0-9]{{4}}(?![A-Za-z0-9@_%+]|[./-][A-Za-z0-9])"
+#: A card, or a run of groups of four that may hold cards anywhere.
 CARD = (
-    r"(?<![A-Za-z0-9])(?:[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}"
-    r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![A-Za-z0-9])"
+    rf"(?<![A-Za-z0-9])(?:(?:[0-9]{{13,19}}|[0-9]{{4}} [0-9]{{4}} [0-9]{{4}} [0-9]{{4}}(?:{_FOUR})*)(?![A-Za-z0-9])"
+    rf"|[0-9]{{4}}(?:-[0-9]{{4}}){{3,}}(?![A-Za-z0-9])|{_AMEX})"
 )
-PHONE = (
-    r"(?<![A-Za-z0-9+])(?:(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
-    r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,5})(?![A-Za-z0-9])"
+_LOCAL = r"(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![A-Za-z0-9])"
+#: At most 15 digits, and no group that begins another value.
+_ABROAD = (
+    rf"\+[0-9]{{1,3}}(?:(?: (?!{DATE}|{SSN}|{IP}|{EMAIL}|{_AMEX}|{_DASHED})|[.-])?[0-9]{{2,4}}){{3,5}}(?![A-Za-z0-9])"
+    rf"(?<!{'[ .-]?'.join(['[0-9]'] * 16)})"
 )
+ONE_PHONE = rf"(?<![A-Za-z0-9+])(?:{_LOCAL}|{_ABROAD})"
+#: A phone; one from abroad with the groups of four after it, of which its last groups may be part.
+PHONE = rf"(?<![A-Za-z0-9+])(?:{_LOCAL}|{_ABROAD}(?:{_FOUR})*)"
 #: In this order where several could start at the same place.
 PATTERNS = {"email": EMAIL, "iban": IBAN, "ip": IP, "date": DATE, "ssn": SSN, "card": CARD, "phone": PHONE}
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -142,11 +171,12 @@ def _day(value: Column) -> Column:
     return parsed
 
 
+def digits(value: Column) -> Column:
+    return F.regexp_replace(value, "[^0-9]", "")
+
+
 def kind_of(value: Column) -> Column:
     """The kind of a found string, null if it is not valid."""
-    def digits(v):
-        return F.regexp_replace(v, "[^0-9]", "")
-
     area, group, serial = F.substring(value, 1, 3), F.substring(value, 5, 2), F.substring(value, 8, 4)
     iban = symbols_of(value)
     return (
@@ -155,8 +185,8 @@ def kind_of(value: Column) -> Column:
         .when(value.rlike(f"^(?:{IP})$"), F.lit("ip"))
         .when(value.rlike(f"^(?:{DATE})$"), F.when(_day(value).isNotNull(), F.lit("date")))
         .when(value.rlike(f"^(?:{SSN})$"), F.when((area != "000") & (area != "666") & (area < "900") & (group != "00") & (serial != "0000"), F.lit("ssn")))
-        .when(value.rlike(f"^(?:{CARD})$"), F.when(luhn_sum(digits(value), False) % 10 == 0, F.lit("card")))
-        .when(F.length(digits(value)).between(8, 15), F.lit("phone"))
+        .when(value.rlike(f"^(?:{ONE_CARD})$"), F.when(luhn_sum(digits(value), False) % 10 == 0, F.lit("card")))
+        .when(F.length(digits(value)).between(8, 15) & value.rlike(f"^(?:{ONE_PHONE})$"), F.lit("phone"))
     )
 
 
@@ -235,6 +265,61 @@ def found(text: Column) -> Column:
     return F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
+def _cards_in(groups: Column) -> Column:
+    """The parts of groups of four digits (each with the character before it): the cards, and what is between."""
+    def one(acc, group):
+        def step(held):
+            text = F.array_join(held, "")
+            at = F.length(F.regexp_extract(text, "^[^0-9]?", 0))
+            card = (F.size(held) == 4) & (luhn_sum(digits(text), False) % 10 == 0)
+            full = F.size(held) == 4
+            return F.struct(
+                F.when(card, F.concat(acc["parts"], F.array(F.concat(acc["gap"], F.substring(text, F.lit(1), at)), F.substring(text, at + 1, F.length(text)))))
+                .otherwise(acc["parts"]).alias("parts"),
+                F.when(card, "").when(full, F.concat(acc["gap"], held[0])).otherwise(acc["gap"]).alias("gap"),
+                F.when(card, F.slice(held, 1, 0)).when(full, F.slice(held, 2, 3)).otherwise(held).alias("held"),
+            )
+
+        return _let(F.concat(acc["held"], F.array(group)), step)
+
+    none = F.array().cast("array<string>")
+    start = F.struct(none.alias("parts"), F.lit("").alias("gap"), none.alias("held"))
+    return F.aggregate(groups, start, one, lambda x: F.concat(x["parts"], F.array(F.concat(x["gap"], F.array_join(x["held"], "")))))
+
+
+def _phone_and_cards(value: Column) -> Column:
+    """The parts of a phone from abroad with groups of four after it.
+
+    The phone is the longest that a payment card (2 to 6 first) follows, or else the longest.
+    """
+    def whole(groups):
+        def before(n):
+            return F.array_join(F.slice(groups, 1, n), "")
+
+        def card_follows(n):
+            four = F.slice(groups, n + 1, 4)
+            return (
+                before(n).rlike(f"^(?:{ONE_PHONE})$") & F.array_join(four, "").rlike("^ [2-6][0-9]{3}(?: [0-9]{4}){3}$")
+                & (luhn_sum(digits(F.array_join(four, "")), False) % 10 == 0)
+            )
+
+        longest = F.regexp_extract(value, f"^(?:{ONE_PHONE})", 0)
+        sizes = F.filter(F.sequence(F.least(F.size(groups), F.lit(7)), F.lit(1)), card_follows)
+        phone = F.when(F.size(sizes) > 0, before(F.get(sizes, F.lit(0)))).otherwise(longest)
+        return _let(phone, lambda p: F.concat(F.array(p), _cards_in(F.regexp_extract_all(F.substring(value, F.length(p) + 1, F.length(value)), F.lit("[ .-]?[0-9]+"), F.lit(0)))))
+
+    return _let(F.regexp_extract_all(value, F.lit("[+]?[ .-]?[0-9]+"), F.lit(0)), whole)
+
+
+def parts(value: Column) -> Column:
+    """The values a found string is read as, with what is between them, in order."""
+    return (
+        F.when(value.rlike("^[+].* [0-9]{4}$") & ~value.contains("("), _phone_and_cards(value))
+        .when(value.rlike("^[0-9]{4}(?:[ -][0-9]{4}){4,}$"), _cards_in(F.regexp_extract_all(value, F.lit("[ -]?[0-9]{4}"), F.lit(0))))
+        .otherwise(F.array(value))
+    )
+
+
 def pseudonymise(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
     """Replace the personal data in ``column`` of every row; all other columns stay.
 
@@ -247,7 +332,7 @@ def pseudonymise(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
         found(text),
         lambda hits: F.when(F.size(hits) == 0, text).otherwise(
             F.array_join(
-                F.zip_with(F.split(text, ANY, -1), F.transform(hits, lambda v: pseudonym(v, key)), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "",
+                F.zip_with(F.split(text, ANY, -1), F.transform(hits, lambda v: F.array_join(F.transform(parts(v), lambda p: pseudonym(p, key)), "")), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "",
             )
         ),
     )
@@ -259,7 +344,8 @@ def kinds(text: Column) -> Column:
     def whole(ks):
         return F.struct(*[(F.size(ks) - F.size(F.array_remove(ks, n))).cast("bigint").alias(f"n_{n}") for n in PATTERNS])
 
-    return _let(F.transform(F.coalesce(found(text), F.array().cast("array<string>")), kind_of), whole)
+    hits = F.coalesce(found(text), F.array().cast("array<string>"))
+    return _let(F.transform(F.flatten(F.transform(hits, parts)), kind_of), whole)
 
 
 #: The query's key; a real run passes its own secret.

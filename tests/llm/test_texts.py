@@ -141,6 +141,36 @@ def test_invalid_values_and_odd_texts_stay(spark, odd):
     assert one_text(spark, "4111111111111111 4111111111111111").split()[0] == one_text(spark, "4111111111111111")
 
 
+NEXT_TO = [
+    ("ES91 2100 0418 4502 0005 1332 BIC CAIXESBB", ["ES91 2100 0418 4502 0005 1332"]),
+    ("BE68 5390 0754 7034 2024 was", ["BE68 5390 0754 7034"]),
+    ("AT61 1904 3002 3457 3201 UND", ["AT61 1904 3002 3457 3201"]),
+    ("BE68539007547034 2024", ["BE68539007547034"]),
+    ("+49 30 1234 5678 2024 12", ["+49 30 1234 5678"]),
+    ("+44 20 7946 0958 4111 1111 1111 1111 end", ["+44 20 7946 0958", "4111 1111 1111 1111"]),
+    ("+49 30 1234 567 4111 1111 1111 1111 2024", ["+49 30 1234 567", "4111 1111 1111 1111"]),
+    ("+4930123456 4111 1111 1111 1111", ["+4930123456", "4111 1111 1111 1111"]),
+    ("+49 30 1234 567 3782 822463 10005", ["+49 30 1234 567", "3782 822463 10005"]),
+    ("+49 30 1234 567 2021-02-28", ["+49 30 1234 567", "2021-02-28"]),
+    ("2025 4111 1111 1111 1111 2024-01-02", ["4111 1111 1111 1111", "2024-01-02"]),
+    ("4111-1111-1111-1111-2024", ["4111-1111-1111-1111"]),
+    ("5555 5555 5555 4444 4111 1111 1111 1111.", ["5555 5555 5555 4444", "4111 1111 1111 1111"]),
+]
+
+
+def test_values_next_to_other_tokens(spark):
+    values = sorted({v for _, vs in NEXT_TO for v in vs})
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate([*values, *(t for t, _ in NEXT_TO)])], "id int, text string")
+    got = [r.text for r in pii.pseudonymise(texts, "k").orderBy("id").collect()]
+    found = [sum(r.k) for r in texts.select("id", pii.kinds(F.col("text")).alias("k")).orderBy("id").collect()]
+    new = dict(zip(values, got))
+    assert all(a != b for a, b in new.items()) and found == [1] * len(values) + [len(vs) for _, vs in NEXT_TO]
+    for (text, own), result in zip(NEXT_TO, got[len(values) :]):
+        for value in own:
+            text = text.replace(value, new[value])
+        assert result == text
+
+
 def test_permutations_are_bijections(spark):
     pair = pii.feistel("k", "t", F.floor(F.col("id") / 7), F.col("id") % 7, 5, 7)
     assert spark.range(35).select(pair.alias("p")).distinct().count() == 35
