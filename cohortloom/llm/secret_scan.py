@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.registry import held_out, query, table
-from cohortloom.session import saved
+from cohortloom.session import broadcast_if_small, freeze, saved
 
 MAX_FINDINGS = 20_000  # labelled findings a forest is trained on, about
-MAX_ROWS = 4_000  # documents the dictionary is taken from, about
-MAX_WORDS = 20_000  # of the dictionary
+WORD_SHARE = 0.0005  # of the different documents, and two at least, that hold a word of the dictionary
+COUNTED = 300_000  # words a task counts before it hands them on
 TREES, DEPTH, LEAF = 40, 8, 3
 ACCEPT = 0.5
 
@@ -95,19 +95,32 @@ def find(docs: DataFrame, path: str | None = "source") -> DataFrame:
     return rows.mapInPandas(scan, f"doc_id {id_type}, start bigint, length bigint, rule string, value string, before string, after string, path string")
 
 
-def dictionary(docs: DataFrame, max_rows: int = MAX_ROWS, max_words: int = MAX_WORDS) -> list[str]:
-    """The most frequent words, of three letters or more and found twice, of about ``max_rows`` documents chosen by a hash."""
-    share = int(1_000_000 * max_rows / max(1, docs.count())) + 1
-    chosen = docs.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("words")), F.lit(1_000_000)) < share)
+def dictionary(docs: DataFrame, word_share: float = WORD_SHARE) -> list[str]:
+    """The words of three letters or more in ``word_share`` of the different texts of ``docs``, and in two at least.
+
+    All documents are counted; copies of a text count as one.  There are at most
+    words per text / ``word_share`` such words, however many documents there are.
+    """
+    texts = docs.select(F.col("text").cast("string").alias("text")).filter("text IS NOT NULL").withColumn("digest", F.xxhash64("text"))
+    copies = freeze(texts.groupBy("digest").agg(F.count("*").alias("rows")).filter("rows > 1"))
+    sizes = copies.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("n")).first()["n"]
+    least = max(2.0, word_share * (texts.count() - sizes))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
         for batch in batches:
-            seen = Counter(w for t in batch["text"] if t for w in _WORDS.findall(t.lower()))
-            yield pd.DataFrame(seen.items(), columns=["word", "n"])
-
-    words = chosen.select(F.col("text").cast("string").alias("text")).mapInPandas(count, "word string, n bigint")
-    top = words.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1").orderBy(F.desc("n"), "word").limit(max_words)
-    return [r["word"] for r in top.collect()]
+            for text, rows in zip(batch["text"], batch["rows"]):
+                for word in set(_WORDS.findall(text.lower())):
+                    seen[word] += 1 / rows
+                if len(seen) > COUNTED:
+                    yield pd.DataFrame(seen.items(), columns=["word", "n"])
+                    seen.clear()
+        yield pd.DataFrame(seen.items(), columns=["word", "n"])
+
+    weighed = texts.join(broadcast_if_small(copies), "digest", "left").select("text", F.coalesce("rows", F.lit(1)).alias("rows"))
+    words = weighed.mapInPandas(count, "word string, n double")
+    known = words.groupBy("word").agg(F.sum("n").alias("n")).filter(F.round("n", 6) >= least)  # sums of parts differ in their last digits
+    return sorted(r["word"] for r in known.select("word").collect())
 
 
 def _covered(value: str, known: frozenset[str]) -> float:

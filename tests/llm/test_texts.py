@@ -215,3 +215,13 @@ def test_forest_removes_false_positives(spark, odd):
     assert got[1] > 0.5 > got[2]
     assert secret_scan.find(odd).count() == 0 and secret_scan.find(odd.drop("source").limit(0)).count() == 0
     assert secret_scan.train(secret_scan.known_labels(findings.limit(0)), []).predict(secret_scan.np.zeros((2, len(secret_scan.FEATURES)))).tolist() == [0.5, 0.5]
+
+
+def test_dictionary_counts_all_documents(spark):
+    def word(i):
+        return "".join(chr(97 + i // 26**k % 26) for k in range(4))
+
+    rows = [(i, f"Common {word(i // 2)} {i}") for i in range(6000)] + [(6000 + i, "copied text") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").unionByName(spark.createDataFrame([(None, None), (1, "")], "doc_id long, text string"))
+    assert secret_scan.dictionary(docs, 0.0) == sorted(["common", *(word(i) for i in range(3000))])  # "copied" is in one text
+    assert secret_scan.dictionary(docs) == ["common"] and secret_scan.dictionary(docs.limit(0)) == []
