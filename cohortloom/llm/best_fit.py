@@ -141,15 +141,15 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 
 def _pack_round(items: DataFrame, number: int, capacity: int, part_items: int) -> DataFrame:
-    """Deal the items to partitions of about ``part_items`` and pack each; saved, as later rounds build on it."""
+    """Deal the items, by their row number, to partitions of about ``part_items`` and pack each; saved, as later rounds build on it."""
     parts = max(1, -(-items.count() // part_items))
     names = items.columns
-    dealt = items.withColumn("_part", F.pmod(F.xxhash64(*[F.col(c) for c in names], F.lit(number)), F.lit(parts)).cast("int"))
+    dealt = items.withColumn("_part", F.pmod(F.xxhash64("_row", F.lit(number)), F.lit(parts)).cast("int"))
     out_schema = items.withColumn("sequence_id", F.lit(0).cast("bigint")).withColumn("offset", F.lit(0).cast("bigint")).withColumn("_room", F.lit(0).cast("bigint")).withColumn("_certified", F.lit(True)).schema
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         part = int(group["_part"].iloc[0])
-        group = group.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
+        group = group.sort_values(["length", "doc_id", "piece", "_row"], ascending=[False, True, True, True], kind="stable")
         lengths = group["length"].to_numpy()
         bins, offsets, fill = best_fit_decreasing(lengths, capacity)
         bound = lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
@@ -167,13 +167,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_items: int = PART_ITE
     """Add sequence_id and offset to piece rows (doc_id, piece, length and any more columns but those two).
 
     No sequence holds more than ``capacity`` ids; offsets are gapless from 0.
-    Pieces as long as a sequence fill one each.  Repeated rows are packed each;
-    an empty table gives no rows.  Exchange stops when all partitions are
+    Pieces as long as a sequence fill one each.  Repeated rows are packed each
+    and spread over the parts; an empty table gives no rows.  Exchange stops when all partitions are
     certified, when a round saves nothing, or after ``rounds``.
     """
-    pieces = saved(pieces)
+    pieces = saved(pieces.withColumn("_row", F.monotonically_increasing_id()))  # saved, so it stays the same
     full = pieces.filter(F.col("length") == capacity).select(
-        "*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")
+        "*", (-1 - F.col("_row")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")
     )
     names = pieces.columns
     placed = _pack_round(pieces.filter(F.col("length") < capacity), 1, capacity, part_items)
@@ -191,7 +191,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_items: int = PART_ITE
     out = full
     for part in [*done, placed]:
         out = out.unionByName(part.drop("_room", "_certified"))
-    return out
+    return out.drop("_row")
 
 
 def bound_of(pieces: DataFrame, capacity: int = CAPACITY) -> int:

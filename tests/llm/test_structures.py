@@ -194,6 +194,13 @@ def test_exchange_saves_sequences(spark):
     assert best_fit.bound_of(items) <= count[1] <= count[0] and mixed.count() == 900
 
 
+def test_repeated_rows_spread_over_the_parts(spark):
+    items = spark.createDataFrame([(None, 0, 0, 400, 0)] * 900, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    out = best_fit.pack(items, part_items=30, rounds=0)
+    sizes = [r["count"] for r in out.groupBy(F.shiftright("sequence_id", 32)).count().collect()]
+    assert out.columns == [*items.columns, "sequence_id", "offset"] and sum(sizes) == 900 and max(sizes) < 90
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="has-sidebar">
 <header><a href=/>Site</a></header><nav><ul><li><a>Menu</a></ul></nav><div class="cookie-notice">We use cookies</div><!-- <p>no</p> -->
 <div id="wrap"><h1>Head &amp; line</h1><p>First <b>bold<br>part &copy;<p>Second&nbsp; <a href="x">link</a>ed
