@@ -69,15 +69,22 @@ class Vocabulary:
 
 
 def load_vocabulary(path: str | None = None) -> Vocabulary:
-    """The pieces of a model file; the public 32,000-piece BPE model without a path."""
+    """The pieces of a BPE or unigram model file; the public 32,000-piece BPE model without a path."""
     import public_tokenizers
     import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
 
     model = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path("piece_bpe_32k.model"))
     count = range(model.get_piece_size())
     plain = [i for i in count if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
     by_bytes = tuple(i for i in count if model.is_byte(i))
     pieces = {model.id_to_piece(i): (i, model.get_score(i)) for i in plain}
+    kinds = sentencepiece_model_pb2.TrainerSpec
+    kind = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto()).trainer_spec.model_type
+    if kind == kinds.UNIGRAM:
+        return Vocabulary(pieces, by_bytes, model.unk_id(), False)
+    if kind != kinds.BPE:
+        raise ValueError("neither a BPE nor a unigram model")
     late = irregular_pieces(pieces)
     if irregular_pieces(pieces, late) or any(p != q and p in q for p in late for q in late):
         raise ValueError("some pieces are not made by merges in score order")

@@ -283,6 +283,24 @@ def test_viterbi_against_dynamic_programming(spark):
         assert got[w] == "".join(cuts), w
 
 
+def test_unigram_file_against_the_library(spark, tmp_path):
+    import sentencepiece
+
+    rng = random.Random(5)
+    stems = ["".join(rng.choice("aehtnisor") for _ in range(rng.randint(2, 7))) for _ in range(120)]
+    lines = [" ".join(rng.choice(stems) for _ in range(12)) for _ in range(400)]
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(lines), model_prefix=str(tmp_path / "uni"), vocab_size=400, model_type="unigram", byte_fallback=True,
+        normalization_rule_name="identity", remove_extra_whitespaces=False, hard_vocab_limit=False, minloglevel=2,
+    )
+    path = str(tmp_path / "uni.model")
+    model, unigram = sentencepiece.SentencePieceProcessor(model_file=path), pieces.load_vocabulary(path)
+    assert not unigram.merges
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*lines[:60], "a strange ß word", "  two  blanks", "", None])], "doc_id long, text string")
+    for r in pieces.encode(docs, unigram).collect():
+        assert list(r.ids) == (model.encode(r.text) if r.text else [])
+
+
 def test_pipeline_keeps_columns_and_follows_its_stages(spark, sf_dir):
     docs = registry.table(spark, sf_dir, "documents")
     names = [n for n, _ in corpus_pipeline.STAGES]
