@@ -38,6 +38,7 @@ def load() -> None:
     from cohortloom.llm import (  # noqa: F401
         best_fit,
         embedding_join,
+        hard_negatives,
         html_text,
         lang_id,
         ngram_join,
@@ -46,4 +47,6 @@ def load() -> None:
         quality_rules,
         rule_ensemble,
         secret_scan,
+        spelling,
+        web_archive,
     )
