@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings import query, table
-from cohortloom.operators import classify, metrics, moments, order_stats
+from cohortloom.operators import classify, discriminants, metrics, moments, order_stats
 from cohortloom.operators.components import PrincipalComponents, factor_analysis, pca_scores
 from cohortloom.plans.applicants import compare_models
 from cohortloom.session import freeze, saved
@@ -318,6 +318,57 @@ def qda_classify(spark, sf):
     return classify.discriminant_predict(train, test, ["x1", "x2"], "label", quadratic=True).select("vec_id", "label", "predicted")
 
 
+# All predictors at once: numbers and factors as a design of nine columns, inverted in SQL by sweeps.
+
+_DESIGN = ["price", "days", *[f"(priority = {k})::INT" for k in range(1, 5)], *[f"(quarter = {k})::INT" for k in range(1, 4)]]
+_COVARIANCES = "[" + ", ".join("[" + ", ".join(f"covar_samp(x{min(i, j)}, x{max(i, j)})" for j in range(1, 10)) + "]" for i in range(1, 10)) + "]"
+_MEANS = "[" + ", ".join(f"avg(x{i})" for i in range(1, 10)) + "]"
+_MIXED = f"""WITH RECURSIVE o AS (SELECT o_orderkey, o_orderstatus AS g, o_totalprice AS price, date_diff('day', DATE '1995-01-01', o_orderdate::DATE) AS days,
+             left(o_orderpriority, 1)::INT AS priority, quarter(o_orderdate) AS quarter, row_number() OVER (PARTITION BY o_orderstatus
+             ORDER BY md5('1|' || o_orderkey), o_orderkey) <= ceil(0.8 * count(*) OVER (PARTITION BY o_orderstatus)) AS is_train FROM orders),
+       x AS (SELECT o_orderkey, g, is_train, {", ".join(f"({c})::DOUBLE AS x{i}" for i, c in enumerate(_DESIGN, 1))} FROM o),
+       m AS (SELECT g, count(*) AS n, {_MEANS} AS mu, {_COVARIANCES} AS c FROM x WHERE is_train GROUP BY g)"""
+_SWEEP = """s AS (SELECT g, 0 AS k, a, 0.0::DOUBLE AS logdet FROM w UNION ALL
+             SELECT g, k + 1, list_transform(range(1, 10), lambda i: list_transform(range(1, 10), lambda j:
+                    CASE WHEN i = k + 1 AND j = k + 1 THEN 1 / a[k + 1][k + 1] WHEN i = k + 1 THEN a[k + 1][j] / a[k + 1][k + 1]
+                         WHEN j = k + 1 THEN -a[i][k + 1] / a[k + 1][k + 1] ELSE a[i][j] - a[i][k + 1] * a[k + 1][j] / a[k + 1][k + 1] END)),
+                    logdet + ln(a[k + 1][k + 1]) FROM s WHERE k < 9),
+       d AS (SELECT o_orderkey, x.g AS o_orderstatus, m.g AS predicted, m.n, s.a, s.logdet,
+                    list_transform(range(1, 10), lambda i: [x1, x2, x3, x4, x5, x6, x7, x8, x9][i] - mu[i]) AS v
+             FROM x, m JOIN s ON s.g = m.g AND s.k = 9 WHERE NOT is_train)
+       SELECT o_orderkey, o_orderstatus, predicted FROM d QUALIFY row_number() OVER (PARTITION BY o_orderkey
+         ORDER BY ln(n / (SELECT sum(n) FROM m)) - {half} * logdet
+           - 0.5 * list_sum(list_transform(range(1, 10), lambda i: v[i] * list_dot_product(a[i], v))) DESC, predicted DESC) = 1"""
+
+
+def _orders_by_all(spark, sf, quadratic):
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("price"),
+        F.datediff("o_orderdate", F.lit("1995-01-01").cast("date")).alias("days"),
+        F.substring("o_orderpriority", 1, 1).alias("priority"), F.quarter("o_orderdate").alias("quarter"),
+    )
+    parts = saved(classify.stratified_split(orders, "o_orderstatus", "o_orderkey"))
+    train, test = parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "test")
+    out = discriminants.mixed_discriminant(train, test, ["price", "days"], ["priority", "quarter"], "o_orderstatus", quadratic)
+    return out.select("o_orderkey", "o_orderstatus", "predicted")
+
+
+@query(
+    "lda_all_predictors",
+    f"""{_MIXED}, w AS (SELECT y.g, list_transform(range(1, 10), lambda i: list_transform(range(1, 10), lambda j:
+               list_sum(list_transform(p.ns, lambda n, q: (n - 1) * p.cs[q][i][j])) / (list_sum(p.ns) - len(p.ns)))) AS a
+               FROM m y, (SELECT list(n ORDER BY g) AS ns, list(c ORDER BY g) AS cs FROM m) p),
+       {_SWEEP.format(half=0)}""",
+)
+def lda_all_predictors(spark, sf):
+    return _orders_by_all(spark, sf, quadratic=False)
+
+
+@query("qda_all_predictors", f"{_MIXED}, w AS (SELECT g, c AS a FROM m), {_SWEEP.format(half=0.5)}")
+def qda_all_predictors(spark, sf):
+    return _orders_by_all(spark, sf, quadratic=True)
+
+
 @query("tree_classify")
 def tree_classify(spark, sf):
     train, test = _split_vectors(spark, sf)

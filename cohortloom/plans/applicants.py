@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.operators import classify, metrics
+from cohortloom.operators import classify, discriminants, metrics
 from cohortloom.operators.components import PrincipalComponents, pca_scores
 from cohortloom.session import saved
 
@@ -20,26 +20,26 @@ TRAINING_SHARE = 0.8
 
 
 def study_table(numeric: DataFrame, categorical: DataFrame, key: str, columns: list[str], factors: list[str], outcome: str) -> DataFrame:
-    """Categoricals as dummies, three component scores, and the array of all features."""
+    """Categoricals, as they are and as dummies, three component scores, and the array of all features."""
     fit = PrincipalComponents(numeric, columns)
     joined = pca_scores(fit, numeric, categorical.fillna("0", subset=[c for c in factors if c == "tier_designation"]), key)
     encoded = classify.factor_encode(joined, factors)
     features = F.concat(*[F.col(f"{c}_dummies") for c in factors], F.array("pc1", "pc2", "pc3"))
-    return encoded.select(key, outcome, "pc1", "pc2", "pc3", features.alias("features"))
+    return encoded.select(key, outcome, *factors, "pc1", "pc2", "pc3", features.alias("features"))
 
 
 def compare_models(
     table: DataFrame, key: str, outcome: str, numeric: list[str], features: str = "features", folds: int = 10,
-    repeats: int = 30, k: int = 5, tree_depth: int = 5,
+    repeats: int = 30, k: int = 5, tree_depth: int = 5, factors: list[str] | None = None,
 ) -> DataFrame:
     """Accuracy and kappa of every model and fold, as long rows.
 
-    The discriminants use the numeric columns and fit all folds in one pass;
+    The discriminants use the numeric columns and the factors and fit all folds in one pass;
     neighbours run once per repeat; the tree is grown once per fold.
     """
     folded = saved(classify.repeated_folds(table, outcome, key, folds, repeats))
     parts = [
-        metrics.cv_metrics(classify.discriminant_cv(folded, numeric, outcome, quadratic), name, "predicted", outcome)
+        metrics.cv_metrics(discriminants.mixed_discriminant_cv(folded, numeric, factors or [], outcome, quadratic), name, "predicted", outcome)
         for name, quadratic in (("lda", False), ("qda", True))
     ]
     for repeat in range(1, repeats + 1):
@@ -99,14 +99,14 @@ def best_value(tuning: DataFrame, value: str, simpler_is_larger: bool) -> int:
 
 def held_out_predictions(
     table: DataFrame, key: str, outcome: str, numeric: list[str], features: str = "features", k: int = 5,
-    tree_depth: int = 5, seed: int = 1,
+    tree_depth: int = 5, seed: int = 1, factors: list[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Predictions of every model for the held-out fifth of each class."""
     parts = saved(classify.stratified_split(table, outcome, key, TRAINING_SHARE, seed))
     train, test = parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "test")
     return {
-        "lda": classify.discriminant_predict(train, test, numeric, outcome),
-        "qda": classify.discriminant_predict(train, test, numeric, outcome, quadratic=True),
+        "lda": discriminants.mixed_discriminant(train, test, numeric, factors or [], outcome),
+        "qda": discriminants.mixed_discriminant(train, test, numeric, factors or [], outcome, quadratic=True),
         "knn": classify.knn_classify(train, test, features, key, outcome, k),
         "tree": classify.tree_predict(train, test, features, outcome, max_depth=tree_depth),
     }

@@ -364,7 +364,7 @@ def test_applicant_study(spark):
     numeric, categorical = rows.select("id", "n0", "n1", "n2", "n3"), rows.select("id", "grad_years", "gender", "tier_designation")
     study = freeze(applicants.study_table(numeric, categorical, "id", ["n0", "n1", "n2", "n3"], ["gender", "tier_designation"], "grad_years"))
     assert study.count() == 240 and len(study.first().features) == 1 + 4 + 3
-    scores = applicants.compare_models(study, "id", "grad_years", ["pc1", "pc2", "pc3"], folds=2, repeats=1)
+    scores = applicants.compare_models(study, "id", "grad_years", ["pc1", "pc2", "pc3"], folds=2, repeats=1, factors=["gender", "tier_designation"])
     got = {(r.model, r.metric): r.value for r in scores.groupBy("model", "metric").agg(F.avg("value").alias("value")).collect()}
     assert {m for m, _ in got} == {"lda", "qda", "knn", "tree"}
     assert got["lda", "accuracy"] > 0.5
@@ -375,7 +375,7 @@ def test_applicant_study(spark):
     assert applicants.best_value(tuning, "k", True) in (1, 5, 9)
     depths = applicants.tune_tree(folded, "grad_years", [1, 3], folds=2, repeats=1)
     assert {r.depth for r in depths.collect()} == {1, 3}
-    predicted = applicants.held_out_predictions(study, "id", "grad_years", ["pc1", "pc2", "pc3"])
+    predicted = applicants.held_out_predictions(study, "id", "grad_years", ["pc1", "pc2", "pc3"], factors=["gender", "tier_designation"])
     scored = {r.model: r for r in applicants.held_out_scores(predicted, "grad_years").collect()}
     assert {r.n for r in scored.values()} == {48} and scored["lda"].accuracy > scored["lda"].no_information_rate
 
