@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings import query, table
-from cohortloom.operators import classify, discriminants, metrics, moments, order_stats
+from cohortloom.operators import classify, discriminants, metrics, moments, order_stats, pruned_tree
 from cohortloom.operators.components import PrincipalComponents, factor_analysis, pca_scores
 from cohortloom.plans.applicants import compare_models
 from cohortloom.session import freeze, saved
@@ -369,10 +369,71 @@ def qda_all_predictors(spark, sf):
     return _orders_by_all(spark, sf, quadratic=True)
 
 
-@query("tree_classify")
+# A tree of three levels, pruned at one hundredth of the root's errors per leaf.  Node k has the children 2k and 2k + 1.
+
+_TREE_DEPTH, _TREE_COST = 3, 0.01
+
+
+def _tree_sql():
+    """Bins by counts of 1/1024 of the range; a step of counts, best cuts and routing per level; pruning from below."""
+    parts = [
+        f"WITH {_PARTS}",
+        "x AS (SELECT vec_id, label, is_train, unnest(range(1, len(e) + 1)) AS f, unnest(e) AS x FROM v)",
+        "r AS (SELECT f, min(x) AS low, (max(x) - min(x)) / 1024 AS step FROM x WHERE is_train GROUP BY f)",
+        "fine AS (SELECT vec_id, label, is_train, f, CASE WHEN step > 0 THEN least(floor((x - low) / step), 1023) ELSE 0 END AS fine FROM x JOIN r USING (f))",
+        "c AS (SELECT f, fine, count(*) AS n FROM fine WHERE is_train GROUP BY ALL)",
+        "s AS (SELECT f, fine, sum(n) OVER (PARTITION BY f ORDER BY fine) AS upto, sum(n) OVER (PARTITION BY f) AS total FROM c)",
+        "e AS (SELECT DISTINCT f, min(fine) AS fine FROM s, range(1, 32) t(q) WHERE upto * 32 >= q * total GROUP BY f, q, total HAVING min(upto) < any_value(total))",
+        "b AS (SELECT fine.vec_id, any_value(fine.label) AS label, any_value(is_train) AS is_train, fine.f, count(e.f) AS bin FROM fine LEFT JOIN e ON e.f = fine.f AND e.fine < fine.fine GROUP BY fine.vec_id, fine.f)",
+        "a0 AS (SELECT vec_id, label, is_train, 1 AS node FROM v)",
+    ]
+    for d in range(_TREE_DEPTH):
+        parts += [
+            f"t{d} AS (SELECT node, label, count(*) AS n FROM a{d} WHERE is_train GROUP BY ALL)",
+            f"k{d} AS (SELECT node, sum(n)::BIGINT AS n, sum(n * n)::BIGINT AS sq FROM t{d} GROUP BY node HAVING sum(n) >= 20)",
+            f"l{d} AS (SELECT a.node, b.f, j.cut, a.label, count(*) AS n FROM a{d} a JOIN b USING (vec_id) JOIN range(0, 32) j(cut) ON b.bin <= j.cut WHERE a.is_train GROUP BY ALL)",
+            f"g{d} AS (SELECT l.node, l.f, l.cut, sum(l.n)::BIGINT AS nb, sum(l.n * l.n)::BIGINT AS sb, sum(l.n * l.n - 2 * l.n * t.n)::BIGINT AS cross_ FROM l{d} l JOIN t{d} t USING (node, label) GROUP BY ALL)",
+            f"""w{d} AS (SELECT node, f, cut FROM g{d} JOIN k{d} k USING (node) WHERE least(nb, k.n - nb) >= 7 AND sb / nb + (k.sq + cross_) / (k.n - nb) - k.sq / k.n > 1e-9
+                QUALIFY row_number() OVER (PARTITION BY node ORDER BY sb / nb + (k.sq + cross_) / (k.n - nb) - k.sq / k.n DESC, f, cut) = 1)""",
+            f"a{d + 1} AS (SELECT a.vec_id, a.label, a.is_train, CASE WHEN w.node IS NULL THEN a.node WHEN b.bin <= w.cut THEN 2 * a.node ELSE 2 * a.node + 1 END AS node FROM a{d} a LEFT JOIN w{d} w USING (node) LEFT JOIN b ON b.vec_id = a.vec_id AND b.f = w.f)",
+        ]
+    last = _TREE_DEPTH
+    splits = " UNION ALL ".join(f"SELECT node FROM w{d}" for d in range(last))
+    counts = " UNION ".join(f"SELECT node, label, count(*) AS n FROM a{d} WHERE is_train GROUP BY ALL" for d in range(last + 1))
+    parts += [
+        f"split AS ({splits})",
+        f"cl AS ({counts})",
+        "m AS (SELECT node, sum(n) - max(n) AS errors, arg_max(label, n * 1000000 - label) AS label FROM cl GROUP BY node)",
+        f"al AS (SELECT {_TREE_COST} * errors AS alpha FROM m WHERE node = 1)",
+        f"p{last} AS (SELECT node, errors + alpha AS cost, false AS stays FROM m, al)",
+    ]
+    for d in reversed(range(last)):  # costs of level d from those of the level below
+        parts.append(
+            f"""p{d} AS (SELECT m.node, CASE WHEN x.cost + y.cost < errors + alpha THEN x.cost + y.cost ELSE errors + alpha END AS cost,
+                coalesce(x.cost + y.cost < errors + alpha, false) AS stays FROM m CROSS JOIN al LEFT JOIN split s USING (node)
+                LEFT JOIN p{d + 1} x ON x.node = 2 * s.node LEFT JOIN p{d + 1} y ON y.node = 2 * s.node + 1)"""
+        )
+    path = " UNION ALL ".join(f"SELECT vec_id, {d} AS depth, node FROM a{d}" for d in range(last + 1))
+    return ", ".join(parts) + f""", path AS ({path}),
+        stop AS (SELECT vec_id, arg_min(path.node, depth) AS node FROM path JOIN p0 USING (node) WHERE NOT stays GROUP BY vec_id)
+        SELECT te.vec_id, te.label, m.label AS predicted FROM te JOIN stop USING (vec_id) JOIN m USING (node)"""
+
+
+@query("tree_classify", _tree_sql())
 def tree_classify(spark, sf):
     train, test = _split_vectors(spark, sf)
-    return classify.tree_predict(train, test, "embedding", "label").select("vec_id", "label", "predicted")
+    data = pruned_tree.binned(train, "embedding", "label", "vec_id")
+    tree = pruned_tree.grow(data, _TREE_DEPTH)[pruned_tree.WHOLE, 0]
+    return pruned_tree.predict(test, "embedding", data, tree, _TREE_COST, train.schema["label"].dataType).select("vec_id", "label", "predicted")
+
+
+@query("tree_tuning")
+def tree_tuning(spark, sf):
+    """Two repeats of three folds: held-out accuracy of every pruning of the whole tree."""
+    vectors = saved(table(spark, sf, "embeddings").select("vec_id", "label", "embedding"))
+    folded = saved(classify.repeated_folds(vectors.select("vec_id", "label"), "label", "vec_id", 3, 2))
+    data = pruned_tree.binned(vectors, "embedding", "label", "vec_id", folded)
+    return pruned_tree.tune(data, pruned_tree.grow(data, 5))
 
 
 @query("cv_compare")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.operators import classify, discriminants, metrics
+from cohortloom.operators import classify, discriminants, metrics, pruned_tree
 from cohortloom.operators.components import PrincipalComponents, pca_scores
 from cohortloom.session import saved
 
@@ -35,7 +35,8 @@ def compare_models(
     """Accuracy and kappa of every model and fold, as long rows.
 
     The discriminants use the numeric columns and the factors and fit all folds in one pass;
-    neighbours run once per repeat; the tree is grown once per fold.
+    neighbours run once per repeat; the trees of all folds are grown together,
+    by one scan per level, and pruned at the complexity of the best held-out accuracy.
     """
     folded = saved(classify.repeated_folds(table, outcome, key, folds, repeats))
     parts = [
@@ -47,8 +48,11 @@ def compare_models(
         found = classify.nearest_neighbours(rows, rows, features, key, outcome, k, fold="fold")
         voted = rows.join(classify.knn_vote(found, key, [k]), key)
         parts.append(metrics.cv_metrics(voted, "knn", "predicted", outcome))
-    grown = classify.tree_cv(folded, features, outcome, folds, repeats, max_depth=tree_depth)
-    parts.append(metrics.cv_metrics(grown, "tree", "predicted", outcome))
+    data = pruned_tree.binned(table, features, outcome, key, folded)
+    forest = pruned_tree.grow(data, tree_depth)
+    best = pruned_tree.best_complexity(pruned_tree.tune(data, forest))
+    grown = pruned_tree.cv_predictions(data, forest, best, table.schema[outcome].dataType)
+    parts.append(metrics.cv_metrics(grown, "tree", "predicted", "label"))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
@@ -69,6 +73,12 @@ def tune_neighbours(
     return _per_value(scored, "k")
 
 
+def tune_pruning(table: DataFrame, folded: DataFrame, key: str, outcome: str, features: str = "features", depth: int = 10) -> DataFrame:
+    """Cross-validated accuracy per complexity of the pruned tree; one scan per level grows the trees of all folds."""
+    data = pruned_tree.binned(table, features, outcome, key, folded)
+    return pruned_tree.tune(data, pruned_tree.grow(data, depth))
+
+
 def tune_tree(
     folded: DataFrame, outcome: str, depths: list[int], features: str = "features", folds: int = 10, repeats: int = 30
 ) -> DataFrame:
@@ -108,10 +118,21 @@ def held_out_predictions(
         "lda": discriminants.mixed_discriminant(train, test, numeric, factors or [], outcome),
         "qda": discriminants.mixed_discriminant(train, test, numeric, factors or [], outcome, quadratic=True),
         "knn": classify.knn_classify(train, test, features, key, outcome, k),
-        "tree": classify.tree_predict(train, test, features, outcome, max_depth=tree_depth),
+        "tree": _pruned_predictions(train, test, features, key, outcome, tree_depth, seed),
     }
 
 
+def _pruned_predictions(
+    train: DataFrame, test: DataFrame, features: str, key: str, outcome: str, depth: int, seed: int, folds: int = 10
+) -> DataFrame:
+    """The test rows by the tree of all training rows, pruned as ten folds of them do best."""
+    folded = saved(classify.repeated_folds(train.select(key, outcome), outcome, key, folds, 1, seed))
+    data = pruned_tree.binned(train, features, outcome, key, folded)
+    forest = pruned_tree.grow(data, depth)
+    best = pruned_tree.best_complexity(pruned_tree.tune(data, forest))
+    return pruned_tree.predict(test, features, data, forest[pruned_tree.WHOLE, 0], best, train.schema[outcome].dataType)
+
+
 def held_out_scores(predictions: dict[str, DataFrame], outcome: str) -> DataFrame:
     """Accuracy, kappa and no-information rate of every model on the held-out rows."""
     parts = [

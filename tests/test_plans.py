@@ -375,6 +375,8 @@ def test_applicant_study(spark):
     assert applicants.best_value(tuning, "k", True) in (1, 5, 9)
     depths = applicants.tune_tree(folded, "grad_years", [1, 3], folds=2, repeats=1)
     assert {r.depth for r in depths.collect()} == {1, 3}
+    pruning = applicants.tune_pruning(study, folded, "id", "grad_years", depth=3).collect()
+    assert {r.fits for r in pruning} == {2} and max(r.leaves for r in pruning) > 1
     predicted = applicants.held_out_predictions(study, "id", "grad_years", ["pc1", "pc2", "pc3"], factors=["gender", "tier_designation"])
     scored = {r.model: r for r in applicants.held_out_scores(predicted, "grad_years").collect()}
     assert {r.n for r in scored.values()} == {48} and scored["lda"].accuracy > scored["lda"].no_information_rate
