@@ -10,7 +10,7 @@ from cohortloom.operators import classify
 from cohortloom.operators.rows import random_surrogate_id
 from cohortloom.operators.slots import SLOT_FIELDS
 from cohortloom.plans import admissions, applicants, graduates, sessions
-from cohortloom.session import freeze
+from cohortloom.session import freeze, saved
 from cohortloom.sources import sinks
 
 
@@ -315,12 +315,26 @@ def test_graduate_fact(fact):
     }
 
 
+def test_students_with_many_rows_are_joined_instead(spark, grad_tables, fact):
+    """All students, one of two, and none over the limit give the same rows."""
+    wanted = as_set(fact, *fact.columns)
+    for limit in (0, 20):
+        assert as_set(graduates.graduate_fact(grad_tables, limit), *fact.columns) == wanted
+
+
+def test_one_partitioning_by_student(spark, grad_tables):
+    """Over stored tables: the students, and the latest rows of two code tables."""
+    stored = graduates.GraduateTables(**{name: saved(df) for name, df in vars(grad_tables).items()})
+    plan = graduates.graduate_fact(stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(") == 3 and plan.count("hashpartitioning(emplid") == 1
+
+
 def test_overview_and_courses(spark, fact, grad_tables):
     view = freeze(graduates.overview(fact))
     # The row of a school that is no college is kept as the plan's last row.
     assert as_set(view, "emplid", "ext_org_id", "ncccs_transfer") == {("1", "CC1", "Y"), ("1", "U9", "Y"), ("2", None, "N")}
     courses = freeze(graduates.course_detail(view, grad_tables))
-    assert as_set(courses, "emplid", "school", "ncsu_subject", "ncsu_nbr", "nccc_dev_ed", "transfer_credit", "reject_reason", "counts_toward_degree", "unt_taken") == {
+    assert as_set(courses, "emplid", "school", "home_subject", "home_nbr", "nccc_dev_ed", "transfer_credit", "reject_reason", "counts_toward_degree", "unt_taken") == {
         ("1", "First College", "MA", "107", "Y", "Y", "Blank Grade", "N", 3.0),
         ("1", None, None, None, "N", "N", None, "Y", 3.0),
         ("1", "NCSU", "CH", "101", None, None, None, "Y", 4.0),
