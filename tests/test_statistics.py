@@ -22,11 +22,12 @@ def sample():
     return g, x
 
 
-@pytest.mark.parametrize("bins", [4, 4096])
-def test_quantiles_match_numpy(spark, sample, bins):
+@pytest.mark.parametrize("grid,piece_rows", [(4, 1_000_000), (1024, 1_000_000), (16, 60)])
+def test_quantiles_match_numpy(spark, sample, grid, piece_rows, monkeypatch):
+    """Counted at once, after a second sketch, and after as many as it takes to reach pieces of a row."""
     g, x = sample
     ranks = {"first": F.lit(1), "middle": F.floor((F.col("n") + 1) / 2), "last": F.col("n")}
-    found = order_stats.order_statistics(frame(spark, [g, x], "g string, x double"), ["g"], "x", ranks, bins)
+    found = order_stats.order_statistics(frame(spark, [g, x], "g string, x double"), ["g"], "x", ranks, grid, piece_rows)
     for r in found.collect():
         values = np.sort(x[g == r.g])
         assert (r.first, r.middle, r.last, r.n) == (values[0], values[(len(values) + 1) // 2 - 1], values[-1], len(values))
@@ -315,7 +316,7 @@ EXTREMES = [
 def test_order_statistics_end_on_every_double(spark, monkeypatch):
     passes = []
     narrow = order_stats._narrow
-    monkeypatch.setattr(order_stats, "_narrow", lambda *a: passes.append(1) or narrow(*a))
+    monkeypatch.setattr(order_stats, "_narrow", lambda *a, exact: passes.append(1) or narrow(*a, exact=exact))
     rows = [(i, x) for i, values in enumerate(EXTREMES) for x in values]
     ranks = {"first": F.lit(1), "second": F.least(F.lit(2), F.col("n")), "middle": F.floor((F.col("n") + 1) / 2), "last": F.col("n")}
     found = order_stats.order_statistics(spark.createDataFrame(rows, "g int, x double"), ["g"], "x", ranks)
@@ -324,7 +325,37 @@ def test_order_statistics_end_on_every_double(spark, monkeypatch):
         v = sorted(x for x in values if x is not None and not math.isnan(x))
         if v:
             assert got.pop(i) == (v[0], v[min(1, len(v) - 1)], v[(len(v) + 1) // 2 - 1], v[-1])
-    assert not got and len(passes) <= 8
+    assert not got and len(passes) == 1  # after the sketch
+
+
+def test_a_sketch_out_of_bounds_changes_nothing(spark, sample, monkeypatch):
+    """Brackets that miss their ranks cost more scans, not the result."""
+    g, x = sample
+    bracket = order_stats._bracket
+
+    def wrong(rank, n, sketch, lowest, highest, grid):
+        return bracket(f"least({rank} + {n} / 3, {n})", n, sketch, lowest, highest, grid)
+
+    monkeypatch.setattr(order_stats, "_bracket", wrong)
+    ranks = {"first": F.lit(1), "middle": F.floor((F.col("n") + 1) / 2), "last": F.col("n")}
+    for r in order_stats.order_statistics(frame(spark, [g, x], "g string, x double"), ["g"], "x", ranks).collect():
+        values = np.sort(x[g == r.g])
+        assert (r.first, r.middle, r.last) == (values[0], values[(len(values) + 1) // 2 - 1], values[-1])
+
+
+def test_three_scans_at_most(spark, monkeypatch):
+    """Many rows of one group: a sketch, a sketch inside the brackets, the counts."""
+    kinds = []
+    narrow = order_stats._narrow
+    monkeypatch.setattr(order_stats, "_narrow", lambda *a, exact: kinds.append(exact) or narrow(*a, exact=exact))
+    df = spark.range(300_000).select(F.lit(1).alias("g"), F.xxhash64("id").cast("double").alias("x"))
+    ranks = {"q1": F.lit(75_000), "q2": F.lit(150_000), "q2b": F.lit(150_001), "last": F.col("n")}
+    for piece_rows, wanted in ((1_000_000, [True]), (1_000, [False, True])):
+        got = order_stats.order_statistics(df, ["g"], "x", ranks, piece_rows=piece_rows).first()
+        assert kinds == wanted
+        kinds.clear()
+    values = np.sort([r.x for r in df.collect()])
+    assert (got.q1, got.q2, got.q2b, got.last) == (values[74_999], values[149_999], values[150_000], values[-1])
 
 
 def test_summary_with_nan_and_infinity(spark):
