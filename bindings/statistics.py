@@ -170,30 +170,50 @@ def factor_analysis_one(spark, sf):
 # ---- tests of means --------------------------------------------------------
 
 
+def _simpson(density, upper, steps=2000):
+    """The integral of a density of u from 0 to ``upper``, in SQL."""
+    weight = f"CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return f"list_sum(list_transform(range(0, {steps + 1}), lambda i: {weight} * ({density.replace('u', f'(i * {upper} / {steps})')}))) * {upper} / {3 * steps}"
+
+
+def _t_pvalue_sql(t, df):
+    """Two-sided; the density beyond 40 is nothing at the degrees of freedom of these tables."""
+    scale = f"exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2)) / sqrt({df} * pi())"
+    return f"round(1 - 2 * {scale} * {_simpson(f'pow(1 + u * u / {df}, -({df} + 1) / 2)', f'least(abs({t}), 40.0)')}, 6)"
+
+
+def _t_quantile_sql(df, z=1.959963984540054):
+    """The 97.5 % point by its series in 1 / df around the normal one, good to 1e-8 from about 100 degrees of freedom on."""
+    terms = [z, (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96, (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+             (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160]
+    return "(" + " + ".join(f"{c!r} / pow({df}, {k})" for k, c in enumerate(terms)) + ")"
+
+
 @query(
     "t_test_two_sample",
-    """WITH m AS (SELECT o_orderstatus AS g, count(*) AS n, avg(o_totalprice) AS a, var_samp(o_totalprice) AS v FROM orders
+    f"""WITH m AS (SELECT o_orderstatus AS g, count(*) AS n, avg(o_totalprice) AS a, var_samp(o_totalprice) AS v FROM orders
                   WHERE o_orderstatus IN ('F', 'O') GROUP BY 1),
        p AS (SELECT x.a AS m1, y.a AS m2, x.n + y.n - 2 AS df,
                     sqrt(((x.n - 1) * x.v + (y.n - 1) * y.v) / (x.n + y.n - 2) * (1 / x.n + 1 / y.n)) AS se
              FROM m x JOIN m y ON x.g = 'F' AND y.g = 'O')
        SELECT round(m1, 4) AS mean1, round(m2, 4) AS mean2, round(m1 - m2, 4) AS difference, df, round(se, 4) AS std_error,
-              round((m1 - m2) / se, 6) AS t FROM p""",
+              round((m1 - m2) / se, 6) AS t, {_t_pvalue_sql('((m1 - m2) / se)', 'df')} AS p_value,
+              round(m1 - m2 - {_t_quantile_sql('df')} * se, 3) AS ci_low, round(m1 - m2 + {_t_quantile_sql('df')} * se, 3) AS ci_high FROM p""",
 )
 def t_test_two_sample(spark, sf):
     test = moments.t_test_two_sample(table(spark, sf, "orders"), "o_orderstatus", "o_totalprice", ("F", "O"))
-    return _rounded(_rounded(test, ["mean1", "mean2", "difference", "std_error"], 4), ["t"]).drop("p_value", "ci_low", "ci_high")
+    return _rounded(_rounded(_rounded(test, ["mean1", "mean2", "difference", "std_error"], 4), ["t", "p_value"]), ["ci_low", "ci_high"], 3)
 
 
 @query(
     "t_test_one_sample",
-    """SELECT count(*) AS n, round(avg(c_acctbal), 4) AS mean, round(avg(c_acctbal), 4) AS difference, count(*) - 1 AS df,
-              round(stddev_samp(c_acctbal) / sqrt(count(*)), 6) AS std_error, round(avg(c_acctbal) / (stddev_samp(c_acctbal) / sqrt(count(*))), 6) AS t
-       FROM customer""",
+    f"""WITH m AS (SELECT count(*) AS n, avg(c_acctbal) AS a, count(*) - 1 AS df, stddev_samp(c_acctbal) / sqrt(count(*)) AS se FROM customer)
+       SELECT n, round(a, 4) AS mean, round(a, 4) AS difference, df, round(se, 6) AS std_error, round(a / se, 6) AS t, {_t_pvalue_sql('(a / se)', 'df')} AS p_value,
+              round(a - {_t_quantile_sql('df')} * se, 4) AS ci_low, round(a + {_t_quantile_sql('df')} * se, 4) AS ci_high FROM m""",
 )
 def t_test_one_sample(spark, sf):
-    test = _rounded(moments.t_test_one_sample(table(spark, sf, "customer"), "c_acctbal"), ["mean", "difference"], 4)
-    return _rounded(test, ["std_error", "t"]).drop("p_value", "ci_low", "ci_high")
+    test = _rounded(moments.t_test_one_sample(table(spark, sf, "customer"), "c_acctbal"), ["mean", "difference", "ci_low", "ci_high"], 4)
+    return _rounded(test, ["std_error", "t", "p_value"])
 
 
 _GROUPS = """WITH m AS (SELECT o_orderpriority AS g, count(*) AS n, avg(o_totalprice) AS a, var_samp(o_totalprice) AS v FROM orders GROUP BY 1),
@@ -204,13 +224,14 @@ _GROUPS = """WITH m AS (SELECT o_orderpriority AS g, count(*) AS n, avg(o_totalp
 @query(
     "anova_one_way",
     f"""{_GROUPS} SELECT round(ssb / 1e9, 4) AS ss_between, round(ssw / 1e9, 4) AS ss_within, dfb AS df_between, dfw AS df_within,
-               round(ssb / dfb / 1e9, 4) AS ms_between, round(ssw / dfw / 1e9, 4) AS ms_within, round((ssb / dfb) / (ssw / dfw), 6) AS f_value FROM s""",
+               round(ssb / dfb / 1e9, 4) AS ms_between, round(ssw / dfw / 1e9, 4) AS ms_within, round((ssb / dfb) / (ssw / dfw), 6) AS f_value,
+               round(pow(ssw / (ssw + ssb), dfw / 2) * (1 + dfw / 2 * ssb / (ssw + ssb)), 6) AS p_value FROM s""",
 )
 def anova_one_way(spark, sf):
-    """Squares in billions."""
-    row = moments.anova_one_way(table(spark, sf, "orders"), "o_orderpriority", "o_totalprice").drop("p_value")
+    """Squares in billions.  With five groups the upper tail has a closed form."""
+    row = moments.anova_one_way(table(spark, sf, "orders"), "o_orderpriority", "o_totalprice")
     squares = {c: F.round(F.col(c) / 1e9, 4) for c in ("ss_between", "ss_within", "ms_between", "ms_within")}
-    return _rounded(row.withColumns(squares), ["f_value"])
+    return _rounded(row.withColumns(squares), ["f_value", "p_value"])
 
 
 @query(
@@ -465,6 +486,28 @@ def accuracy_kappa(spark, sf):
     return _rounded(scored, ["accuracy", "kappa", "no_information_rate"])
 
 
+_BINOMIAL = "list_sum(list_transform(range({k}, n + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln(1 - {p}))))"
+
+
+@query(
+    "confusion_overall",
+    f"""WITH RECURSIVE c AS (SELECT toxic AS p, quality AS o, count(*) AS n FROM labels GROUP BY 1, 2),
+       t AS (SELECT sum(n)::INT AS n, sum(n) FILTER (p = o)::INT AS k, (sum(n) FILTER (p = 0 AND o = 1)) AS x, coalesce(sum(n) FILTER (p = 1 AND o = 0), 0) AS y,
+                    greatest(sum(n) FILTER (o = 0), sum(n) FILTER (o = 1)) / sum(n) AS nir FROM c),
+       b AS (SELECT 0 AS step, 0.0::DOUBLE AS l1, 1.0::DOUBLE AS h1, 0.0::DOUBLE AS l2, 1.0::DOUBLE AS h2 UNION ALL
+             SELECT step + 1, CASE WHEN low THEN m1 ELSE l1 END, CASE WHEN low THEN h1 ELSE m1 END, CASE WHEN high THEN m2 ELSE l2 END, CASE WHEN high THEN h2 ELSE m2 END
+             FROM (SELECT b.*, (l1 + h1) / 2 AS m1, (l2 + h2) / 2 AS m2, {_BINOMIAL.format(k="k", p="((l1 + h1) / 2)")} < 0.025 AS low,
+                          1 - {_BINOMIAL.format(k="k + 1", p="((l2 + h2) / 2)")} > 0.025 AS high FROM b, t WHERE step < 45))
+       SELECT n::BIGINT AS n, round(k / n, 6) AS accuracy, round(l1, 6) AS ci_low, round(h2, 6) AS ci_high, round(nir, 6) AS no_information_rate,
+              round(least(1, {_BINOMIAL.format(k="k", p="nir")}), 6) AS p_above_rate, round(pow(abs(x - y) - 1, 2) / (x + y), 6) AS mcnemar, 1 AS mcnemar_df,
+              round(1 - 2 * {_simpson("exp(-u * u / 2) / sqrt(2 * pi())".replace("sqrt", "SQRT"), "least((abs(x - y) - 1) / sqrt(x + y), 40.0)")}, 6) AS mcnemar_p
+       FROM t, b WHERE step = 45""",
+)
+def confusion_overall(spark, sf):
+    found = metrics.confusion_overall(table(spark, sf, "labels"), "toxic", "quality")
+    return _rounded(found, ["accuracy", "ci_low", "ci_high", "no_information_rate", "p_above_rate", "mcnemar", "mcnemar_p"])
+
+
 _RATES = ["sensitivity", "specificity", "positive_predictive", "negative_predictive", "prevalence", "detection_rate", "detection_prevalence", "balanced_accuracy"]
 
 

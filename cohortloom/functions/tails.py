@@ -99,6 +99,27 @@ def t_critical(df: float, level: float = 0.95) -> float:
     return _bisect(lambda t: t_two_sided(t, df), 1.0 - level)
 
 
+def beta_quantile(a: float, b: float, level: float) -> float:
+    """The point at which the incomplete beta function reaches a level."""
+    low, high = 0.0, 1.0
+    for _ in range(100):
+        mid = (low + high) / 2.0
+        low, high = (mid, high) if beta_inc(a, b, mid) < level else (low, mid)
+    return (low + high) / 2.0
+
+
+def binomial_interval(hits: float, n: float, level: float = 0.95) -> tuple[float, float]:
+    """Exact limits of a share: each tail of the binomial has half of what is left."""
+    tail = (1.0 - level) / 2.0
+    low = beta_quantile(hits, n - hits + 1, tail) if hits > 0 else 0.0
+    return low, beta_quantile(hits + 1, n - hits, 1.0 - tail) if hits < n else 1.0
+
+
+def binomial_upper(hits: float, n: float, p: float) -> float:
+    """The chance of so many hits or more."""
+    return beta_inc(hits, n - hits + 1, p) if hits > 0 else 1.0
+
+
 _NODES, _WEIGHTS = np.polynomial.legendre.leggauss(96)
 _ERF = np.vectorize(math.erf)
 
@@ -170,3 +191,18 @@ def tukey_quantile95(k: pd.Series, df: pd.Series) -> pd.Series:
     for pair in set(pairs):
         levels[pair] = tukey_critical(int(pair[0]), float(pair[1])) if pair[1] > 0 else None
     return pd.Series([levels[p] for p in pairs], dtype="float64")
+
+
+@F.pandas_udf(T.StructType([T.StructField("low", T.DoubleType()), T.StructField("high", T.DoubleType())]))
+def binomial_interval95(hits: pd.Series, n: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([binomial_interval(float(k), float(m)) for k, m in zip(hits, n, strict=True)], columns=["low", "high"])
+
+
+@F.pandas_udf(T.DoubleType())
+def binomial_pvalue(hits: pd.Series, n: pd.Series, p: pd.Series) -> pd.Series:
+    return pd.Series([binomial_upper(float(k), float(m), float(q)) for k, m, q in zip(hits, n, p, strict=True)], dtype="float64")
+
+
+@F.pandas_udf(T.DoubleType())
+def chi2_pvalue(x: pd.Series, df: pd.Series) -> pd.Series:
+    return _each(chi2_upper, x, df)

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.functions.tails import t_pvalue
+from cohortloom.functions.tails import binomial_interval95, binomial_pvalue, chi2_pvalue, t_pvalue
 from cohortloom.operators.spread import null_safe_on
+from cohortloom.session import freeze
 
 
 def confusion_counts(df: DataFrame, predicted: str, observed: str, by: list[str] | None = None) -> DataFrame:
@@ -77,6 +78,36 @@ def confusion_stats(df: DataFrame, predicted: str, observed: str) -> DataFrame:
     )
 
 
+def confusion_overall(df: DataFrame, predicted: str, observed: str) -> DataFrame:
+    """One row: accuracy with its exact 95 % interval, its test against the no-information rate, and McNemar's test.
+
+    ``p_above_rate`` is the chance of so many hits or more at the rate of the
+    largest observed class.  McNemar's statistic compares the two ways every
+    two classes are taken for each other, with continuity correction for two
+    classes; it is missing if two classes are never taken for each other.
+    Without any row there is no result.
+    """
+    counts = freeze(confusion_counts(df, predicted, observed))
+    total = accuracy_kappa(df, predicted, observed).select("n", "accuracy", "no_information_rate").filter("n > 0")
+    low, high = F.least("predicted", "observed"), F.greatest("predicted", "observed")
+    way = F.when(F.col("predicted") < F.col("observed"), F.col("n")).otherwise(-F.col("n"))
+    pairs = counts.filter("predicted <> observed").groupBy(low.alias("a"), high.alias("b")).agg(F.sum("n").alias("both"), F.abs(F.sum(way)).alias("apart"))
+    classes = counts.select(F.col("predicted").alias("c")).union(counts.select("observed")).agg(F.count_distinct("c")).scalar()
+    found = pairs.agg(
+        F.count("*").alias("_pairs"), F.sum(F.pow("apart", F.lit(2)) / F.col("both")).alias("_plain"),
+        F.sum(F.pow(F.col("apart") - F.least(F.lit(1), "apart"), F.lit(2)) / F.col("both")).alias("_corrected"),
+    )
+    row = total.join(F.broadcast(found)).withColumns({"_classes": classes, "_hits": F.round(F.col("accuracy") * F.col("n"))})
+    row = row.withColumn("mcnemar_df", (F.col("_classes") * (F.col("_classes") - 1) / 2).cast("int"))
+    statistic = F.when(F.col("_classes") == 2, F.col("_corrected")).otherwise(F.col("_plain"))
+    row = row.withColumn("mcnemar", F.when(F.col("_pairs") == F.col("mcnemar_df"), statistic))
+    return row.withColumn("_ci", binomial_interval95("_hits", "n")).select(
+        "n", "accuracy", F.col("_ci.low").alias("ci_low"), F.col("_ci.high").alias("ci_high"), "no_information_rate",
+        binomial_pvalue("_hits", "n", "no_information_rate").alias("p_above_rate"), "mcnemar", "mcnemar_df",
+        chi2_pvalue("mcnemar", F.col("mcnemar_df").cast("double")).alias("mcnemar_p"),
+    )
+
+
 def cv_metrics(predictions: DataFrame, model: str, predicted: str, observed: str) -> DataFrame:
     """Accuracy and kappa of every fold as long rows (model, repeat, fold, metric, value)."""
     scored = accuracy_kappa(predictions, predicted, observed, ["repeat", "fold"])

@@ -292,6 +292,22 @@ def test_confusion(spark):
     assert stats["a"].sensitivity == 1.0 and stats["a"].specificity == pytest.approx(4 / 6)
 
 
+def test_confusion_overall(spark):
+    # Worked by hand: two surveys of the same people, 794 and 150 against 86 and 570.
+    cells = {("yes", "yes"): 794, ("yes", "no"): 150, ("no", "yes"): 86, ("no", "no"): 570}
+    rows = [pair for pair, n in cells.items() for _ in range(n)]
+    row = metrics.confusion_overall(spark.createDataFrame(rows, "p string, o string"), "p", "o").first()
+    assert (row.n, row.accuracy, row.mcnemar_df) == (1600, 1364 / 1600, 1)
+    assert round(row.mcnemar, 3) == round((150 - 86 - 1) ** 2 / (150 + 86), 3) and row.mcnemar_p == pytest.approx(math.erfc(math.sqrt(row.mcnemar / 2)), rel=1e-9)
+    # The exact limits of 7 of 20.
+    rows = [("a", "a")] * 7 + [("b", "a")] * 13
+    row = metrics.confusion_overall(spark.createDataFrame(rows, "p string, o string"), "p", "o").first()
+    assert (round(row.ci_low, 4), round(row.ci_high, 4), row.p_above_rate) == (0.1539, 0.5922, pytest.approx(1.0))
+    perfect = metrics.confusion_overall(spark.createDataFrame([("a", "a"), ("b", "b")], "p string, o string"), "p", "o").first()
+    assert perfect.ci_high == 1.0 and perfect.mcnemar is None and perfect.p_above_rate == pytest.approx(0.25)
+    assert metrics.confusion_overall(spark.createDataFrame([], "p string, o string"), "p", "o").count() == 0
+
+
 def test_cv_summary_and_compare(spark):
     rows = [(m, 1, f, "accuracy", v) for m, vs in {"x": [0.5, 0.6, 0.7], "y": [0.4, 0.6, 0.5]}.items() for f, v in enumerate(vs)]
     df = spark.createDataFrame(rows, "model string, repeat int, fold int, metric string, value double")
