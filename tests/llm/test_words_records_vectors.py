@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.llm import hard_negatives, spelling, web_archive
+from cohortloom.llm import hard_negatives, pii, spelling, web_archive
 from cohortloom.session import scratch_path
 
 LETTERS = "abcdefgàéö"
@@ -258,3 +258,13 @@ def test_negatives_of_odd_tables(spark):
         assert hard_negatives.mine(spark.createDataFrame(rows, kinds), anchor).collect() == []
     with pytest.raises(ValueError):
         hard_negatives.mine(spark.createDataFrame([(100, 1, [3e38])], kinds), anchor)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["x@" + "a." * 50_000 + "com", "x@" + "a" * 100_000 + ".com", "x" * 100_000 + "@a_com"], ids=["labels", "host", "local"],
+)
+def test_hostile_texts_do_not_overflow_the_matcher(spark, text):
+    df = spark.createDataFrame([(1, f"{text} and jo.doe@mail.example.org")], "doc_id bigint, text string")
+    out = pii.pseudonymise(df, "key").first()["text"]
+    assert "jo.doe@mail" not in out and out.endswith(".org")
