@@ -4,7 +4,9 @@ Unit vectors are projected on their leading principal directions and sorted by
 grid cells of side epsilon, the distance that belongs to the cosine.  The
 sequence is cut into blocks with bounding boxes.  Intervals of the sequence are
 joined recursively: a pair of intervals whose boxes are further apart than
-epsilon is skipped with all that is below it.
+epsilon is skipped with all that is below it.  The block pairs that remain are
+gathered in tiles, two intervals of bounded size, so that a block travels once
+per tile and not once per partner.
 """
 
 from __future__ import annotations
@@ -16,9 +18,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from cohortloom.llm.batches import small_batches
 from cohortloom.llm.components import components
 from cohortloom.llm.registry import query, table
 from cohortloom.session import freeze, saved
@@ -28,7 +30,8 @@ DIRECTIONS = 16  # of the bounding boxes, at most
 GRID = 6  # leading directions that make the cells, at most
 BLOCK = 256  # vectors of a block
 FANOUT = 8  # intervals that make the next larger interval
-PAIRS_AT_ONCE = 64  # block pairs a task holds at a time
+TILE_BYTES = 4 << 20  # of vectors on each side of a tile, about; a task holds two sides
+TILE_TASKS = 4096  # that the tiles are spread over, at most
 SLACK = 1e-5  # rounding of projections and boxes
 
 
@@ -56,7 +59,7 @@ def _projected(classes: DataFrame, basis: np.ndarray, epsilon: float) -> DataFra
     return classes.withColumn("place", place("vector")).select("rep", "copies", "vector", "place.*")
 
 
-def _blocks(placed: DataFrame, size: int) -> DataFrame:
+def _blocks(placed: DataFrame, size: int, stored: str) -> DataFrame:
     """Consecutive vectors of the epsilon grid order as one row with their box; seq numbers the blocks in order."""
     ordered = placed.repartitionByRange("cell", "at", "rep").sortWithinPartitions("cell", "at", "rep")
 
@@ -69,7 +72,7 @@ def _blocks(placed: DataFrame, size: int) -> DataFrame:
             at = np.stack(rows["at"].to_numpy())
             return {
                 "part": part, "number": number, "reps": rows["rep"].to_numpy(), "copies": rows["copies"].to_numpy(),
-                "vectors": np.stack(rows["vector"].to_numpy()).astype("<f8").tobytes(), "at": at.astype("<f8").tobytes(), "lo": at.min(axis=0), "hi": at.max(axis=0),
+                "vectors": np.stack(rows["vector"].to_numpy()).astype(stored).tobytes(), "lo": at.min(axis=0), "hi": at.max(axis=0),
             }
 
         for batch in batches:
@@ -83,10 +86,10 @@ def _blocks(placed: DataFrame, size: int) -> DataFrame:
         if rest is not None and len(rest):
             yield pd.DataFrame([block(rest)])
 
-    shape = "part int, number int, reps array<bigint>, copies array<bigint>, vectors binary, at binary, lo array<double>, hi array<double>"
+    shape = "part int, number int, reps array<bigint>, copies array<bigint>, vectors binary, lo array<double>, hi array<double>"
     built = saved(ordered.mapInPandas(build, shape))
     order = built.groupBy("part").agg(F.count("*").alias("n"))  # one row per partition
-    before = order.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("_before"))
+    before = freeze(order.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("_before")))
     return built.join(F.broadcast(before), "part").withColumn("seq", F.col("_before") + F.col("number")).drop("part", "number", "_before")
 
 
@@ -135,43 +138,79 @@ def link_matrix(x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
     return (x @ y.T) / np.outer(nx, ny) >= cosine
 
 
-def _linked(pairs: DataFrame, cosine: float, epsilon: float) -> DataFrame:
-    """(rep, links, root): the links a vector has in a pair of blocks, and the smallest vector it reaches there."""
-
-    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = []
-            for r in batch.itertuples(index=False):
-                same = r.a == r.b
-                x_all, at_x = np.frombuffer(r.vectors_a).reshape(len(r.reps_a), -1), np.frombuffer(r.at_a).reshape(len(r.reps_a), -1)
-                y_all, at_y = np.frombuffer(r.vectors_b).reshape(len(r.reps_b), -1), np.frombuffer(r.at_b).reshape(len(r.reps_b), -1)
-                i, j = _near_box(at_x, at_y.min(axis=0), at_y.max(axis=0), epsilon), _near_box(at_y, at_x.min(axis=0), at_x.max(axis=0), epsilon)
+def _smallest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest of 0..n-1 that each reaches by the links (a, b)."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def _tiles(pairs: DataFrame, blocks: DataFrame, side: int) -> DataFrame:
+    """The blocks every tile needs, each once: tile (ta, tb), seq and the block; side blocks in an interval."""
+    tile = [F.floor(F.col("a") / side).alias("ta"), F.floor(F.col("b") / side).alias("tb")]
+    need = pairs.select(*tile, F.explode(F.array("a", "b")).alias("seq")).distinct()
+    tasks = pairs.select(*tile).distinct().count()
+    return need.join(blocks, "seq").repartition(max(1, min(2 * tasks, TILE_TASKS)), "ta", "tb")
+
+
+def _linked(tiles: DataFrame, side: int, basis: np.ndarray, stored: str, cosine: float, epsilon: float) -> DataFrame:
+    """(rep, links, root): the links a vector has in a tile, and the smallest vector it reaches there."""
+
+    def join(tile: pd.DataFrame) -> pd.DataFrame:
+        tile = tile.sort_values("seq", ignore_index=True)
+        ids = np.concatenate(tile["reps"].to_numpy())
+        copies = np.concatenate(tile["copies"].to_numpy())
+        sizes = tile["reps"].map(len).to_numpy()
+        start = np.cumsum(sizes) - sizes
+        interval = tile["seq"].to_numpy() // side
+        lo, hi = np.stack(tile["lo"].to_numpy()), np.stack(tile["hi"].to_numpy())
+        vectors = [np.frombuffer(v, dtype=stored).reshape(n, -1).astype(np.float64) for v, n in zip(tile["vectors"], sizes)]
+        at = [_unit(v) @ basis for v in vectors]
+        first, last = int(tile["ta"].iloc[0]), int(tile["tb"].iloc[0])
+        links, ends = np.zeros(len(ids), dtype=np.int64), []
+        for p in np.flatnonzero(interval == first):
+            gap = np.maximum(np.maximum(lo[p] - hi, lo - hi[p]), 0.0)
+            close = (interval == last) & ((gap**2).sum(axis=1) <= (epsilon + SLACK) ** 2)
+            for q in np.flatnonzero(close):
+                if q < p:  # of an interval with itself, each two blocks once
+                    continue
+                i, j = _near_box(at[p], lo[q], hi[q], epsilon), _near_box(at[q], lo[p], hi[p], epsilon)
                 if not len(i) or not len(j):
                     continue
-                m = link_matrix(x_all[i], y_all[j], cosine)
-                if same:
-                    np.fill_diagonal(m, False)
+                m = link_matrix(vectors[p][i], vectors[q][j], cosine)
+                i, j = i + start[p], j + start[q]
+                if p == q:
+                    np.fill_diagonal(m, False)  # the same rows on both sides
                 if not m.any():
                     continue
-                ids_x, ids_y = np.asarray(r.reps_a)[i], np.asarray(r.reps_b)[j]
-                links_x, links_y = m @ np.asarray(r.copies_b)[j], np.asarray(r.copies_a)[i] @ m
-                root_x, root_y = ids_x.copy(), ids_y.copy()
-                far = np.iinfo(np.int64).max
-                while True:  # smallest id within the pair, until nothing changes
-                    new_x = np.minimum(root_x, np.where(m, root_y[None, :], far).min(axis=1))
-                    new_y = np.minimum(root_y, np.where(m, new_x[:, None], far).min(axis=0))
-                    if (new_x == root_x).all() and (new_y == root_y).all():
-                        break
-                    root_x, root_y = new_x, new_y
-                has = links_x > 0
-                found.append(pd.DataFrame({"rep": ids_x[has], "links": links_x[has], "root": root_x[has]}))
-                if not same:
-                    has = links_y > 0
-                    found.append(pd.DataFrame({"rep": ids_y[has], "links": links_y[has], "root": root_y[has]}))
-            if found:
-                yield pd.concat(found, ignore_index=True)
-
-    return pairs.mapInPandas(join, "rep bigint, links bigint, root bigint")
+                links[i] += m @ copies[j]
+                if p != q:
+                    links[j] += copies[i] @ m
+                x, y = np.nonzero(m)
+                inner = _smallest(len(i) + len(j), x, y + len(i))  # a forest, so that a tile keeps few links
+                both = np.concatenate([i, j])
+                moved = inner != np.arange(len(both))
+                ends.append(np.stack([both[moved], both[inner[moved]]]))
+        if not ends:
+            return pd.DataFrame({"rep": ids[:0], "links": links[:0], "root": ids[:0]})
+        order = np.argsort(ids, kind="stable")
+        rank = np.empty(len(ids), dtype=np.int64)
+        rank[order] = np.arange(len(ids))
+        a, b = rank[np.concatenate(ends, axis=1)]
+        root = ids[order][_smallest(len(ids), a, b)[rank]]
+        has = links > 0
+        return pd.DataFrame({"rep": ids[has], "links": links[has], "root": root[has]})
+
+    return tiles.groupBy("ta", "tb").applyInPandas(join, "rep bigint, links bigint, root bigint")
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) -> DataFrame:
@@ -186,7 +225,10 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) ->
     if not 0 < cosine <= 1:
         raise ValueError("cosine must be above 0 and at most 1")
     epsilon = math.sqrt(2 - 2 * cosine)
-    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
+    kind = vectors.schema["embedding"].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    stored = "<f4" if single else "<f8"  # as given; cosines are in double precision either way
+    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("vector"))
     top = F.array_max(F.transform("vector", F.abs))
     sound = (
         F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 0)
@@ -198,18 +240,15 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) ->
     )
     links = None
     lengths = [r["d"] for r in classes.select(F.size("vector").alias("d")).distinct().orderBy("d").collect()]
-    spark = vectors.sparkSession
     for length in lengths:  # nearly always one
         own = classes.filter(F.size("vector") == length)
         chosen = F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) < int(1_000_000 * SAMPLE / max(1, own.count())) + 1
         sample = own.filter(chosen).select("vector").toPandas()["vector"]
         basis = principal_directions(_unit(np.stack(sample.to_numpy()))) if len(sample) else np.eye(length)[:, :DIRECTIONS]
-        blocks = saved(_blocks(_projected(own, basis, epsilon), block))
+        blocks = _blocks(_projected(own, basis, epsilon), block, stored)
         pairs = _block_pairs(blocks, basis.shape[1], epsilon, FANOUT)
-        data = blocks.select("seq", "reps", "copies", "vectors", "at")
-        both = pairs.join(data.toDF("a", "reps_a", "copies_a", "vectors_a", "at_a"), "a").join(data.toDF("b", "reps_b", "copies_b", "vectors_b", "at_b"), "b")
-        with small_batches(spark, PAIRS_AT_ONCE):
-            found = saved(_linked(both, cosine, epsilon))
+        side = max(1, TILE_BYTES // (block * length * np.dtype(stored).itemsize))
+        found = saved(_linked(_tiles(pairs, blocks, side), side, basis, stored, cosine, epsilon))
         links = found if links is None else links.unionByName(found)
 
     alone = rows.filter("NOT sound").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -109,7 +109,7 @@ def test_components_of_random_graphs(spark):
     assert got == {n: want[n] for n in nodes}
 
 
-def test_vectors_against_all_pairs(spark):
+def test_vectors_against_all_pairs(spark, monkeypatch):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(12, 8))
     x = [list(map(float, centres[i % 12] + rng.normal(size=8) * 0.25)) for i in range(700)]
@@ -128,6 +128,12 @@ def test_vectors_against_all_pairs(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, kept int")
     got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_join.near_vectors(df, block=32).collect()}
     assert got == want
+    monkeypatch.setattr(embedding_join, "TILE_BYTES", 3 * 32 * 8 * 8)  # tiles of three blocks
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_join.near_vectors(df, block=32).collect()}
+    assert got == want
+    plain = df.filter("embedding IS NULL OR NOT exists(embedding, x -> abs(x) = 1e300)").withColumn("embedding", F.col("embedding").cast("array<float>"))
+    single = plain.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    assert sorted(embedding_join.near_vectors(plain, block=32).collect()) == sorted(embedding_join.near_vectors(single, block=32).collect())
     again = embedding_join.near_vectors(df.limit(3).unionByName(df.limit(3)), block=32)
     assert again.count() == 6 and again.filter("kept").count() == 6
     assert embedding_join.near_vectors(df.limit(0)).count() == 0
@@ -144,6 +150,36 @@ def test_registered_sql(spark, sf_dir, name):
     assert sorted(tuple(r[n] for n in names) for r in df.collect()) == sorted(cursor.fetchall())
 
 
+def test_smallest_reached():
+    assert embedding_join._smallest(6, np.array([5, 4, 1]), np.array([4, 1, 3])).tolist() == [0, 1, 2, 1, 1, 1]
+    assert embedding_join._smallest(2, np.array([], dtype=int), np.array([], dtype=int)).tolist() == [0, 1]
+
+
+@pytest.mark.parametrize("spaces", [" ", "\n", " \n", "\u2003"])
+@pytest.mark.parametrize("tail", ["", "word", "\x1c", " é"])
+def test_long_white_space_has_the_tokenizers_ids(spaces, tail):
+    import public_tokenizers
+    import tokenizers
+
+    encoder = best_fit.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    same = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "ab cd" + spaces * (best_fit.LONG_SPACE + 7) + tail
+    assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == same.encode(text, add_special_tokens=False).ids
+    if tail == "word":
+        ids = np.frombuffer(encoder.encode("x" + " " * 2_000_000 + "word"), dtype="<u4")
+        assert len(ids) == 2_000_001
+
+
+def test_encoder_holds_bounded_bytes():
+    import public_tokenizers
+
+    encoder = best_fit.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, cached=20_000)
+    for at in range(300):
+        encoder.encode(f"word{at} other{'x' * at} and {at}")
+        assert encoder.held <= 20_000 and all(len(w) <= best_fit.LONG_WORD for w in encoder.seen)
+    assert encoder.held == sum(200 + len(w) + len(ids) for w, ids in encoder.seen.items())
+
+
 def test_lower_bound_and_best_fit():
     rng = np.random.default_rng(4)
     for _ in range(30):
