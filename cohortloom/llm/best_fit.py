@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.llm.batches import small_batches
 from cohortloom.llm.registry import query, table
 from cohortloom.session import saved
 
@@ -26,9 +27,13 @@ CAPACITY = 1024
 END = 2  # the id after every document
 PART_ITEMS = 20_000  # pieces that one task packs, about
 ROUNDS = 4  # of exchange, at most
-CACHED = 300_000  # words whose ids a task keeps
+CACHED = 24 << 20  # bytes of words and ids that a task keeps, about
+LONG_WORD = 64  # characters; longer ones are not kept
+LONG_SPACE = 10_000  # white space of more characters goes round the encoder's pattern matcher, which has a limit
+DOCS_AT_ONCE = 500  # texts sent to Python at a time
 
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_SPACE)
 _OTHER = re.compile("[^\t-\r\x20-\x7eÀ-ɏ]")  # characters that Python's classes and the tokenizer's may see differently
 
 
@@ -42,6 +47,7 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bpe = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.seen: dict[str, bytes] = {}
+        self.held = 0
         self.cached = cached
 
     def encode(self, text: str) -> bytes:
@@ -52,14 +58,27 @@ class Encoder:
             return b"".join(map(self.seen.__getitem__, words))
         except KeyError:
             own = {w: self._pack(w) if (known := self.seen.get(w)) is None else known for w in set(words)}
-            if len(self.seen) + len(own) > self.cached:
-                self.seen.clear()
-            if len(own) <= self.cached:
-                self.seen.update(own)
+            new = {w: ids for w, ids in own.items() if len(w) <= LONG_WORD and w not in self.seen}
+            size = sum(200 + len(w) + len(ids) for w, ids in new.items())  # with the objects' own
+            if self.held + size > self.cached:
+                self.seen, self.held = {}, 0
+            if size <= self.cached:
+                self.seen.update(new)
+                self.held += size
             return b"".join(map(own.__getitem__, words))
 
     def _pack(self, text: str) -> bytes:
-        return np.asarray(self.bpe.encode_ordinary(text), dtype="<u4").tobytes()
+        out, done = [], 0
+        for spaces in _SPACES.finditer(text):
+            # The last white space before a word belongs to what follows, the others are one word.
+            end = spaces.end() if spaces.end() == len(text) else spaces.end() - 1
+            out += [self.bpe.encode_ordinary(text[done : spaces.start()]), self._space_ids(text[spaces.start() : end])]
+            done = end
+        out.append(self.bpe.encode_ordinary(text[done:]))
+        return b"".join(np.asarray(ids, dtype="<u4").tobytes() for ids in out)
+
+    def _space_ids(self, spaces: str) -> list[int]:
+        return self.bpe._encode_single_piece(spaces)
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -169,9 +188,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_items: int = PART_ITE
     No sequence holds more than ``capacity`` ids; offsets are gapless from 0.
     Pieces as long as a sequence fill one each.  Repeated rows are packed each
     and spread over the parts; an empty table gives no rows.  Exchange stops when all partitions are
-    certified, when a round saves nothing, or after ``rounds``.
+    certified, when a round saves nothing, or after ``rounds``.  Binary columns
+    (the ids) stay out of the rounds and are joined to their rows at the end.
     """
-    pieces = saved(pieces.withColumn("_row", F.monotonically_increasing_id()))  # saved, so it stays the same
+    columns = pieces.columns
+    with small_batches(pieces.sparkSession, DOCS_AT_ONCE):
+        stored = saved(pieces.withColumn("_row", F.monotonically_increasing_id()))  # saved, so it stays the same
+    heavy = [f.name for f in stored.schema if f.dataType.typeName() == "binary"]
+    pieces = stored.drop(*heavy)
     full = pieces.filter(F.col("length") == capacity).select(
         "*", (-1 - F.col("_row")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")
     )
@@ -191,7 +215,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_items: int = PART_ITE
     out = full
     for part in [*done, placed]:
         out = out.unionByName(part.drop("_room", "_certified"))
-    return out.drop("_row")
+    if heavy:
+        out = out.join(stored.select("_row", *heavy), "_row")
+    return out.select(*columns, "sequence_id", "offset")
 
 
 def bound_of(pieces: DataFrame, capacity: int = CAPACITY) -> int:
