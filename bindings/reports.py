@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bindings import query, table
 from cohortloom.operators import reports
+from cohortloom.session import freeze
 
 _CLASSES = ["c_mktsegment", "o_orderpriority"]
 _MEASURES = ["applied", "admitted", "will_enter"]
@@ -72,6 +73,38 @@ def snapshot_compare(spark, sf):
     return reports.snapshot_compare(_applications(spark, sf), _CLASSES, _MEASURES, "day", {1998: "today", 1997: "history"})
 
 
+_CELLS = """SELECT {label} AS report, {dim}, count(*) FILTER (day = 1998) AS applied_today, count(*) FILTER (day = 1997) AS applied_history,
+               CAST(coalesce(sum(admitted) FILTER (day = 1998), 0) AS BIGINT) AS admitted_today,
+               CAST(coalesce(sum(admitted) FILTER (day = 1997), 0) AS BIGINT) AS admitted_history,
+               CAST(coalesce(sum(will_enter) FILTER (day = 1998), 0) AS BIGINT) AS will_enter_today,
+               CAST(coalesce(sum(will_enter) FILTER (day = 1997), 0) AS BIGINT) AS will_enter_history
+        FROM ({source}) WHERE day IN (1997, 1998) {where} {sets}"""
+
+
+@query(
+    "reports_from_cells",
+    " UNION ALL ".join(
+        [
+            _CELLS.format(label="'all'", dim=_LABELS, source=_SOURCE, where="", sets=_SETS),
+            _CELLS.format(label="'urgent'", dim=_LABELS, source=_SOURCE, where="AND o_orderpriority = '1-URGENT'", sets=_SETS),
+            _CELLS.format(
+                label="'segments'", source=_SOURCE, where="", sets="GROUP BY GROUPING SETS ((), (c_mktsegment))",
+                dim="CASE WHEN grouping(c_mktsegment) = 0 THEN 'c_mktsegment' ELSE 'all' END AS dim, coalesce(c_mktsegment, 'Total') AS level",
+            ),
+        ]
+    ),
+)
+def reports_from_cells(spark, sf):
+    """Three comparisons of two days from one pass over the applications."""
+    cells = freeze(reports.report_cells(_applications(spark, sf), ["day"], _CLASSES, _MEASURES))
+    tags = {1998: "today", 1997: "history"}
+    due = {"all": (cells, _CLASSES), "urgent": (cells.filter("o_orderpriority = '1-URGENT'"), _CLASSES), "segments": (cells, _CLASSES[:1])}
+    compared = [
+        reports.snapshot_compare(df, class_vars, _MEASURES, "day", tags).withColumn("report", F.lit(name)) for name, (df, class_vars) in due.items()
+    ]
+    return compared[0].unionByName(compared[1]).unionByName(compared[2])
+
+
 @query(
     "crosstab_full",
     """SELECT o_orderpriority, o_orderstatus, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS pct_total,

@@ -174,6 +174,12 @@ def t_quantile95(df: pd.Series) -> pd.Series:
     return _each(t_critical, df)
 
 
+@F.pandas_udf(T.DoubleType())
+def t_quantile(level: pd.Series, df: pd.Series) -> pd.Series:
+    """The point beyond which, on both sides, 1 - level is left."""
+    return _each(lambda p, n: t_critical(n, p), level, df)
+
+
 @F.pandas_udf(T.DoubleType())
 def f_pvalue(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
     return _each(f_upper, f, df1, df2)

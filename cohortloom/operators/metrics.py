@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
 
-from cohortloom.functions.tails import binomial_interval95, binomial_pvalue, chi2_pvalue, t_pvalue
+from cohortloom.functions.tails import binomial_interval95, binomial_pvalue, chi2_pvalue, t_pvalue, t_quantile
 from cohortloom.operators.spread import null_safe_on
 from cohortloom.session import freeze
 
@@ -130,17 +131,44 @@ def cv_summary(metrics: DataFrame) -> DataFrame:
     )
 
 
-def cv_compare(metrics: DataFrame) -> DataFrame:
-    """Paired fold differences of every two models, with a t test against 0."""
+def adjusted_pvalues(tests: DataFrame, p: str, order: list[str]) -> DataFrame:
+    """Add p_holm: the step-down adjustment over all rows; a missing p stays missing and is no test.
+
+    ``order`` settles ties, which does not change a value.  All rows meet in
+    one window, so this is for tables of tests, not of observations.
+    """
+    ranked = Window.orderBy(F.col(p).asc_nulls_last(), *order)
+    left = F.count(p).over(Window.partitionBy()) - F.row_number().over(ranked) + 1
+    step = tests.withColumn("_step", F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), left * F.col(p))))
+    so_far = F.max("_step").over(ranked.rowsBetween(Window.unboundedPreceding, 0))
+    return step.withColumn("p_holm", F.when(F.col(p).isNotNull(), so_far)).drop("_step")
+
+
+def cv_compare(metrics: DataFrame, level: float = 0.95) -> DataFrame:
+    """Paired fold differences of every two models: t test against 0, intervals and adjusted p-values.
+
+    ``ci_low`` and ``ci_high`` hold one difference at the level, ``joint_low``
+    and ``joint_high`` all pairs of models of a metric together (each at
+    1 - (1 - level) / pairs).  ``p_bonferroni`` is for the pairs of the metric,
+    ``p_holm`` steps down over all pairs and metrics.  Folds that lack either
+    value are left out.  With one fold, or differences that do not vary, there
+    is no test; with one fold there is no interval either.
+    """
     other = metrics.select(*[F.col(c).alias(f"_o_{c}") for c in metrics.columns])
     paired = metrics.join(
         other, null_safe_on(metrics, other, ["repeat", "fold", "metric"], "_o_") & (F.col("model") < F.col("_o_model"))
     )
-    row = paired.groupBy(
-        F.col("model").alias("model_a"), F.col("_o_model").alias("model_b"), "metric"
-    ).agg(
-        F.count("*").alias("folds"), F.avg(F.col("value") - F.col("_o_value")).alias("mean_difference"),
-        F.stddev_samp(F.col("value") - F.col("_o_value")).alias("_sd"),
+    difference = F.col("value") - F.col("_o_value")
+    row = paired.groupBy(F.col("model").alias("model_a"), F.col("_o_model").alias("model_b"), "metric").agg(
+        F.count(difference).alias("folds"), F.avg(difference).alias("mean_difference"), F.stddev_samp(difference).alias("_sd")
     )
-    row = row.withColumn("t", F.try_divide(F.col("mean_difference"), F.col("_sd") / F.sqrt("folds")))
-    return row.withColumn("p_value", t_pvalue("t", (F.col("folds") - 1).cast("double"))).drop("_sd")
+    error = F.col("_sd") / F.sqrt("folds")
+    df = (F.col("folds") - 1).cast("double")
+    row = row.withColumn("_pairs", F.count("*").over(Window.partitionBy("metric")))  # rows are pairs of models
+    row = row.withColumn("t", F.try_divide(F.col("mean_difference"), error)).withColumn("p_value", t_pvalue("t", df))
+    for name, share in (("ci", F.lit(1.0 - level)), ("joint", F.lit(1.0 - level) / F.col("_pairs"))):
+        half = t_quantile(F.lit(1.0) - share, df) * error
+        row = row.withColumns({f"{name}_low": F.col("mean_difference") - half, f"{name}_high": F.col("mean_difference") + half})
+    row = row.withColumn("p_bonferroni", F.least(F.lit(1.0), F.col("_pairs") * F.col("p_value")))
+    row = row.withColumn("p_bonferroni", F.when(F.col("p_value").isNotNull(), F.col("p_bonferroni")))
+    return adjusted_pvalues(row, "p_value", ["metric", "model_a", "model_b"]).drop("_sd", "_pairs")

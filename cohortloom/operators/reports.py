@@ -55,6 +55,17 @@ def snapshot_compare(df: DataFrame, class_vars: list[str], measures: list[str],
     )
 
 
+def report_cells(df: DataFrame, keys: list[str], class_vars: list[str], measures: list[str]) -> DataFrame:
+    """Sums of the measures per combination of keys and class values, missing values being values of their own.
+
+    ``totals_report`` and ``snapshot_compare`` of the cells equal those of the
+    rows for every choice among the class variables and every filter on keys
+    and class variables, so many reports need one pass over the rows.  The
+    cells grow with the combinations that occur, not with the rows.
+    """
+    return df.groupBy(*keys, *class_vars).agg(*[F.sum(m).alias(m) for m in measures])
+
+
 def crosstab_counts(df: DataFrame, row: str, column: str) -> DataFrame:
     """Two-way counts; rows with a missing value in either variable are left out."""
     return df.dropna(subset=[row, column]).groupBy(row, column).agg(F.count("*").alias("n"))

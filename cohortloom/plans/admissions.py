@@ -1,7 +1,8 @@
 """Daily admission report: today's snapshot against the nearest snapshot of last year.
 
-Plain functions that build one lazy plan; whether it is run daily, and what is
-done with the tables, is the caller's business.
+Plain functions; whether they are run daily, and what is done with the tables,
+is the caller's business.  The reports of a day roll up from cells that one pass
+over the snapshots leaves.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from cohortloom import fixed_values as fv
 from cohortloom.functions.scalars import label_concat
 from cohortloom.functions.terms import term_calendar
 from cohortloom.operators.joins import left_lookup_chain
-from cohortloom.operators.reports import nearest_history_date, report_filter, snapshot_compare, totals_report
+from cohortloom.operators.reports import nearest_history_date, report_cells, report_filter, snapshot_compare, totals_report
 from cohortloom.operators.setops import override_union, snapshot_concat
+from cohortloom.session import saved
 
 RATES = {"acceptance_pct": ("admit", "apply"), "yield_pct": ("will_enter", "admit")}
 
@@ -84,6 +86,24 @@ def spring_connect(rows: DataFrame, today: DataFrame, spring_term: str) -> DataF
     )
 
 
+def day_cells(rows: DataFrame, with_unit: bool) -> DataFrame:
+    """What every report of a day sums: measures per day, applicant type and class values, and per unit membership if asked for."""
+    class_vars = [*fv.ADMISSION_CLASSES, "country"]
+    if with_unit:
+        class_vars += [v for v in fv.UNIT_CLASSES if v not in class_vars] + ["in_unit"]
+        rows = rows.withColumn("in_unit", unit_condition())
+    return report_cells(rows, ["day", "applicant_type"], class_vars, fv.ADMISSION_MEASURES)
+
+
+def _narrow(snapshot: DataFrame, spring_term: str, terms: list[str]) -> DataFrame:
+    """The rows and columns of a snapshot that the reports of a spring day use, stored, as two plans read them."""
+    columns = [
+        "emplid", "admit_term", "applicant_type", "nc_tui_res_code", "spring_defer", "spring_def_we",
+        *fv.ADMISSION_MEASURES, *[c for c in fv.ADMISSION_CLASSES if c != "tier_designation"], "country", "acad_plan", "acad_sub_plan",
+    ]
+    return saved(snapshot.filter(F.col("admit_term").isin([*terms, spring_term])).select(*columns))
+
+
 def daily_reports(
     run_date: date,
     read_snapshot: Callable[[str, date], DataFrame],
@@ -95,9 +115,10 @@ def daily_reports(
     """All reports due on a day: (season, report, applicant type) to (totals, comparison).
 
     ``read_snapshot`` gives the snapshot of a semester and day, ``dates`` the
-    days that have one (day, semester).  Only the one or two cycles and their
-    history dates are looked up here; every report is a lazy plan.  The unit
-    report is due on Mondays, the spring report in July and August.
+    days that have one (day, semester).  The one or two cycles and their
+    history dates are looked up here, and each snapshot is read once into cells;
+    every report is a lazy plan over the cells.  The unit report is due on
+    Mondays, the spring report in July and August.
     """
     spark = dates.sparkSession
     today_lit = F.lit(run_date.isoformat()).cast("date")
@@ -113,24 +134,25 @@ def daily_reports(
         today_day, history_day = run_date.isoformat(), found.history_date.isoformat()
         today = read_snapshot(cycle.semester, run_date)
         history = read_snapshot(cycle.history_semester, found.history_date)
-        rows = with_tiers(
-            combined_snapshots(today, history, today_day, history_day, list(cycle.terms), list(cycle.history_terms)),
-            res_codes,
-            tiers,
-        )
+        terms, history_terms, unit_due = list(cycle.terms), list(cycle.history_terms), run_date.weekday() == 0
+        spring_term = f"2{(run_date.year + 1) % 100:02d}1" if run_date.month in (7, 8) else None
+        if spring_term:
+            today, history = (_narrow(s, spring_term, [*terms, *history_terms]) for s in (today, history))
+        rows = with_tiers(combined_snapshots(today, history, today_day, history_day, terms, history_terms), res_codes, tiers)
+        cells = saved(day_cells(rows, unit_due))
         for applicant_type in fv.ADMISSION_TYPES:
             kinds: list[tuple[str, list[str], Column | None]] = [
                 ("students", fv.ADMISSION_CLASSES, None), ("countries", ["country"], None)
             ]
-            if run_date.weekday() == 0:
-                kinds.append(("unit", fv.UNIT_CLASSES, unit_condition()))
+            if unit_due:
+                kinds.append(("unit", fv.UNIT_CLASSES, F.col("in_unit")))
             for kind, class_vars, extra in kinds:
                 due[cycle.season, kind, applicant_type] = admission_report(
-                    rows, applicant_type, today_day, history_day, class_vars, extra
+                    cells, applicant_type, today_day, history_day, class_vars, extra
                 )
-        if run_date.month in (7, 8):
-            spring_term = f"2{(run_date.year + 1) % 100:02d}1"
+        if spring_term:
+            spring_cells = saved(day_cells(spring_connect(rows, today, spring_term), False))
             due[cycle.season, "spring", fv.SPRING_CONNECT] = admission_report(
-                spring_connect(rows, today, spring_term), fv.SPRING_CONNECT, today_day, history_day
+                spring_cells, fv.SPRING_CONNECT, today_day, history_day
             )
     return due

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom import fixed_values as fv
+from cohortloom.functions.terms import term_calendar
 from cohortloom.operators import classify
 from cohortloom.operators.rows import random_surrogate_id
 from cohortloom.operators.slots import SLOT_FIELDS
@@ -113,6 +114,40 @@ def test_daily_reports(spark, snapshots):
         admissions.daily_reports(datetime.date(2018, 7, 2), lambda s, d: today, dates.limit(0), res, tiers)
 
 
+def test_daily_reports_read_each_snapshot_once(spark, snapshots, tmp_path):
+    today, _ = snapshots
+    today = today.withColumn("country", F.when(F.col("emplid") != "1", F.lit("USA")))
+    files = {("2188", datetime.date(2018, 7, 2)): today, ("2178", datetime.date(2017, 7, 3)): today.withColumn("admit_term", F.lit("2178"))}
+    calls = []
+
+    def read(semester, day):
+        calls.append((semester, day))
+        path = str(tmp_path / f"{semester}-{day}")
+        files[semester, day].write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    dates = table(spark, "day date, semester string", (datetime.date(2017, 7, 3), "2178"))
+    res = table(spark, "nc_tui_res_code string, nc_tui_res_cd_dcr string", ("r1", "Wake"))
+    tiers = table(spark, "county string, tier_designation int", ("Wake", 3))
+    due = admissions.daily_reports(datetime.date(2018, 7, 2), read, dates, res, tiers)
+    assert sorted(calls) == sorted(files)
+    cycle = spark.range(1).select(F.explode(term_calendar(F.lit("2018-07-02").cast("date"))).alias("c")).select("c.*").first()
+    rows = admissions.with_tiers(
+        admissions.combined_snapshots(files["2188", datetime.date(2018, 7, 2)], files["2178", datetime.date(2017, 7, 3)], "2018-07-02", "2017-07-03", list(cycle.terms), list(cycle.history_terms)),
+        res, tiers,
+    )
+    plain = {"students": (fv.ADMISSION_CLASSES, None), "countries": (["country"], None), "unit": (fv.UNIT_CLASSES, admissions.unit_condition())}
+    for (_, kind, applicant_type), (totals, compared) in due.items():
+        assert not any(str(tmp_path) in f for df in (totals, compared) for f in df.inputFiles())  # cells only
+        if kind == "spring":
+            want = admissions.admission_report(admissions.spring_connect(rows, files["2188", datetime.date(2018, 7, 2)], "2191"), applicant_type, "2018-07-02", "2017-07-03")
+        else:
+            want = admissions.admission_report(rows, applicant_type, "2018-07-02", "2017-07-03", *plain[kind])
+        for got, expected in zip((totals, compared), want):
+            assert got.columns == expected.columns and sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    assert admissions.day_cells(rows.limit(0), True).count() == 0
+
+
 # ---- session merge ---------------------------------------------------------
 
 RUN = sessions.SessionRun("2186", "2187", "20180516", "20180731", "20180801", "Summer 2018")

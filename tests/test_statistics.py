@@ -317,6 +317,41 @@ def test_cv_summary_and_compare(spark):
     assert {r.model: r.median for r in metrics.cv_summary(df).collect()} == {"x": 0.6, "y": 0.5}
 
 
+def test_cv_intervals_against_published_quantiles(spark):
+    values = {"x": [0.5, 0.6, 0.7, 0.9, 0.8], "y": [0.4, 0.6, 0.5, 0.7, 0.9], "z": [0.1, 0.3, 0.2, 0.4, 0.6]}
+    rows = [(m, 1, f, "accuracy", v) for m, vs in values.items() for f, v in enumerate(vs)]
+    rows += [(m, 1, f, "kappa", v) for m, v in (("x", 0.5), ("y", 0.5)) for f in range(3)] + [("x", 1, 3, "kappa", None), ("y", 1, 3, "kappa", 0.1)]
+    df = spark.createDataFrame(rows, "model string, repeat int, fold int, metric string, value double")
+    got = {(r.metric, r.model_a, r.model_b): r for r in metrics.cv_compare(df).collect()}
+    pairs = [("x", "y"), ("x", "z"), ("y", "z")]
+    p = {}
+    for a, b in pairs:
+        r, d = got["accuracy", a, b], np.array(values[a]) - np.array(values[b])
+        error = d.std(ddof=1) / math.sqrt(5)
+        # Tables of t with 4 degrees: 2.776445 leaves 5 % on both sides, 3.961 a third of that.
+        assert (r.ci_low, r.ci_high) == (pytest.approx(d.mean() - 2.776445 * error, abs=1e-6), pytest.approx(d.mean() + 2.776445 * error, abs=1e-6))
+        assert r.joint_high - r.mean_difference == pytest.approx(3.9608 * error, rel=1e-3)
+        assert r.p_bonferroni == pytest.approx(min(1.0, 3 * r.p_value))
+        assert (r.p_value < 0.05) == (r.ci_low > 0 or r.ci_high < 0)
+        p[a, b] = r.p_value
+    top = 0.0
+    for k, pair in enumerate(sorted(p, key=p.get)):
+        top = max(top, min(1.0, (3 - k) * p[pair]))
+        assert got["accuracy", *pair].p_holm == pytest.approx(top)
+    same = got["kappa", "x", "y"]
+    assert (same.folds, same.t, same.p_value, same.p_holm, same.p_bonferroni) == (3, None, None, None, None)
+    assert (same.ci_low, same.ci_high) == (0.0, 0.0)
+    assert metrics.cv_compare(df.limit(0)).count() == 0
+    one = metrics.cv_compare(df.filter("fold = 0 AND metric = 'accuracy'")).first()
+    assert (one.folds, one.ci_low, one.p_value, one.p_holm) == (1, None, None, None)
+
+
+def test_step_down_of_published_p_values(spark):
+    df = spark.createDataFrame([(1, 0.01), (2, 0.04), (3, 0.03), (4, 0.005), (5, None)], "id int, p double")
+    got = {r.id: r.p_holm for r in metrics.adjusted_pvalues(df, "p", ["id"]).collect()}
+    assert got == {1: pytest.approx(0.03), 2: pytest.approx(0.06), 3: pytest.approx(0.06), 4: pytest.approx(0.02), 5: None}
+
+
 def test_factor_encode(spark):
     df = spark.createDataFrame([(1, "b"), (2, "a"), (3, "c")], "id int, g string")
     got = {r.id: (r.g_index, list(r.g_dummies)) for r in classify.factor_encode(df, ["g"]).collect()}
