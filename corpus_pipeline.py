@@ -41,8 +41,8 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents, packed into sequences."""
-    return best_fit.pack(best_fit.token_pieces(docs.select("doc_id", "text")))
+    """Token pieces of all documents with their ids, packed into sequences."""
+    return best_fit.pack(best_fit.token_pieces(docs.select("doc_id", "text"), with_ids=True))
 
 
 STAGES = [
