@@ -27,7 +27,7 @@ CAPACITY = 1024
 END = 2  # the id after every document
 PART_ITEMS = 20_000  # pieces that one task packs, about
 ROUNDS = 4  # of exchange, at most
-CACHED = 24 << 20  # bytes of words and ids that a task keeps, about
+CACHED = 64 << 20  # bytes of words and ids that a task keeps, about
 LONG_WORD = 64  # characters; longer ones are not kept
 LONG_SPACE = 10_000  # white space of more characters goes round the encoder's pattern matcher, which has a limit
 DOCS_AT_ONCE = 500  # texts sent to Python at a time
@@ -57,17 +57,27 @@ class Encoder:
         try:
             return b"".join(map(self.seen.__getitem__, words))
         except KeyError:
-            own = {w: self._pack(w) if (known := self.seen.get(w)) is None else known for w in set(words)}
-            new = {w: ids for w, ids in own.items() if len(w) <= LONG_WORD and w not in self.seen}
-            size = sum(200 + len(w) + len(ids) for w, ids in new.items())  # with the objects' own
-            if self.held + size > self.cached:
-                self.seen, self.held = {}, 0
-            if size <= self.cached:
-                self.seen.update(new)
-                self.held += size
+            own = dict.fromkeys(words)
+            for word in own:
+                ids = self.seen.get(word)
+                if ids is None:
+                    ids = self._pack(word)
+                    if len(word) <= LONG_WORD:
+                        self._keep(word, ids)
+                own[word] = ids
             return b"".join(map(own.__getitem__, words))
 
+    def _keep(self, word: str, ids: bytes) -> None:
+        size = 200 + len(word) + len(ids)  # with the objects' own
+        if self.held + size > self.cached:
+            self.seen, self.held = {}, 0
+        if size <= self.cached:
+            self.seen[word] = ids
+            self.held += size
+
     def _pack(self, text: str) -> bytes:
+        if len(text) < LONG_SPACE:
+            return np.asarray(self.bpe.encode_ordinary(text), dtype="<u4").tobytes()
         out, done = [], 0
         for spaces in _SPACES.finditer(text):
             # The last white space before a word belongs to what follows, the others are one word.
