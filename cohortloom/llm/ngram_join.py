@@ -26,10 +26,10 @@ from cohortloom.session import broadcast_if_small, discard, freeze, saved, scrat
 
 COUNTERS = 1 << 18  # of the sketch of document counts that orders tokens rare first
 CHUNK = 1 << 21  # bytes of text hashed at a time (a longer text is one chunk)
-SPARSE = 64  # open pairs per bucket row, up to which all of them are compared after the first round
 TEXTS_AT_ONCE = 500  # texts, or pairs of them, that a task hands to Python at a time
 PIVOTS = 4  # classes of a bucket that the others are compared with in a later round
-SLOW = 0.9  # share of the open pairs a round of pivots must get below, or all of them are verified
+SPARSE = PIVOTS  # open pairs per bucket row, up to which all of them are compared after the first round, as that is no dearer
+SLOW = 0.98  # share of the open pairs a round of pivots must get below, or all of them are compared
 
 log = logging.getLogger(__name__)
 _U = np.uint64
@@ -314,13 +314,13 @@ def _similar_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     own = profiles.filter("counter IS NULL").select("doc_id", "n", "digest")
     classes = saved(own.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep")))
 
-    # Buckets of the first order that hold more than one row, then one row per class.
+    # Buckets of the first order that hold more than one class, each by the row it is named after.
     # Tokens are ranked once more inside each prefix, now by the size of their bucket.
-    tokens = _signatures(docs, width, percent, levels)
-    counted = tokens.withColumn("rows", F.count("*").over(Window.partitionBy("token"))).filter("rows > 1")
     reps = broadcast_if_small(classes.select(F.col("rep").alias("doc_id")).distinct())
+    tokens = _signatures(docs, width, percent, levels).join(reps, "doc_id", "left_semi")
+    counted = tokens.withColumn("rows", F.count("*").over(Window.partitionBy("token"))).filter("rows > 1")
     inner = Window.partitionBy("doc_id").orderBy(F.desc("rows"), F.desc("token"))
-    shared = saved(counted.join(reps, "doc_id", "left_semi").distinct().withColumn("later", F.row_number().over(inner)).drop("rows"))
+    shared = saved(counted.distinct().withColumn("later", F.row_number().over(inner)).drop("rows"))
 
     edges, label = None, None
     bucketed, number, before = shared.withColumn("component", F.col("doc_id")), 0, None
