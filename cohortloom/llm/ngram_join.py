@@ -29,7 +29,7 @@ CHUNK = 1 << 21  # bytes of text hashed at a time (a longer text is one chunk)
 TEXTS_AT_ONCE = 500  # texts, or pairs of them, that a task hands to Python at a time
 PIVOTS = 4  # classes of a bucket that the others are compared with in a later round
 SPARSE = PIVOTS  # open pairs per bucket row, up to which all of them are compared after the first round, as that is no dearer
-SLOW = 0.98  # share of the open pairs a round of pivots must get below, or all of them are compared
+SLOW = 0.9  # share of the open pairs a round of pivots must get below; after two rounds in a row that do not, all are compared
 
 log = logging.getLogger(__name__)
 _U = np.uint64
@@ -323,7 +323,7 @@ def _similar_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     shared = saved(counted.distinct().withColumn("later", F.row_number().over(inner)).drop("rows"))
 
     edges, label = None, None
-    bucketed, number, before = shared.withColumn("component", F.col("doc_id")), 0, None
+    bucketed, number, before, slow = shared.withColumn("component", F.col("doc_id")), 0, None, 0
     close = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
     while True:
         number += 1
@@ -337,8 +337,10 @@ def _similar_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
         if not work["rows"]:
             break
         log.info("round %d: %d rows in open buckets, %d pairs", number, work["rows"], work["pairs"])
-        # the first round joins near copies, whose pairs would grow with the square of their number
-        last = work["pairs"] <= work["rows"] * (1 if number == 1 else SPARSE) or (before is not None and work["pairs"] > SLOW * before)
+        # the first round joins near copies, whose pairs would grow with the square of their number;
+        # pivots are drawn at random, so a good round may follow a poor one
+        slow = slow + 1 if before is not None and work["pairs"] > SLOW * before else 0
+        last = work["pairs"] <= work["rows"] * (1 if number == 1 else SPARSE) or slow > 1
         before = work["pairs"]
         if last:  # all pairs of different components that share a bucket, and how many they share
             side = [F.col("doc_id"), F.col("n"), F.col("component"), F.col("later")]
