@@ -1,16 +1,22 @@
 """Exact Jaccard join of word n-gram sets with prefix filters under several global token orders.
 
 If two sets are similar enough they share a token among the first tokens of both
-under *any* fixed order of all tokens.  Pairs are found by one rare-first order,
-must pass two more orders with other tie-breaks, and are then verified on the
-whole sets.  Sets that are equal are one class from the start; inside a bucket of
-classes only links between different components are looked for.
+under *any* fixed order of all tokens.  Pairs must pass the prefixes of three
+rare-first orders with different tie-breaks, and are then verified on the whole
+sets.  Which pairs are tried is found by buckets.  Similar sets differ in few
+tokens; if all tokens are dealt into more parts than that, the sets agree in some
+part, and a bucket holds the sets that agree in all tokens of a part.  Where the
+parts would be too small (``LEAST_BY_PARTS``), a bucket is a token of the first
+order's prefix.  From the second round on, parities of groups of tokens tell most
+pairs of a bucket apart.  Sets that are equal are one class from the start; inside a bucket
+of classes only links between different components are looked for.
 """
 
 from __future__ import annotations
 
 import hashlib
 import logging
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,13 +28,17 @@ from pyspark.sql import Window
 from cohortloom.llm.batches import FREE_SHUFFLES, settings, small_batches
 from cohortloom.llm.components import components
 from cohortloom.llm.registry import query, table
-from cohortloom.session import broadcast_if_small, discard, freeze, saved, scratch_path
+from cohortloom.session import BROADCAST_ROWS, broadcast_if_small, discard, freeze, saved, scratch_path
 
 COUNTERS = 1 << 18  # of the sketch of document counts that orders tokens rare first
 CHUNK = 1 << 21  # bytes of text hashed at a time (a longer text is one chunk)
 TEXTS_AT_ONCE = 500  # texts, or pairs of them, that a task hands to Python at a time
+LEAST_BY_PARTS = 80  # percent; below it, the parts two sets agree in hold too few tokens to tell sets apart
+PART_STEP = 1.25  # from the largest size dealt into some number of parts to the next
+TOKENS_AT_ONCE = 1 << 20  # dealt into parts at a time (a larger set is dealt at once)
 PIVOTS = 4  # classes of a bucket that the others are compared with in a later round
-SPARSE = PIVOTS  # open pairs per bucket row, up to which all of them are compared after the first round, as that is no dearer
+SPARSE = 128  # open pairs per bucket row, up to which all of them are compared after the first round, by their parities
+PARITIES = 4  # numbers of 64 parities each
 SLOW = 0.9  # share of the open pairs a round of pivots must get below; after two rounds in a row that do not, all are compared
 
 log = logging.getLogger(__name__)
@@ -180,38 +190,159 @@ def _levels(profiles: DataFrame) -> np.ndarray:
     return out
 
 
+def part_schemes(percent: int, largest: int) -> list[tuple[int, int, int]]:
+    """(largest size, parts, spare parts) of every deal that sets up to a size need, smallest first.
+
+    A similar pair meets in the deal of its larger set.  There are more parts
+    than tokens the pair may differ in, and ``spare`` more, so it agrees in more
+    than ``spare`` parts.  These are as many as few sets leave empty.  A deal
+    whose pairs may not differ at all has no parts, as equal sets are one class.
+    """
+    out, low, top = [], 1, 1
+    while True:
+        differ, least, spare = 2 * top * (100 - percent) // (100 + percent), -(-percent * low // 100), 1
+        for _ in range(30):
+            parts = differ + 1 + spare
+            empty = parts * math.exp(-least / parts)
+            spare = max(1, math.ceil(empty + 4 * math.sqrt(empty)))
+        out.append((top, differ + 1 + spare if differ else 0, spare))
+        if top >= largest:
+            return out
+        low, top = top + 1, max(top + 1, int(top * PART_STEP))
+
+
+def part_keys(sets: list[np.ndarray], percent: int, levels: np.ndarray) -> list[np.ndarray]:
+    """The keys of the parts of each set; two similar sets that differ share one.
+
+    Only tokens that no sketch counter tells frequent are dealt, so a common
+    passage makes no bucket.  Of the parts a pair agrees in, one is not empty
+    unless both sets leave more than the spare parts empty.  Such sets are dealt
+    again with all tokens; if too many parts stay empty, the empty ones count.
+    """
+    out, start = [], 0
+    while start < len(sets):
+        stop, size = start, 0
+        while stop < len(sets) and (stop == start or size + len(sets[stop]) <= TOKENS_AT_ONCE):
+            size += len(sets[stop])
+            stop += 1
+        out += _slice_keys(sets[start:stop], percent, levels)
+        start = stop
+    return out
+
+
+def _slice_keys(sets: list[np.ndarray], percent: int, levels: np.ndarray) -> list[np.ndarray]:
+    sizes = np.array([len(x) for x in sets])
+    reach = 100 * sizes // percent  # of the larger set of a pair
+    tops, parts, spare = (np.array(x) for x in zip(*part_schemes(percent, int(reach.max()))))
+    first, last = np.searchsorted(tops, sizes), np.searchsorted(tops, reach)
+    deals = np.where(sizes > 0, last - first + 1, 0)
+    own = np.repeat(np.arange(len(sets)), deals)
+    scheme = np.arange(len(own)) - np.repeat(np.cumsum(deals) - deals - first, deals)
+    own, scheme = own[parts[scheme] > 0], scheme[parts[scheme] > 0]
+    rare = [x[levels[(x & _U(COUNTERS - 1)).astype(np.int64)] == 0] for x in sets]
+    of, keys, held, empty = _dealt(rare, own, scheme, parts, 4)
+    few = empty > spare[scheme]
+    own, scheme = own[few], scheme[few]
+    of_all, keys_all, held_all, empty = _dealt(sets, own, scheme, parts, 6)
+    held_all |= np.repeat(empty > spare[scheme], parts[scheme])
+    of, keys = np.concatenate([of[held], of_all[held_all]]), np.concatenate([keys[held], keys_all[held_all]])
+    order = np.argsort(of, kind="stable")
+    return np.split(keys[order], np.searchsorted(of[order], np.arange(1, len(sets))))
+
+
+def _dealt(sets: list[np.ndarray], own: np.ndarray, scheme: np.ndarray, parts: np.ndarray, salt: int) -> tuple:
+    """Of the deals ``scheme`` of the sets ``own``: for each part its set, its key and whether it holds tokens; for each deal its empty parts."""
+    counts = parts[scheme]
+    begin, total = np.cumsum(counts) - counts, int(counts.sum())
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)[own]
+    tokens = _mix(np.concatenate([*(sets[i] for i in own), np.zeros(0, dtype=_U)]), 0x452821E638D01377)
+    part = ((tokens >> _U(32)) * np.repeat(counts, sizes).astype(_U)) >> _U(32)
+    at = np.repeat(begin, sizes) + part.astype(np.int64)
+    held, sums = np.bincount(at, minlength=total) > 0, np.zeros(total, dtype=_U)
+    np.add.at(sums, at, tokens)
+    number = np.repeat(scheme, counts) * (1 << 40) + np.arange(total) - np.repeat(begin, counts)
+    deal = np.repeat(np.arange(len(own)), counts)
+    empty = np.bincount(deal[~held], minlength=len(own))
+    return own[deal], _mix(sums ^ _mix(number.astype(_U), salt), salt + 1), held, empty
+
+
 def _signatures(docs: DataFrame, width: int, percent: int, levels) -> DataFrame:
-    """(doc_id, n, token): the prefix of every set in the first order."""
+    """(doc_id, n, tokens): the names of the buckets of every set."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False)
             sets = shingle_sets(_texts(batch), width)
-            tokens = [prefixes(s, levels.value, percent, 0) for s in sets]
-            sizes = [len(t) for t in tokens]
+            keys = part_keys(sets, percent, levels.value) if percent >= LEAST_BY_PARTS else [prefixes(s, levels.value, percent, 0) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(ids, sizes).astype(np.int64)), pa.array(np.repeat([len(s) for s in sets], sizes).astype(np.int32)),
-                    pa.array(np.concatenate([*tokens, np.zeros(0, dtype=_U)]).view(np.int64)),
+                    batch.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int32()),
+                    pa.array([k.view(np.int64) for k in keys], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n", "token"],
+                names=["doc_id", "n", "tokens"],
             )
 
-    return docs.filter("doc_id IS NOT NULL").mapInArrow(sign, "doc_id bigint, n int, token bigint")
+    return docs.filter("doc_id IS NOT NULL").mapInArrow(sign, "doc_id bigint, n int, tokens array<bigint>")
+
 
+def _buckets(docs: DataFrame, own: DataFrame, classes: DataFrame, width: int, percent: int, levels) -> DataFrame:
+    """(token, doc_id, n) of the rows that classes are named after, each once."""
+    reps = classes.select(F.col("rep").alias("doc_id")).distinct()
+    if reps.count() <= BROADCAST_ROWS:
+        signed = _signatures(docs.join(F.broadcast(reps), "doc_id", "left_semi"), width, percent, levels)
+    else:
+        rest = freeze(own.filter("doc_id IS NOT NULL").select("doc_id").distinct().join(reps, "doc_id", "left_anti"))
+        if rest.count() <= BROADCAST_ROWS:
+            signed = _signatures(docs.join(F.broadcast(rest), "doc_id", "left_anti"), width, percent, levels)
+        else:
+            signed = _signatures(docs, width, percent, levels).join(reps, "doc_id", "left_semi")
+    rows = signed.select(F.explode("tokens").alias("token"), "doc_id", "n")
+    repeated = own.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    return rows if repeated.isEmpty() else rows.distinct()
 
-def _least_met(percent: int):
-    """Prefix tokens that a pair of sizes n_a and n_b shares at least.
 
-    The prefix that ends first in the order holds all its tokens the pair shares
-    so far, and no more of them may be missing than the sizes allow.
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """For 64 * PARITIES groups of all tokens, whether a set holds an odd number of the group.
+
+    Every token that only one of two sets holds turns one parity, so no more of
+    them differ than tokens do.
     """
-    shared = least_overlap(F.col("n_a"), F.col("n_b"), percent)
+    odd = np.bincount((_mix(tokens, 0xBE5466CF34E90C6C) >> _U(32)).astype(np.int64) % (64 * PARITIES), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
-    def spare(n):
-        return F.col(n) - F.ceil(F.col(n) * percent / 100 - 1e-9) + 1 - (F.col(n) - shared)
 
-    return F.greatest(F.least(spare("n_a"), spare("n_b")), F.lit(1))
+def _parities(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(doc_id, n, p0, p1, ...): the parities of the documents of some ids, checkpointed."""
+    names = [f"p{k}" for k in range(PARITIES)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(_texts(batch), width)
+            found = np.array([parities(s) for s in sets], dtype=np.int64).reshape(len(sets), PARITIES)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int32()), *[pa.array(found[:, k]) for k in range(PARITIES)]],
+                names=["doc_id", "n", *names],
+            )
+
+    some = docs.join(broadcast_if_small(ids), "doc_id", "left_semi")
+    return freeze(some.mapInArrow(count, "doc_id bigint, n int, " + ", ".join(f"{x} bigint" for x in names)).distinct())
+
+
+def _may_link(percent: int, a: list, b: list):
+    """Whether sizes n_a and n_b and the parities of a pair, if there are any, allow for enough shared tokens."""
+    close = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
+    if not a:
+        return close
+    differ = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b)), F.lit(0))
+    return close & (differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+
+
+def _open(rows: DataFrame, draws: list) -> DataFrame:
+    """The rows (token, doc_id, n, component, parities) of buckets with several components, with pivots and sizes of bucket and component."""
+    bucket = Window.partitionBy("token")
+    several = rows.withColumns({"_lo": F.min("component").over(bucket), "_hi": F.max("component").over(bucket)}).filter("_lo <> _hi").drop("_lo", "_hi")
+    known = [x for x in rows.columns if x != "token"]
+    pivots = F.array(*[F.min(F.struct(h.alias("h"), *known)).over(bucket) for h in draws])
+    return several.withColumns({"_m": F.count("*").over(bucket), "pivots": pivots}).withColumn("_c", F.count("*").over(Window.partitionBy("token", "component")))
 
 
 def _upper_half(keys: np.ndarray) -> np.ndarray:
@@ -314,66 +445,61 @@ def _similar_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
     own = profiles.filter("counter IS NULL").select("doc_id", "n", "digest")
     classes = saved(own.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep")))
 
-    # Buckets of the first order that hold more than one class, each by the row it is named after.
-    # Tokens are ranked once more inside each prefix, now by the size of their bucket.
-    reps = broadcast_if_small(classes.select(F.col("rep").alias("doc_id")).distinct())
-    tokens = _signatures(docs, width, percent, levels).join(reps, "doc_id", "left_semi")
-    counted = tokens.withColumn("rows", F.count("*").over(Window.partitionBy("token"))).filter("rows > 1")
-    inner = Window.partitionBy("doc_id").orderBy(F.desc("rows"), F.desc("token"))
-    shared = saved(counted.distinct().withColumn("later", F.row_number().over(inner)).drop("rows"))
-
-    edges, label = None, None
-    bucketed, number, before, slow = shared.withColumn("component", F.col("doc_id")), 0, None, 0
-    close = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
+    edges, label, path = None, None, None
+    rows = _buckets(docs, own, classes, width, percent, levels).withColumn("component", F.col("doc_id"))
+    number, before, slow = 0, None, 0
+    parity: list[str] = []  # names, once there are any
     while True:
         number += 1
-        many = bucketed.groupBy("token").agg(
-            F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("_m"),
-        ).filter("_lo <> _hi")
-        path = scratch_path(spark, "open")
-        open_rows = saved(bucketed.join(many.select("token", "_m"), "token"), path)
-        sizes = open_rows.groupBy("token", "component").agg(F.count("*").alias("c"), F.max("_m").alias("m"))
-        work = sizes.agg(F.sum(F.col("c") * (F.col("m") - F.col("c")) / 2).alias("pairs"), F.sum("c").alias("rows")).first()
+        # the first pivot is the same in all buckets it is in, which joins copies of one text at once
+        draws = [F.xxhash64("doc_id")] if number == 1 else [F.xxhash64("doc_id", "token", F.lit(number), F.lit(k)) for k in range(PIVOTS)]
+        done, path = path, scratch_path(spark, "open")
+        open_rows = saved(_open(rows, draws), path)  # closed buckets stay closed, so a round goes on from the last one's rows
+        if done:
+            discard(spark, done)
+        work = open_rows.agg(F.sum(F.col("_m") - F.col("_c")).alias("ends"), F.count("*").alias("rows")).first()
         if not work["rows"]:
+            discard(spark, path)
             break
-        log.info("round %d: %d rows in open buckets, %d pairs", number, work["rows"], work["pairs"])
+        open_pairs = work["ends"] / 2
+        log.info("round %d: %d rows in open buckets, %d pairs", number, work["rows"], open_pairs)
         # the first round joins near copies, whose pairs would grow with the square of their number;
         # pivots are drawn at random, so a good round may follow a poor one
-        slow = slow + 1 if before is not None and work["pairs"] > SLOW * before else 0
-        last = work["pairs"] <= work["rows"] * (1 if number == 1 else SPARSE) or slow > 1
-        before = work["pairs"]
-        if last:  # all pairs of different components that share a bucket, and how many they share
-            side = [F.col("doc_id"), F.col("n"), F.col("component"), F.col("later")]
-            one = open_rows.select("token", *[c.alias(x) for c, x in zip(side, ("a", "n_a", "c_a", "later_a"))])
-            two = open_rows.select("token", *[c.alias(x) for c, x in zip(side, ("b", "n_b", "c_b", "later_b"))])
-            enough = _least_met(percent)
-            # the first token they share, by bucket size, has the others they must share after it
-            near = close & (F.col("later_a") >= enough) & (F.col("later_b") >= enough)
+        slow = slow + 1 if before is not None and open_pairs > SLOW * before else 0
+        last = open_pairs <= work["rows"] * (1 if number == 1 else SPARSE) or slow > 1
+        before = open_pairs
+        if last:  # all pairs of different components that share a bucket
+            one, two = (
+                open_rows.select("token", F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("component").alias(f"c_{x}"), *[F.col(k).alias(f"{k}_{x}") for k in parity])
+                for x in "ab"
+            )
+            near = _may_link(percent, [F.col(f"{k}_a") for k in parity], [F.col(f"{k}_b") for k in parity])
             met = one.join(two, "token").filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & near)
             pairs = met.select("a", "b", "n_a", "n_b").distinct()
-        else:  # a pivot per bucket against the other components
-            # the first pivot is the same in all buckets it is in, which joins copies of one text at once
-            draws = [F.xxhash64("doc_id")] if number == 1 else [F.xxhash64("doc_id", "token", F.lit(number), F.lit(k)) for k in range(PIVOTS)]
-            pivots = F.array(*[F.min(F.struct(h.alias("h"), "doc_id", "n", "component", "later")) for h in draws])
+        else:  # the pivots of a bucket against the other components
             pivot = [F.col("pivot.doc_id"), F.col("pivot.n")]
             first = pivot[0] < F.col("doc_id")
-            drawn = open_rows.join(open_rows.groupBy("token").agg(pivots.alias("pivots")), "token")
-            pairs = drawn.withColumn("pivot", F.explode("pivots")).filter(F.col("pivot.component") != F.col("component")).select(
+            pairs = open_rows.withColumn("pivot", F.explode("pivots")).filter(F.col("pivot.component") != F.col("component")).select(
                 F.least(pivot[0], "doc_id").alias("a"), F.greatest(pivot[0], "doc_id").alias("b"),
                 F.when(first, pivot[1]).otherwise(F.col("n")).alias("n_a"), F.when(first, F.col("n")).otherwise(pivot[1]).alias("n_b"),
-                F.least("pivot.later", "later").alias("later"),
-            ).filter(close & (F.col("a") < F.col("b")) & (F.col("later") >= _least_met(percent))).drop("later").distinct()
+                *[F.col(f"pivot.{k}").alias(f"{k}_p") for k in parity], *parity,
+            ).filter((F.col("a") < F.col("b")) & _may_link(percent, [F.col(f"{k}_p") for k in parity], [F.col(k) for k in parity])).select("a", "b", "n_a", "n_b").distinct()
         linked = _linked(freeze(pairs), docs, width, percent, levels)
-        discard(spark, path)
         if not linked.isEmpty():
             edges = linked if edges is None else freeze(edges.unionByName(linked))
             label = freeze(components(edges))
-            bucketed = (
-                shared.join(label, shared["doc_id"] == label["node"], "left")
-                .select("doc_id", "n", "token", "later", F.coalesce("component", "doc_id").alias("component"))
-            )
         if last:
+            discard(spark, path)
             break
+        rows = open_rows.select("token", "doc_id", "n")
+        if number == 1:
+            found = _parities(docs, freeze(rows.select("doc_id").distinct()), width)
+            parity = [x for x in found.columns if x not in ("doc_id", "n")]
+        if label is None:
+            named = found.withColumn("component", F.col("doc_id"))
+        else:
+            named = found.join(broadcast_if_small(label), F.col("doc_id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "doc_id"))
+        rows = rows.join(named.select("doc_id", "n", "component", *parity), ["doc_id", "n"])
 
     named = classes.select(F.col("digest").alias("_digest"), "rep")
     out = own.join(named, own["digest"] == named["_digest"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("rep"))

@@ -80,6 +80,34 @@ def test_similar_sets_against_all_pairs(spark, copies, monkeypatch, width, perce
     assert got == {i: (sizes[i], labels[i]) for i in sizes}
 
 
+@pytest.mark.parametrize("percent", [80, 90, 96])
+def test_similar_sets_share_a_part_and_parities(percent):
+    rng = np.random.default_rng(percent)
+    frequent = (rng.random(ngram_join.COUNTERS) < 0.7).astype(np.uint8)  # so that some sets are dealt again with all tokens
+    tried = 0
+    for n in rng.integers(1, 500, 400):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[rng.integers(0, n * (100 - percent) // 100 + 1):], rng.integers(0, 2**63, rng.integers(0, n * (100 - percent) // 100 + 1)).astype(np.uint64)]))
+        both, either = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+        if both == either or 100 * both < percent * either:
+            continue
+        tried += 1
+        for levels in (np.zeros_like(frequent), frequent):
+            assert len(np.intersect1d(*ngram_join.part_keys([a, b], percent, levels)))
+        assert sum(int(x).bit_count() for x in (ngram_join.parities(a) ^ ngram_join.parities(b)).view(np.uint64)) <= either - both
+    assert tried > 50
+
+
+def test_passages_of_unlike_texts_open_no_bucket(spark, caplog):
+    rows = []
+    for group in range(20):
+        passage = " ".join(f"p{group}x{i}" for i in range(14))
+        rows += [(100 * group + i, passage + " " + " ".join(f"w{group}x{i}x{k}" for k in range(60))) for i in range(6)]
+    with caplog.at_level("INFO", logger="cohortloom.llm.ngram_join"):
+        got = ngram_join.similar_sets(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    assert all(r.doc_id == r.component_id for r in got) and not [x for x in caplog.messages if x.startswith("round")]
+
+
 def test_similar_sets_odd_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.similar_sets(empty).count() == 0 and ngram_join.one_of_each(empty).count() == 0
