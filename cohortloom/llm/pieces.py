@@ -1,31 +1,38 @@
 """SentencePiece encoding and decoding on a relational lattice.
 
-Texts are cut into words.  The substrings of every distinct word, up to the
-longest piece, are joined with the piece table; the hits are the edges of the
-word's lattice.  The edges of a word are grouped and folded by one higher-order
-aggregate: for scored models (unigram) by Viterbi, for merge models (BPE) by
-taking the edges in merge order.  The ids of the words go back to the chunks of
-documents they came from.
+Texts are cut into words, a chunk of documents at a time.  The substrings of
+every distinct word, up to the longest piece, are joined with the piece table;
+the hits are the edges of the word's lattice.  The lattices are folded, those of
+many words together: for scored models (unigram) by Viterbi, for merge models
+(BPE) by taking the edges in merge order.  The ids of the words go to all places
+of the chunk that hold them.  All of it works on arrays and stays in the
+partition the documents are in; nothing is shuffled.
 """
 
 from __future__ import annotations
 
-import contextlib
+import itertools
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.registry import query, table
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # below the worst score, for a character no piece covers (scored models)
-GROUPS_IN_MEMORY = 20_000  # words whose edges an aggregation keeps before it sorts
+NO_CHARACTER = 0x110000
+PLACE_BITS = 18  # of a join key, for the table of places that keys of pieces have
+GROUP_CHARACTERS = 1 << 17  # of words that are joined and folded together; a longer word is alone
+CHUNK_BYTES = 4 << 20  # of text whose distinct words are encoded together; a longer text is alone
+CHUNK_IDS = 1 << 18  # that are decoded together; a longer row is alone
+FEW_WORDS = 32  # with fewer, their edges are folded one by one
 
 
 @dataclass(frozen=True)
@@ -42,30 +49,10 @@ class Vocabulary:
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.pieces):
             raise ValueError("a piece spans words")
 
-    @property
-    def longest(self) -> int:
-        return max(map(len, self.pieces), default=1)
-
-    def word_pattern(self) -> str:
-        """Words as pieces see them: leading blanks with what follows; control characters no longer piece holds stand alone."""
+    def alone(self) -> list[int]:
+        """The control characters no longer piece holds; each is a word of its own."""
         inside = set("".join(p for p in self.pieces if len(p) > 1))
-        alone = "".join(f"\\x{c:02x}" for c in range(32) if chr(c) not in inside)
-        return f"[{alone}]|{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" if alone else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+"
-
-    def ids_of(self, word: str, ends: Iterable[int]) -> list[int]:
-        """The ids of the parts of a word that end at ``ends``; what is no piece goes by its bytes, or is unknown."""
-        out, start = [], 0
-        for end in ends:
-            part = word[start:end]
-            known = self.pieces.get(part)
-            if known is not None:
-                out.append(known[0])
-            elif self.byte_ids:
-                out += [self.byte_ids[b] for b in part.encode("utf-8", "replace")]
-            else:
-                out.append(self.unknown)
-            start = end
-        return out
+        return [c for c in range(32) if chr(c) not in inside]
 
 
 def load_vocabulary(path: str | None = None) -> Vocabulary:
@@ -125,183 +112,384 @@ def irregular_pieces(pieces: dict[str, tuple[int, float]], late: tuple[str, ...]
     return tuple(p for p in pieces if len(p) > 1 and merge_once(p, pieces, late) != [len(p)])
 
 
-@contextlib.contextmanager
-def _groups_in_memory(spark: SparkSession, groups: int):
-    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(groups))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+class PieceTable:
+    """The pieces of a vocabulary as a table of arrays, to be joined with the substrings of many words at once.
+
+    ``order`` numbers the pieces by cost, then length.  For every length there
+    are the join keys of its pieces in rising order, their characters and their
+    numbers, and the places that the top bits of a key can have.
+    """
 
+    def __init__(self, vocabulary: Vocabulary):
+        self.merges, self.unknown = vocabulary.merges, vocabulary.unknown
+        self.byte_ids = np.array(vocabulary.byte_ids, np.int32)
+        self.by_char = np.full(NO_CHARACTER + 1, -1, np.int32)
+        for p, (i, _) in vocabulary.pieces.items():
+            if len(p) == 1:
+                self.by_char[ord(p)] = i
+        shortest = 2 if vocabulary.merges else 1
+        rows = sorted((-score, len(p), i, p) for p, (i, score) in vocabulary.pieces.items() if len(p) >= shortest)
+        self.cost = np.array([r[0] for r in rows], np.float64)
+        self.length = np.array([r[1] for r in rows], np.int64)
+        self.id = np.array([r[2] for r in rows], np.int32)
+        _, self.first, self.rank = np.unique(self.cost, return_index=True, return_inverse=True)
+        self.late = [next(k for k, r in enumerate(rows) if r[3] == p) for p in vocabulary.late]
+        worst = max((-score for _, score in vocabulary.pieces.values()), default=0.0)
+        self.unknown_cost = worst + UNKNOWN_PENALTY
+        longest = max((r[1] for r in rows), default=0)
+        codes = {n: np.array([[ord(c) for c in r[3]] for r in rows if r[1] == n], np.uint64) for n in sorted({r[1] for r in rows})}
+        for seed in itertools.count():
+            self.weights = np.random.default_rng(seed).integers(1, 2**63, longest, np.uint64) * np.uint64(2) + np.uint64(1)
+            keys = {n: (c * self.weights[:n]).sum(axis=1, dtype=np.uint64) for n, c in codes.items()}
+            if all(len(np.unique(k)) == len(k) for k in keys.values()):
+                break
+        self.by_length = {}
+        for n, k in keys.items():
+            by_key = np.argsort(k)
+            places = np.zeros(1 << PLACE_BITS, bool)
+            places[(k >> np.uint64(64 - PLACE_BITS)).view(np.int64)] = True
+            self.by_length[n] = (k[by_key], codes[n][by_key].astype(np.uint32), np.flatnonzero(self.length == n)[by_key], places)
+
+    def join(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, order) of all substrings of a row of characters that are pieces: an equi-join on a key, then on the characters."""
+        wide = codes.astype(np.uint64)
+        key, starts, orders = np.zeros(len(codes), np.uint64), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for n in range(1, min(len(self.weights), len(codes)) + 1):
+            key = key[: len(codes) - n + 1] + wide[n - 1 :] * self.weights[n - 1]
+            if n not in self.by_length:
+                continue
+            keys, characters, order, places = self.by_length[n]
+            start = np.flatnonzero(places[(key >> np.uint64(64 - PLACE_BITS)).view(np.int64)])
+            found = key[start]
+            at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+            same = keys[at] == found
+            start, at = start[same], at[same]
+            same = np.ones(len(start), bool)
+            for k in range(n):
+                same &= codes[start + k] == characters[at, k]
+            starts.append(start[same])
+            orders.append(order[at[same]])
+        return np.concatenate(starts), np.concatenate(orders)
 
-def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, edges) for distinct words: edges are structs (cost, s, e) of the pieces of two or more characters, cheapest first.
 
-    The piece table has the fixed size of the model and is broadcast; the words
-    stay in the partitions they come in.
+@dataclass(frozen=True)
+class Words:
+    """Characters of words, each word followed by one place that holds none; word i begins at begin[i] and ends at begin[i + 1] - 1."""
+
+    codes: np.ndarray
+    begin: np.ndarray
+
+    @staticmethod
+    def of(words: pa.Array, blank: str = SPACE) -> Iterator[Words]:
+        """The words in groups of about GROUP_CHARACTERS; ``blank`` is the character that stands for a marked blank."""
+        words = _sound(words.cast(pa.large_string()))
+        ends = np.cumsum(pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        at = 0
+        while at < len(words):
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + GROUP_CHARACTERS, "right")))
+            begin = np.concatenate([[0], ends[at:to] - before])
+            _, offsets, data = words.buffers()
+            span = np.frombuffer(offsets, np.int64, to - at + 1, 8 * (words.offset + at))
+            text = bytes(memoryview(data)[span[0] : span[-1]]) if data is not None else b""
+            codes = np.full(begin[-1], NO_CHARACTER, np.uint32)
+            filled = np.ones(begin[-1], bool)
+            filled[begin[1:] - 1] = False
+            codes[filled] = np.frombuffer(text.decode("utf-8").encode("utf-32-le"), "<u4")
+            if blank != SPACE:
+                codes[codes == ord(blank)] = ord(SPACE)
+            yield Words(codes, begin)
+            at = to
+
+    def word_at(self) -> np.ndarray:
+        """The number of the word at every place."""
+        return np.repeat(np.arange(len(self.begin) - 1), np.diff(self.begin))
+
+
+def lattice(words: Words, table: PieceTable) -> tuple[np.ndarray, np.ndarray]:
+    """(start, order) of the edges of the words' lattices: the substrings that are pieces, of two or more characters in merge models.
+
+    Merge models: by word, cheapest first, then by start and length.  Scored
+    models: by end, then by start.
     """
-    spark, longest = words.sparkSession, vocabulary.longest
-    shortest = 2 if vocabulary.merges else 1
-    rows = [(p, -score) for p, (_, score) in vocabulary.pieces.items() if len(p) >= shortest]
-    pieces = spark.createDataFrame(pd.DataFrame(rows, columns=["piece", "cost"]), "piece string, cost double")
-    size = F.length("word")
-    parts = F.transform(
-        F.sequence(F.lit(0), size - shortest),
-        lambda s: F.transform(
-            F.sequence(F.lit(shortest), F.least(F.lit(longest), size - s)),
-            lambda n: F.struct(s.alias("s"), (s + n).alias("e"), F.substring(F.col("word"), s + 1, n).alias("piece")),
-        ),
-    )
-    cut = words.filter(size >= shortest).select("word", F.explode(F.flatten(parts)).alias("x")).select("word", "x.*")
-    edges = cut.join(F.broadcast(pieces), "piece").groupBy("word").agg(F.sort_array(F.collect_list(F.struct("cost", "s", "e"))).alias("edges"))
-    return words.join(edges, "word", "left")
+    start, order = table.join(words.codes)
+    if not table.merges:
+        by_end = np.lexsort((start, start + table.length[order]))
+        return start[by_end], order[by_end]
+    word = words.word_at()[start]
+    rank, inside = table.rank[order], start - words.begin[word]
+    tie = order - table.first[rank]
+    width = [int(x.max(initial=0)).bit_length() for x in (rank, inside, tie)]
+    if len(words.begin).bit_length() + sum(width) > 63:
+        sort = np.lexsort((tie, inside, rank, word))
+        return start[sort], order[sort]
+    rank_bits, inside_bits, tie_bits = width
+    packed = np.sort((((word << rank_bits | rank) << inside_bits | inside) << tie_bits) | tie)
+    tie = packed & ((1 << tie_bits) - 1)
+    packed >>= tie_bits
+    inside = packed & ((1 << inside_bits) - 1)
+    packed >>= inside_bits
+    return words.begin[packed >> rank_bits] + inside, table.first[packed & ((1 << rank_bits) - 1)] + tie
+
+
+def _turns(turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows by their turn, in the order they come within it, and where the turns begin."""
+    most = int(turn.max(initial=-1))
+    sort = np.argsort(turn.astype(np.uint16) if most < 1 << 16 else turn, kind="stable")
+    return sort, np.concatenate([[0], np.cumsum(np.bincount(turn, minlength=most + 1))])
+
+
+def _merge_fold(words: Words, start: np.ndarray, order: np.ndarray, table: PieceTable) -> tuple[np.ndarray, np.ndarray]:
+    """(begins, via): where parts begin, and the piece that ends at a place, or -1.
+
+    The k-th edges of all words take their turn together; an edge is taken if it
+    spans exactly two parts.  A late piece that a new part completes follows at
+    once, the leftmost first.
+    """
+    size = len(words.codes)
+    end = start + table.length[order]
+    after = np.arange(1, size + 2)  # where the part that begins here ends; ``size`` where none begins
+    after[size] = -1
+    via = np.full(size, -1, np.int64)
+
+    def merge(s, e, piece):
+        fits = after[after[s]] == e
+        s, e, piece = s[fits], e[fits], piece[fits]
+        after[after[s]] = size
+        after[s] = e
+        via[e] = piece
+        return s, e, piece
+
+    late = []  # number, length and places of the late pieces that there are
+    for k in table.late:
+        if (here := start[order == k]).size:
+            places = np.zeros(size, bool)
+            places[here] = True
+            late.append((k, int(table.length[k]), places))
+
+    def turn(s, e, piece):
+        s, e, piece = merge(s, e, piece)
+        for k, n, places in late if s.size else ():
+            dear = table.rank[piece] >= table.rank[k]
+            for a in (e - n, s):
+                a = a[dear & (a >= 0) & places[np.maximum(a, 0)]]
+                merge(a, a + n, np.full(len(a), k))
+
+    word = words.word_at()[start]
+    count = np.bincount(word, minlength=len(words.begin) - 1)
+    place = np.arange(len(start)) - np.repeat(np.cumsum(count) - count, count)
+    sort, bounds = _turns(place)
+    s, e, piece, done = start[sort], end[sort], order[sort], 0
+    while done < len(bounds) - 1 and bounds[done + 1] - bounds[done] >= FEW_WORDS:
+        these = slice(bounds[done], bounds[done + 1])
+        turn(s[these], e[these], piece[these])
+        done += 1
+    rest = np.flatnonzero(place >= done)  # of a few words with many edges: one edge at a time
+    to, ends_by = memoryview(after), memoryview(via)
+
+    def merge_one(a, b, k):
+        fits = to[to[a]] == b
+        if fits:
+            to[to[a]] = size
+            to[a] = b
+            ends_by[b] = k
+        return fits
 
+    late = [(k, n, int(table.rank[k]), memoryview(places)) for k, n, places in late]
+    for a, b, k, rank in zip(*(x.tolist() for x in (start[rest], end[rest], order[rest], table.rank[order[rest]]))):
+        if merge_one(a, b, k):
+            for q, n, least, places in late:
+                for c in (b - n, a):
+                    if rank >= least and c >= 0 and places[c]:
+                        merge_one(c, c + n, q)
+    begins = after[:size] != size
+    begins[words.begin[1:] - 1] = False
+    return begins, via
 
-def _merge_fold(edges, word, late: dict[str, float]):
-    """The cuts of a word as a string of 0 and 1, one for every place between characters."""
 
-    def merged(cuts, s, e, also=True):
-        inner = F.substring(cuts, s + 2, e - s - 1)
-        fits = (
-            (F.length(F.replace(inner, F.lit("0"), F.lit(""))) == 1)
-            & (F.substring(cuts, s + 1, F.lit(1)) == "1") & (F.substring(cuts, e + 1, F.lit(1)) == "1") & also
-        )
-        return F.when(fits, F.overlay(cuts, F.repeat(F.lit("0"), e - s - 1), s + 2)).otherwise(cuts)
-
-    def step(cuts, x):
-        return merged(cuts, x["s"], x["e"])
-
-    def careful(cuts, x):
-        """As step; a late piece that the new part completes follows at once, the leftmost first."""
-        def then(now):
-            for p, cost in late.items():
-                for a in (x["e"] - len(p), x["s"]):
-                    here = (now != cuts) & (x["cost"] >= cost) & (a >= 0) & (F.substring(word, F.greatest(a, F.lit(0)) + 1, F.lit(len(p))) == p)
-                    now = F.when(here, merged(now, a, a + len(p))).otherwise(now)
-            return now
-
-        return F.transform(F.array(step(cuts, x)), then)[0]
-
-    start = F.repeat(F.lit("1"), F.length(word) + 1)
-    plain = F.aggregate(edges, start, step)
-    if not late:
-        return plain
-    some = F.lit(False)
-    for p in late:
-        some = some | word.contains(p)
-    return F.when(some, F.aggregate(edges, start, careful)).otherwise(plain)
-
-
-def _viterbi_fold(edges, size, unknown: float):
-    """As _merge_fold, for the path of least cost; of equal paths the one whose last piece begins first."""
-    by_end = F.transform(
-        F.sequence(F.lit(1), size),
-        lambda e: F.concat(
-            F.transform(F.filter(edges, lambda x: x["e"] == e), lambda x: F.struct(x["s"].alias("s"), x["cost"].alias("cost"))),
-            F.array(F.struct((e - 1).alias("s"), F.lit(unknown).alias("cost"))),
-        ),
-    )
-    start = F.array(F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("s")))
+def _viterbi_fold(words: Words, start: np.ndarray, order: np.ndarray, table: PieceTable) -> tuple[np.ndarray, np.ndarray]:
+    """As _merge_fold, for the path of least cost; of equal paths the one whose last piece begins first.
 
-    def step(best, incoming):
-        reached = F.transform(incoming, lambda x: F.struct((F.get(best, x["s"])["cost"] + x["cost"]).alias("cost"), x["s"].alias("s")))
-        return F.concat(best, F.array(F.array_min(reached)))
+    The places with the same distance from their word's begin take their turn together.
+    """
+    size = len(words.codes)
+    first = words.begin[:-1]
+    length = np.diff(words.begin) - 1
+    least, back, via = np.zeros(size), np.zeros(size, np.int64), np.full(size, -1, np.int64)
+    end = start + table.length[order]
+    sort, bounds = _turns(end - words.begin[words.word_at()[start]])
+    start, order, end, cost = start[sort], order[sort], end[sort], table.cost[order[sort]]
+    longest_first = np.argsort(-length, kind="stable")
+    active = np.searchsorted(-length[longest_first], -np.arange(int(length.max(initial=0)) + 1), "right")
+    for k in range(1, len(active)):
+        here = first[longest_first[: active[k]]] + k
+        least[here] = least[here - 1] + table.unknown_cost
+        back[here] = here - 1
+        if k + 1 >= len(bounds) or bounds[k] == bounds[k + 1]:
+            continue
+        s, e, piece = (x[bounds[k] : bounds[k + 1]] for x in (start, end, order))
+        reached = least[s] + cost[bounds[k] : bounds[k + 1]]
+        ends = np.flatnonzero(np.concatenate([[True], e[1:] != e[:-1]]))
+        best = np.repeat(np.minimum.reduceat(reached, ends), np.diff(np.concatenate([ends, [len(e)]])))
+        nearest = np.where(reached == best, np.arange(len(e)), len(e))  # rows of an end come by their start
+        chosen = np.minimum.reduceat(nearest, ends)
+        chosen = chosen[reached[chosen] <= least[e[chosen]]]
+        least[e[chosen]], back[e[chosen]], via[e[chosen]] = reached[chosen], s[chosen], piece[chosen]
+    begins = np.zeros(size, bool)
+    at, stop = (first + length)[length > 0], first[length > 0]
+    while at.size:
+        at = back[at]
+        begins[at] = True
+        at, stop = at[at > stop], stop[at > stop]
+    return begins, via
+
+
+def fold(words: Words, table: PieceTable) -> tuple[np.ndarray, np.ndarray]:
+    """(begins, via) of the words' parts, from their lattice: in merge order, or of the path of least cost."""
+    return (_merge_fold if table.merges else _viterbi_fold)(words, *lattice(words, table), table)
+
+
+def ids_of_parts(words: Words, begins: np.ndarray, via: np.ndarray, table: PieceTable) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, sizes): the ids of all words in a row, and how many each word has; what is no piece goes by its bytes, or is unknown."""
+    cut = begins.copy()
+    cut[words.begin[1:] - 1] = True
+    places = np.flatnonzero(cut)
+    at = np.flatnonzero(begins[places])  # a part ends where the next part begins, or its word ends
+    piece, code = via[places[at + 1]], words.codes[places[at]]
+    one = table.by_char[code]
+    ids = np.where(piece >= 0, table.id[piece], one) if len(table.id) else one
+    sizes = np.ones(len(ids), np.int64)
+    strange = np.flatnonzero(ids < 0)
+    if strange.size and not len(table.byte_ids):
+        ids[strange] = table.unknown
+    elif strange.size:
+        codes, which = np.unique(code[strange], return_inverse=True)
+        spelt = [chr(c).encode("utf-8", "replace") for c in codes.tolist()]
+        sizes[strange] = np.array([len(x) for x in spelt])[which]
+        begin = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), np.int32)
+        out[begin] = ids
+        for k in range(4):
+            long = sizes[strange] > k
+            out[begin[strange[long]] + k] = table.byte_ids[np.array([x[k] if k < len(x) else 0 for x in spelt])[which[long]]]
+        ids = out
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    return ids.astype(np.int32, copy=False), np.diff(total[np.searchsorted(places[at], words.begin)])
 
-    path = F.aggregate(by_end, start, step)
 
-    def walk(p):
-        begin = F.struct(size.alias("at"), F.concat(F.repeat(F.lit("0"), size), F.lit("1")).alias("cuts"))
+def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(word, cuts) for a table of distinct, non-empty words; a 1 in cuts marks an end of a piece."""
+    sent = words.sparkSession.sparkContext.broadcast(PieceTable(vocabulary))
 
-        def back_one(acc, _):
-            at = F.get(p, acc["at"])["s"]
-            return F.when(acc["at"] > 0, F.struct(at.alias("at"), F.overlay(acc["cuts"], F.lit("1"), at + 1).alias("cuts"))).otherwise(acc)
+    def cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, word = 0, batch.column(0)
+            for group in Words.of(word):
+                begins, _ = fold(group, sent.value)
+                begins[group.begin[1:] - 1] = True
+                marks = pa.LargeStringArray.from_buffers(len(group.begin) - 1, pa.py_buffer(group.begin), pa.py_buffer(begins.astype(np.uint8) + ord("0")))
+                yield pa.RecordBatch.from_arrays([word.slice(at, len(marks)), marks.cast(word.type)], ["word", "cuts"])
+                at += len(marks)
 
-        return F.aggregate(F.sequence(F.lit(1), size), begin, back_one, lambda acc: acc["cuts"])
+    return words.select("word").mapInArrow(cuts, "word string, cuts string")
 
-    return F.transform(F.array(path), walk)[0]
 
+def _sound(texts: pa.Array, surrogates: bool = False) -> pa.Array:
+    """The texts as UTF-8; bytes that are none become replacement characters, three for a surrogate or, if asked for, one as in Spark."""
+    try:
+        texts.validate(full=True)
+        return texts
+    except pa.ArrowInvalid:
+        raw = texts.cast(pa.large_binary()).to_pylist()
+        if surrogates:
+            raw = [None if x is None else re.sub(rb"\xed[\xa0-\xbf][\x80-\xbf]", b"\xef\xbf\xbd", x) for x in raw]
+        return pa.array([None if x is None else x.decode("utf-8", "replace") for x in raw], texts.type)
 
-def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, cuts) for a table of distinct, non-empty words; a 1 in cuts marks an end of a piece."""
-    found = lattice(words.select("word"), vocabulary)
-    edges = F.coalesce("edges", F.array().cast("array<struct<cost:double,s:int,e:int>>"))
-    if vocabulary.merges:
-        return found.select("word", _merge_fold(edges, F.col("word"), {p: -vocabulary.pieces[p][1] for p in vocabulary.late}).alias("cuts"))
-    worst = max((-score for _, score in vocabulary.pieces.values()), default=0.0)
-    return found.select("word", _viterbi_fold(edges, F.length("word"), worst + UNKNOWN_PENALTY).alias("cuts"))
 
+def words_of(texts: pa.Array, alone: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(words, first): the words of non-empty texts, each with a blank put in front, and the number of the first word of every text.
 
-def words_of(text: str | None, pattern: re.Pattern) -> list[str]:
-    """The words of a text with its blanks marked and one put in front; none for null or empty text."""
-    return pattern.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    A word is leading blanks with what follows; characters of ``alone`` (control
+    characters no longer piece holds) stand alone.  Marked blanks are blanks.
+    """
+    put, nothing = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
+    texts = pc.binary_join_element_wise(put, pc.replace_substring(texts, SPACE, " "), nothing)
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(texts) + 1, 8 * texts.offset)
+    text = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+    blank = text == ord(" ")
+    begins = blank.copy()
+    begins[1:] &= ~blank[:-1]
+    begins[offsets[:-1] - offsets[0]] = True
+    control = np.flatnonzero(text < 32)
+    control = control[alone[text[control]]]
+    begins[control] = True
+    begins[control[control + 1 < len(text)] + 1] = True
+    at = np.flatnonzero(begins)
+    words = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(text))), pa.py_buffer(text))
+    return words, np.searchsorted(at, offsets - offsets[0])
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(doc_id, text, ids) for every row of (doc_id, text); ids is an array of ints.
 
     Null and empty texts have no ids.  Whole texts of any length are encoded,
-    repeated rows each.  A chunk is a partition of the documents as they are
-    read: only the distinct words of a chunk travel, once out and their ids once
-    back, and texts stay where they are.
+    repeated rows each.  Texts stay where they are: the distinct words of about
+    CHUNK_BYTES of text at a time are joined with the piece table, which every
+    task has, and folded, and their ids go to the places of the words.
     """
-    spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    shape = f"doc_id {id_type}, text string, ids array<int>"
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).rdd.map(tuple)
-    chunks = texts.getNumPartitions()
-    if not chunks:
-        return spark.createDataFrame([], shape)
-    source = vocabulary.word_pattern()
-
-    def distinct(chunk: int, rows: Iterator[tuple]) -> Iterator[tuple]:
-        pattern, own = re.compile(source), set()
-        for _, text in rows:
-            own.update(words_of(text, pattern))
-        return ((chunk, i, w) for i, w in enumerate(sorted(own)))
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = spark.createDataFrame(texts.mapPartitionsWithIndex(distinct), "chunk int, place int, word string", verifySchema=False)
-    placed = placed.repartition(parts, "word")  # one shuffle serves the distinct words and the way back
-    cut = encode_words(placed.select("word").distinct(), vocabulary)
-    sent = spark.sparkContext.broadcast((dict(vocabulary.pieces), vocabulary.byte_ids, vocabulary.unknown, vocabulary.merges))
-
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Vocabulary(*sent.value)
+    sent = docs.sparkSession.sparkContext.broadcast(PieceTable(vocabulary))
+    alone = np.zeros(32, bool)
+    alone[vocabulary.alone()] = True
+
+    def ids_of(texts: pa.Array) -> pa.Array:
+        """The ids of texts without null."""
+        size = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        told = np.flatnonzero(size)
+        if not len(told):
+            return pa.array([[]] * len(texts), pa.list_(pa.int32()))
+        words, first = words_of(texts if len(told) == len(texts) else texts.take(pa.array(told)), alone)
+        numbered = words.dictionary_encode()
+        folded = [ids_of_parts(group, *fold(group, sent.value), sent.value) for group in Words.of(numbered.dictionary, " ")]
+        ends = 4 * np.concatenate([[0], np.cumsum(np.concatenate([sizes for _, sizes in folded]))])
+        packed = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.concatenate([ids for ids, _ in folded]))]
+        )
+        _, offsets, data = packed.take(numbered.indices).buffers()
+        counts = np.zeros(len(texts) + 1, np.int64)
+        counts[told + 1] = np.diff(np.frombuffer(offsets, np.int64, len(words) + 1)[first]) // 4
+        ids = pa.Array.from_buffers(pa.int32(), int(counts.sum()), [None, data])
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(counts), pa.int32()), ids)
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.sort_values(["chunk", "place"], kind="stable")
-            ids = [known.ids_of(w, [i for i in range(1, len(w) + 1) if c[i] == "1"]) for w, c in zip(batch["word"], batch["cuts"])]
-            batch = batch.assign(n=[len(x) for x in ids], ids=ids)
-            out = [
-                (chunk, g["place"].to_numpy("<i4").tobytes(), g["n"].to_numpy("<i4").tobytes(), np.asarray(sum(g["ids"], []), "<i4").tobytes())
-                for chunk, g in batch.groupby("chunk", sort=False)
-            ]
-            yield pd.DataFrame(out, columns=["chunk", "places", "sizes", "ids"])
-
-    back = placed.join(cut, "word").mapInPandas(packed, "chunk int, places binary, sizes binary, ids binary")
-    with _groups_in_memory(spark, GROUPS_IN_MEMORY):
-        returned = back.rdd.map(lambda r: (r[0], (bytes(r[1]), bytes(r[2]), bytes(r[3])))).partitionBy(chunks, int).values()
-
-    def assemble(pairs: Iterator[tuple[list, list]]) -> Iterator[tuple]:
-        pattern = re.compile(source)
-        for rows, blobs in pairs:
-            distinct_words: set = set()
-            for _, text in rows:  # twice over the texts, as all their words at once would be many times larger
-                distinct_words.update(words_of(text, pattern))
-            own = sorted(distinct_words)
-            del distinct_words
-            known: list = [None] * len(own)
-            for places, sizes, ids in blobs:
-                ends = np.cumsum(np.frombuffer(sizes, "<i4"))
-                for place, end, n in zip(np.frombuffer(places, "<i4").tolist(), ends.tolist(), np.frombuffer(sizes, "<i4").tolist()):
-                    known[place] = ids[4 * (end - n) : 4 * end]
-            ids_of = dict(zip(own, known))
-            for doc_id, text in rows:
-                yield doc_id, text, np.frombuffer(b"".join(map(ids_of.__getitem__, words_of(text, pattern))), "<i4").tolist()
-
-    joined = texts.glom().zip(returned.glom()).mapPartitions(assemble)
-    return spark.createDataFrame(joined, shape, verifySchema=False)
+            at = 0
+            bytes_to = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(bytes_to, (bytes_to[at - 1] if at else 0) + CHUNK_BYTES, "right")))
+                doc_id, text = (c.slice(at, to - at) for c in batch.columns)
+                text = _sound(text, surrogates=True)
+                ids = ids_of(pc.fill_null(text, "").cast(pa.large_string()))
+                yield pa.RecordBatch.from_arrays([doc_id, text, ids], ["doc_id", "text", "ids"])
+                at = to
+
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(chunks, f"doc_id {id_type}, text string, ids array<int>")
+
+
+def _bare(texts: pa.Array) -> pa.Array:
+    """Texts without null, less the blank in front of those that begin with one."""
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(texts) + 1, 8 * texts.offset)
+    text = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.empty(0, np.uint8)
+    offsets = offsets - offsets[0]
+    begins = np.flatnonzero(np.diff(offsets))
+    begins = begins[text[offsets[begins]] == ord(" ")]
+    kept, fewer = np.ones(len(text), bool), np.zeros(len(offsets), np.int64)
+    kept[offsets[begins]] = False
+    fewer[begins + 1] = 1
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets - np.cumsum(fewer)), pa.py_buffer(text[kept]))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -310,21 +498,30 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", name: s
     Null ids give null, no ids an empty text, ids that are no piece or byte give
     nothing; bytes that are no UTF-8 become replacement characters.
     """
-    parts = {i: p.encode("utf-8") for p, (i, _) in vocabulary.pieces.items()}
-    parts |= {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
-    sent = encoded.sparkSession.sparkContext.broadcast(parts)  # as large as the model
-
-    @F.pandas_udf("string")
-    def text_of(column: pd.Series) -> pd.Series:
-        known = sent.value
-
-        def one(x):
-            if x is None:
-                return None
-            text = b"".join([known.get(i, b"") for i in x.tolist()]).decode("utf-8", "replace").replace(SPACE, " ")
-            return text[1:] if text.startswith(" ") else text
-
-        return pd.Series([one(x) for x in column], dtype=object)
+    known = {i: p.encode("utf-8") for p, (i, _) in vocabulary.pieces.items()}
+    known |= {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
+    known = [known.get(i, b"") for i in range(max(known, default=-1) + 2)]  # the last is none
+    sent = encoded.sparkSession.sparkContext.broadcast(known)  # as large as the model
+
+    @F.arrow_udf("string")
+    def text_of(column: pa.Array) -> pa.Array:
+        parts, out = pa.array(sent.value, pa.large_binary()), []
+        column = column.cast(pa.large_list(column.type.value_type))
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(column):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_IDS, "right")))
+            some = column.slice(at, to - at)
+            flat = pc.fill_null(some.flatten(), -1).to_numpy(zero_copy_only=False)
+            joined = parts.take(pa.array(np.where((flat >= 0) & (flat < len(parts)), flat, len(parts) - 1)))
+            _, offsets, data = joined.buffers()
+            first = np.concatenate([[0], ends[at:to] - (ends[at - 1] if at else 0)])
+            offsets = np.frombuffer(offsets, np.int64, len(joined) + 1, 8 * joined.offset)[first]
+            text = _sound(pa.LargeStringArray.from_buffers(len(some), pa.py_buffer(offsets), data if data is not None else pa.py_buffer(b"")))
+            text = _bare(pc.replace_substring(text, SPACE, " "))
+            out.append(pc.if_else(some.is_valid(), text, None).cast(pa.string()))
+            at = to
+        return pa.concat_arrays(out) if out else pa.array([], pa.string())
 
     return encoded.withColumn(name, text_of(F.col(ids)))
 
@@ -335,8 +532,8 @@ def op1_sentencepiece(spark, sf):
     both = decode(encode(table(spark, sf, "documents").select("doc_id", "text"), vocabulary), vocabulary)
     same = F.coalesce(F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), SPACE, " "), F.lit(False))
 
-    @F.pandas_udf("bigint")
-    def checksum(ids: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(x.astype("<u4").tobytes()) for x in ids])
+    @F.arrow_udf("bigint")
+    def checksum(ids: pa.Array) -> pa.Array:
+        return pa.array([zlib.crc32(x.values.to_numpy().astype("<u4").tobytes()) for x in ids], pa.int64())
 
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), checksum("ids").alias("ids_crc32"), same.alias("round_trip"))

@@ -328,6 +328,58 @@ def test_pieces_against_the_library(spark, vocabulary):
     assert pieces.encode(docs.select("doc_id", "text").limit(0), vocabulary).count() == 0
 
 
+def test_pieces_of_chunks_stay_in_their_task(spark, vocabulary, monkeypatch):
+    """One scan and no shuffle; chunks of any size, rows of no sound text, and words as long as a file."""
+    import public_tokenizers
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(["a", "the", " ", "  ", "\n", "\x00", "▁", "ß", "日", "🙂", " " * 17]) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    texts += [None, "", "".join(rng.choice("aehtnisor") for _ in range(200_000)), "\n\n" + " " * 50_000 + "x", "=" * 100_000]
+    docs = spark.createDataFrame([(i if i % 7 else None, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2).localCheckpoint()
+    broken = spark.createDataFrame([(1, bytearray(b"a\xff b")), (2, bytearray(b"\xe2\x96")), (3, bytearray(b"\xed\xa0\x80"))], "doc_id long, text binary")
+    for size in (1, 100, 1 << 22):
+        monkeypatch.setattr(pieces, "CHUNK_BYTES", size)
+        encoded = pieces.encode(docs, vocabulary)
+        rows = encoded.collect()
+        assert sorted(map(repr, ((r.doc_id, r.text) for r in rows))) == sorted(map(repr, ((i if i % 7 else None, t) for i, t in enumerate(texts))))
+        for r in rows:
+            assert list(r.ids) == (model.encode(r.text) if r.text else [])
+        for r in pieces.encode(broken.withColumn("text", F.col("text").cast("string")), vocabulary).collect():
+            assert r.text == {1: "a\ufffd b", 2: "\ufffd", 3: "\ufffd"}[r.doc_id] and list(r.ids) == model.encode(r.text)
+    plan = pieces.encode(spark.range(3).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text")), vocabulary)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan and "ExistingRDD" not in plan
+
+
+@pytest.mark.parametrize("few", [0, 5, 10_000])
+@pytest.mark.parametrize("group", [1, 200, 1 << 17])
+def test_words_folded_together_equal_words_alone(vocabulary, monkeypatch, few, group):
+    import pyarrow as pa
+
+    monkeypatch.setattr(pieces, "FEW_WORDS", few)
+    monkeypatch.setattr(pieces, "GROUP_CHARACTERS", group)
+    table, rng = pieces.PieceTable(vocabulary), random.Random(group)
+    words = sorted({"".join(rng.choice(["▁", "a", "t", "h", "e", "ing", "é", "日", "▁" * 16]) for _ in range(rng.randint(1, 12))) for _ in range(150)})
+    got = []
+    for some in pieces.Words.of(pa.array(words)):
+        begins, via = pieces.fold(some, table)
+        ids, sizes = pieces.ids_of_parts(some, begins, via, table)
+        got += [x.tolist() for x in __import__("numpy").split(ids, sizes.cumsum()[:-1])]
+    assert len(got) == len(words)
+    for w, x in zip(words, got):
+        ends = pieces.merge_once(w, vocabulary.pieces, vocabulary.late)
+        parts = [w[a:b] for a, b in zip([0, *ends], ends)]
+        assert x == [i for p in parts for i in ([vocabulary.pieces[p][0]] if p in vocabulary.pieces else [vocabulary.byte_ids[c] for c in p.encode()])], w
+
+
+def test_decode_of_ids_that_are_no_text(spark, vocabulary):
+    byte = vocabulary.byte_ids
+    cases = [(None, None), ([], ""), ([-1, 10**6, None], ""), ([byte[0xE2], byte[0x96], byte[0x81], byte[65]], "A"), ([byte[65], byte[0xE6]], "A\ufffd")]
+    rows = spark.createDataFrame([(k, ids) for k, (ids, _) in enumerate(cases)], "k int, ids array<int>")
+    assert {r.k: r.decoded for r in pieces.decode(rows, vocabulary).collect()} == {k: t for k, (_, t) in enumerate(cases)}
+
+
 def test_viterbi_against_dynamic_programming(spark):
     scored = {p: (i, s) for i, (p, s) in enumerate({"▁": -2.0, "▁a": -1.5, "a": -2.0, "b": -2.5, "ab": -3.9, "aba": -4.0, "▁ab": -3.0, "ba": -3.1}.items())}
     model = pieces.Vocabulary(scored, (), 99, False)
